@@ -273,3 +273,32 @@ WHERE s.total_single_hosts > 10
 ORDER BY percent_covered DESC NULLS FIRST, total_single_hosts DESC NULLS FIRST, s.lga_code ASC NULLS LAST,
     l.lga_name ASC NULLS LAST
 LIMIT 1""")
+
+# --- sources and sinks -------------------------------------------------------
+RAW_COLS = [
+    big("listing_id"), big("scrape_id"), d("scraped_date"), big("host_id"), "host_name",
+    d("host_since"), "host_is_superhost", "host_neighbourhood", "listing_neighbourhood",
+    "property_type", "room_type", big("accommodates"), dbl("price"), "has_availability",
+    big("availability_30"), big("number_of_reviews"), *[dbl(c) for c in MONEY_COLS],
+]
+for _k in ("csv_roundtrip", "csv_by_name", "drop_blank_cols", "null_tokens", "normalize_date",
+           "bronze_typed", "full_reload"):
+    ORACLE[_k] = sel("airbnb_raw", *RAW_COLS)
+ORACLE["monthly_append"] = sel("airbnb_raw", *RAW_COLS, "strftime(scraped_date, '%Y-%m') AS month")
+ORACLE["dq_unique_key"] = with_layers("""
+SELECT CAST(listing_id AS BIGINT) AS listing_id, strftime(scraped_date, '%Y-%m-%d') AS scraped_date,
+    CAST(COUNT(*) AS BIGINT) AS n_rows
+FROM airbnb_raw GROUP BY listing_id, scraped_date HAVING COUNT(*) > 1""")
+ORACLE["dq_not_null"] = with_layers("""
+SELECT CAST(COUNT(*) AS BIGINT) AS n_rows,
+    CAST(COUNT(CASE WHEN listing_id IS NULL THEN 1 END) AS BIGINT) AS null_listing_id,
+    CAST(COUNT(CASE WHEN scraped_date IS NULL THEN 1 END) AS BIGINT) AS null_scraped_date
+FROM airbnb_raw""")
+ORACLE["sink_table"] = ORACLE["gold_dm_suburb"]
+ORACLE["sink_view"] = ORACLE["mart_host_neighbourhood"]
+ORACLE["fact_partitioned"] = with_layers("""
+SELECT CAST(extract(year FROM scraped_date) AS BIGINT) AS year,
+    CAST(extract(month FROM scraped_date) AS BIGINT) AS month, CAST(COUNT(*) AS BIGINT) AS n_rows
+FROM fact_pit GROUP BY 1, 2""")
+ORACLE["upsert_listings"] = ORACLE["silver_listings"]
+ORACLE["stream_upsert_listings"] = ORACLE["silver_listings"]

@@ -135,5 +135,5 @@ def normalize_dmy_date(c: ColumnOrName) -> Column:
     trailing words) is returned unchanged.
     """
     c = _c(c)
-    parsed = F.date_format(F.try_to_date(F.trim(c), F.lit("d/M/yyyy")), "yyyy-MM-dd")
+    parsed = F.date_format(F.try_to_date(F.trim(c), "d/M/yyyy"), "yyyy-MM-dd")
     return F.when(c.contains("/") & c.rlike(DMY_PATTERN), F.coalesce(parsed, c)).otherwise(c)

@@ -117,3 +117,155 @@ def _adhoc_d(spark, sf_dir):
 def _adhoc_e(spark, sf_dir):
     """LGA where single-listing hosts best cover the median mortgage."""
     return model(spark, sf_dir).question_e()
+
+
+# --- sources and sinks (S1-S16) ---------------------------------------------
+# Each ingest query writes the bound bronze listings out as CSV drops in a
+# given style (under the shared checkpoint folder) and reads them back
+# through the ingest path; the result must equal the bronze rows.
+from pyspark.sql import functions as F  # noqa: E402
+
+from staylens.operators import quality  # noqa: E402
+from staylens.plans import monthly_run  # noqa: E402
+from staylens.session import shared_path  # noqa: E402
+from staylens.sources import bindings, schemas, sinks  # noqa: E402
+from staylens.sources.csv_ingest import cast_to_schema, load_csv, load_monthly, list_csv_files  # noqa: E402
+from staylens.sources.landing import CsvStyle, write_drops  # noqa: E402
+from staylens.streaming.drops import stream_drops  # noqa: E402
+
+_DRIFT_FROM = "1999-01"  # drops from this month on use the drifted layout
+_DRIFTED = CsvStyle(reverse_columns=True, index_column=True, null_value="NA", dmy_dates=True, float_ints=True)
+_STYLES = {
+    "plain": (CsvStyle(), None),
+    "by_name": (CsvStyle(), CsvStyle(reverse_columns=True)),
+    "blank_cols": (CsvStyle(), CsvStyle(index_column=True)),
+    "null_tokens": (CsvStyle(null_value="NA"), CsvStyle(null_value="null")),
+    "dmy_dates": (CsvStyle(), CsvStyle(dmy_dates=True)),
+    "drift": (CsvStyle(), _DRIFTED),
+}
+_landings: dict[tuple, str] = {}
+
+
+def landing(spark: SparkSession, sf_dir: str, style: str, batch: str = "month") -> str:
+    """Write (once per session) the bronze listings as CSV drops."""
+    key = (spark.sparkContext.applicationId, sf_dir, style, batch)
+    if key not in _landings:
+        root = shared_path(spark, f"landing-{style}-{batch}")
+        base, drift = _STYLES[style]
+        fmt = "yyyy-MM" if batch == "month" else "yyyy"
+        write_drops(
+            bindings.listings_raw(spark, sf_dir), root, batch_col=batch, batch_format=fmt,
+            style=base, drift_from=_DRIFT_FROM[: len(fmt)] if drift else None, drift_style=drift,
+        )
+        _landings[key] = root
+    return _landings[key]
+
+
+def _ingest(style: str, doc: str):
+    def fn(spark, sf_dir):
+        return load_monthly(spark, landing(spark, sf_dir, style), schemas.LISTINGS_RAW).drop("month")
+
+    fn.__doc__ = doc
+    return fn
+
+
+for _name, _style, _doc in [
+    ("csv_roundtrip", "plain", "S1: CSV drops read back into typed bronze."),
+    ("csv_by_name", "by_name", "S2: drops with a reordered header bound by name."),
+    ("drop_blank_cols", "blank_cols", "S3: 'Unnamed: 0' index columns dropped."),
+    ("null_tokens", "null_tokens", "S4: 'NA' / 'null' cells read as NULL."),
+    ("normalize_date", "dmy_dates", "S5: d/m/Y dates rewritten to ISO."),
+]:
+    register(_name)(_ingest(_style, _doc))
+
+
+@register("monthly_append")
+def _monthly_append(spark, sf_dir):
+    """All month drops (with header drift, index columns, NA tokens,
+    d/m/Y dates, float-formatted integers) appended with their source month."""
+    return load_monthly(spark, landing(spark, sf_dir, "drift"), schemas.LISTINGS_RAW)
+
+
+@register("bronze_typed")
+def _bronze_typed(spark, sf_dir):
+    """All-string rows (integers float-formatted, as pandas wrote them)
+    cast to the bronze schema."""
+    raw = bindings.listings_raw(spark, sf_dir)
+    as_text = raw.select(
+        *[
+            (F.concat(F.col(f.name).cast("string"), F.lit(".0")) if f.name in ("accommodates", "availability_30")
+             else F.col(f.name).cast("string")).alias(f.name)
+            for f in raw.schema.fields
+        ]
+    )
+    return cast_to_schema(as_text, schemas.LISTINGS_RAW)
+
+
+@register("full_reload")
+def _full_reload(spark, sf_dir):
+    """All five bronze tables emptied and reloaded (twice: idempotent);
+    returns the reloaded listing snapshots."""
+    base = shared_path(spark, "bronze")
+    tables = bindings.bronze(spark, sf_dir)
+    sinks.full_reload(tables, base)
+    return sinks.full_reload(tables, base)["airbnb_raw"]
+
+
+@register("dq_unique_key")
+def _dq_unique_key(spark, sf_dir):
+    """Bronze (listing_id, scraped_date) keys that occur more than once."""
+    return quality.duplicate_keys(bindings.listings_raw(spark, sf_dir), list(schemas.LISTING_KEY))
+
+
+@register("dq_not_null")
+def _dq_not_null(spark, sf_dir):
+    """NULL counts of the bronze key columns."""
+    return quality.null_key_counts(bindings.listings_raw(spark, sf_dir), list(schemas.LISTING_KEY))
+
+
+@register("sink_table")
+def _sink_table(spark, sf_dir):
+    """The suburb dimension materialised as table gold.dm_suburb."""
+    return sinks.write_table(model(spark, sf_dir).dm_suburb, "gold", "dm_suburb", shared_path(spark, "warehouse"))
+
+
+@register("sink_view")
+def _sink_view(spark, sf_dir):
+    """The host-neighbourhood mart published as a view."""
+    return sinks.publish_view(model(spark, sf_dir).mart_host_neighbourhood(), "datamart", "dm_host_neighbourhood")
+
+
+@register("fact_partitioned")
+def _fact_partitioned(spark, sf_dir):
+    """The fact written partitioned by (year, month), read back and
+    counted per partition."""
+    laid = sinks.write_fact_partitioned(model(spark, sf_dir).fact, shared_path(spark, "fact"))
+    return laid.groupBy("year", "month").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@register("upsert_listings")
+def _upsert_listings(spark, sf_dir):
+    """Month drops applied one batch (year) at a time — silver upserted
+    on (listing_id, scraped_date), touched partitions only."""
+    root = landing(spark, sf_dir, "drift", batch="year")
+    state = monthly_run.RunState(shared_path(spark, "silver"), shared_path(spark, "history"))
+    return monthly_run.run_drops(spark, root, state, batch_col="year").silver(spark)
+
+
+@register("scd2_merge")
+def _scd2_merge(spark, sf_dir):
+    """Host history built by merging yearly drops in order (open
+    versions rewritten, closed ones appended)."""
+    root = landing(spark, sf_dir, "drift", batch="year")
+    state = monthly_run.RunState(shared_path(spark, "silver"), shared_path(spark, "history"))
+    return monthly_run.run_drops(spark, root, state, batch_col="year").history(spark)
+
+
+@register("stream_upsert_listings")
+def _stream_upsert_listings(spark, sf_dir):
+    """Structured Streaming: yearly drops picked up by a file-source stream,
+    each micro-batch upserted into silver via foreachBatch."""
+    root = landing(spark, sf_dir, "plain", batch="year")
+    state = monthly_run.RunState(shared_path(spark, "silver"), shared_path(spark, "history"))
+    stream_drops(spark, root, state, shared_path(spark, "stream-ckpt"))
+    return state.silver(spark)
