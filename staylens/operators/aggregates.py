@@ -38,9 +38,30 @@ def corr_safe(x: ColumnOrName, y: ColumnOrName) -> Column:
 
 
 def string_agg_distinct(c: ColumnOrName, sep: str = ", ") -> Column:
-    """STRING_AGG(DISTINCT x, sep) with a deterministic (sorted) order.
-    Only for groups whose distinct values are bounded (a handful of LGAs)."""
-    return F.array_join(F.array_sort(F.collect_set(_c(c))), sep)
+    """STRING_AGG(DISTINCT x, sep) with a deterministic (sorted) order; NULL
+    when the group has no non-NULL value.  Only for groups whose distinct
+    values are bounded (a handful of LGAs or room types)."""
+    c = _c(c)
+    return F.when(F.count(c) > 0, F.array_join(F.array_sort(F.collect_set(c)), sep))
+
+
+def round_ratio(part: ColumnOrName, total: ColumnOrName, digits: int = 2, scale: int = 100) -> Column:
+    """``round(part * scale / nullif(total, 0), digits)`` for integer-valued
+    operands, half away from zero, as exact NUMERIC arithmetic does.
+
+    Operands are narrowed to DECIMAL(20,0) so the quotient keeps 16 fraction
+    digits (no double rounding before the final ROUND), then DOUBLE."""
+    num = _c(part).cast("decimal(18,0)") * F.lit(scale)
+    den = F.nullif(_c(total), F.lit(0)).cast("decimal(20,0)")
+    return F.round(num / den, digits).cast("double")
+
+
+def round_avg(c: ColumnOrName, digits: int = 2) -> Column:
+    """``round(avg(x), digits)`` of a DECIMAL(12,2), exact: decimal sum over
+    the count with 18 fraction digits, then one half-up rounding."""
+    c = _c(c)
+    q = F.sum(c).cast("decimal(22,2)") / F.nullif(F.count(c), F.lit(0)).cast("decimal(20,0)")
+    return F.round(q, digits).cast("double")
 
 
 def count_if(cond: Column) -> Column:

@@ -20,19 +20,20 @@ from staylens.functions.expressions import (
     revenue,
     stays,
 )
-from staylens.operators.aggregates import corr_safe, count_if, exact_avg, string_agg_distinct
+from staylens.operators.aggregates import (
+    corr_safe,
+    count_if,
+    exact_avg,
+    round_avg,
+    round_ratio,
+    string_agg_distinct,
+)
 from staylens.operators.joins import join_concat_key, scalar_of, semi_join_in
 from staylens.operators.ranking import latest_per_key, top_bottom_n, top_k
 
-PCT_DECIMAL = "decimal(38,6)"
-
-
 def pct_rounded(part: Column, total: Column, digits: int = 2) -> Column:
-    """``round(part * 100.0 / nullif(total, 0), digits)`` in exact decimal
-    arithmetic, half away from zero (as NUMERIC rounds), then DOUBLE."""
-    num = part.cast("decimal(38,0)") * F.lit(100)
-    den = F.nullif(total, F.lit(0)).cast("decimal(38,0)")
-    return F.round((num / den).cast(PCT_DECIMAL), digits).cast("double")
+    """``round(part * 100.0 / nullif(total, 0), digits)`` exactly."""
+    return round_ratio(part, total, digits)
 
 
 def last_months(fact: DataFrame, months: int = 12) -> Column:
@@ -64,13 +65,12 @@ def question_a(fact: DataFrame, census: DataFrame, n: int = 3) -> DataFrame:
         (F.col("age_65_74") + F.col("age_75_84") + F.col("age_85_plus")).alias("age_65_plus"),
         F.col("average_household_size"),
     )
-    lgas = string_agg_distinct("lga_code")
     return demo.groupBy("performance_group").agg(
         pct_rounded(F.sum("age_0_14"), F.sum("total_population")).alias("pct_age_0_14"),
         pct_rounded(F.sum("age_15_64"), F.sum("total_population")).alias("pct_age_15_64"),
         pct_rounded(F.sum("age_65_plus"), F.sum("total_population")).alias("pct_age_65_plus"),
-        F.round(F.avg("average_household_size"), 2).cast("double").alias("avg_household_size"),
-        F.when(F.count("lga_code") > 0, lgas).alias("lgas_in_group"),
+        round_avg("average_household_size", 2).alias("avg_household_size"),
+        string_agg_distinct("lga_code").alias("lgas_in_group"),
     )
 
 

@@ -269,3 +269,7 @@ def _stream_upsert_listings(spark, sf_dir):
     state = monthly_run.RunState(shared_path(spark, "silver"), shared_path(spark, "history"))
     stream_drops(spark, root, state, shared_path(spark, "stream-ckpt"))
     return state.silver(spark)
+
+
+# Operator-level queries register themselves on import.
+from staylens.plans import operator_queries  # noqa: E402,F401
