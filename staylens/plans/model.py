@@ -24,7 +24,38 @@ class RentalModel:
 
     @classmethod
     def from_tables(cls, spark: SparkSession, sf_dir: str, **kw) -> "RentalModel":
-        return cls(bindings.bronze(spark, sf_dir), **kw)
+        return cls(bindings.LazyBronze(spark, sf_dir), **kw)
+
+    # Layer tables written by ``materialize``, in dependency order.  Silver
+    # and gold are tables, marts stay views (lazy), as in the source project.
+    MATERIALIZED = (
+        "listings",
+        "host_snapshot",
+        "lga_code_clean",
+        "lga_suburb_clean",
+        "dm_lga",
+        "dm_suburb",
+        "dm_census_g01",
+        "dm_census_g02",
+        "dm_census",
+        "fact",
+    )
+
+    def materialize(self, base_path: str) -> "RentalModel":
+        """Write the silver and gold tables once under ``base_path`` (a shared
+        folder) and return a model whose marts and questions read them.
+
+        Each table is computed from the already-written upstream tables, so
+        the listings are cleaned and de-duplicated exactly once, and the
+        written files cut the lineage (a lost executor re-reads a table
+        instead of recomputing the chain)."""
+        out = RentalModel(self.bronze, self.as_of)
+        for name in self.MATERIALIZED:
+            df = getattr(out, name)
+            path = f"{base_path.rstrip('/')}/{name}"
+            df.write.mode("overwrite").parquet(path)
+            out.__dict__[name] = df.sparkSession.read.parquet(path)
+        return out
 
     # --- silver -------------------------------------------------------
     @cached_property

@@ -29,7 +29,7 @@ from staylens.operators import aggregates as A
 from staylens.operators.joins import full_outer_small_right, join_concat_key, left_join_normalized, semi_join_in
 from staylens.operators.ranking import lag_over, latest_per_key, top_bottom_n, top_k, with_dense_ranks
 from staylens.plans import adhoc, marts, silver
-from staylens.plans.registry import model, register
+from staylens.plans.registry import register, warehouse as model
 from staylens.sources import bindings
 
 ORACLE = oq.ORACLE

@@ -29,12 +29,40 @@ def register(name: str):
 
 
 def model(spark: SparkSession, sf_dir: str) -> RentalModel:
+    """The lazy model: every table computed from the bronze bindings."""
     return RentalModel.from_tables(spark, sf_dir)
 
 
+_warehouses: dict[tuple, RentalModel] = {}
+
+
+def warehouse(spark: SparkSession, sf_dir: str) -> RentalModel:
+    """The model with silver and gold written once per session under the
+    shared checkpoint folder (as the source project materialises them);
+    marts and questions are views over these tables."""
+    from staylens.session import shared_path
+
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _warehouses:
+        _warehouses[key] = model(spark, sf_dir).materialize(shared_path(spark, "warehouse"))
+    return _warehouses[key]
+
+
+def layer(spark: SparkSession, sf_dir: str, attr: str) -> DataFrame:
+    """Table ``attr`` computed fresh, reading its upstream layers as the
+    written warehouse tables (a model reads its inputs as tables)."""
+    w = warehouse(spark, sf_dir)
+    m = RentalModel(w.bronze, w.as_of)
+    for up in RentalModel.MATERIALIZED:
+        if up == attr:
+            break
+        m.__dict__[up] = w.__dict__[up]
+    return getattr(m, attr)
+
+
 def _model_table(name: str, attr: str, doc: str):
     def fn(spark, sf_dir):
-        return getattr(model(spark, sf_dir), attr)
+        return layer(spark, sf_dir, attr)
 
     fn.__doc__ = doc
     register(name)(fn)
@@ -67,56 +95,56 @@ for _name, _attr, _doc in [
 @register("mart_host_neighbourhood")
 def _mart_host_neighbourhood(spark, sf_dir):
     """Hosts and revenue per listing LGA and month."""
-    return model(spark, sf_dir).mart_host_neighbourhood()
+    return warehouse(spark, sf_dir).mart_host_neighbourhood()
 
 
 @register("mart_listing_neighbourhood")
 def _mart_listing_neighbourhood(spark, sf_dir):
     """Monthly measures per listing LGA (half-open host versions)."""
-    return model(spark, sf_dir).mart_listing_neighbourhood()
+    return warehouse(spark, sf_dir).mart_listing_neighbourhood()
 
 
 @register("mart_property_type")
 def _mart_property_type(spark, sf_dir):
     """Monthly measures per property type x room type x capacity."""
-    return model(spark, sf_dir).mart_property_type()
+    return warehouse(spark, sf_dir).mart_property_type()
 
 
 @register("mart_listing_neighbourhood_closed")
 def _mart_listing_neighbourhood_closed(spark, sf_dir):
     """M18 with the source's closed BETWEEN on host versions (boundary dates
     match two versions)."""
-    return model(spark, sf_dir).mart_listing_neighbourhood(closed=True)
+    return warehouse(spark, sf_dir).mart_listing_neighbourhood(closed=True)
 
 
 @register("adhoc_a")
 def _adhoc_a(spark, sf_dir):
     """Top-3 / bottom-3 LGAs by host revenue and their demographics."""
-    return model(spark, sf_dir).question_a()
+    return warehouse(spark, sf_dir).question_a()
 
 
 @register("adhoc_b")
 def _adhoc_b(spark, sf_dir):
     """Correlation of median age and revenue per active listing."""
-    return model(spark, sf_dir).question_b()
+    return warehouse(spark, sf_dir).question_b()
 
 
 @register("adhoc_c")
 def _adhoc_c(spark, sf_dir):
     """Best property mix in each of the top-5 neighbourhoods."""
-    return model(spark, sf_dir).question_c()
+    return warehouse(spark, sf_dir).question_c()
 
 
 @register("adhoc_d")
 def _adhoc_d(spark, sf_dir):
     """Share of multi-listing hosts concentrated in one LGA."""
-    return model(spark, sf_dir).question_d()
+    return warehouse(spark, sf_dir).question_d()
 
 
 @register("adhoc_e")
 def _adhoc_e(spark, sf_dir):
     """LGA where single-listing hosts best cover the median mortgage."""
-    return model(spark, sf_dir).question_e()
+    return warehouse(spark, sf_dir).question_e()
 
 
 # --- sources and sinks (S1-S16) ---------------------------------------------
@@ -232,7 +260,7 @@ def _sink_table(spark, sf_dir):
 @register("sink_view")
 def _sink_view(spark, sf_dir):
     """The host-neighbourhood mart published as a view."""
-    return sinks.publish_view(model(spark, sf_dir).mart_host_neighbourhood(), "datamart", "dm_host_neighbourhood")
+    return sinks.publish_view(warehouse(spark, sf_dir).mart_host_neighbourhood(), "datamart", "dm_host_neighbourhood")
 
 
 @register("fact_partitioned")

@@ -60,6 +60,13 @@ def listings_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = read_table(spark, sf_dir, "nation", "n_nationkey", "n_name")
     s = read_table(spark, sf_dir, "supplier", "s_suppkey", "s_name")
 
+    # Cluster snapshots by listing right after the scan.  This is the one
+    # shuffle the listing rows need: the silver de-duplication window is
+    # partitioned by (listing_id, scraped_date), which hash partitioning on
+    # listing_id already satisfies, and a sort-merge join with orders (when
+    # orders is too large to broadcast) is keyed on it too.  It also spreads
+    # files with few row groups over every core.
+    li = li.repartition("l_orderkey")
     # Left joins: a snapshot is never dropped for a missing dimension row.
     # Join strategy is left to AQE (nation and supplier are far below the
     # broadcast threshold; orders/customer are shuffled on their keys).
@@ -187,3 +194,24 @@ def bronze(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         "lga_code": lga_code_raw(spark, sf_dir),
         "lga_suburb": lga_suburb_raw(spark, sf_dir),
     }
+
+
+class LazyBronze(dict):
+    """The bronze registry with each table built on first access."""
+
+    _BUILDERS = {
+        "airbnb_raw": listings_raw,
+        "census_g01_raw": census_g01_raw,
+        "census_g02_raw": census_g02_raw,
+        "lga_code": lga_code_raw,
+        "lga_suburb": lga_suburb_raw,
+    }
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        super().__init__()
+        self._spark, self._sf_dir = spark, sf_dir
+
+    def __missing__(self, name: str) -> DataFrame:
+        df = self._BUILDERS[name](self._spark, self._sf_dir)
+        self[name] = df
+        return df

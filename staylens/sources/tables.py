@@ -13,6 +13,15 @@ def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
+_scans: dict[tuple[str, str], DataFrame] = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
-    df = spark.read.parquet(table_path(sf_dir, name))
+    """Scan of one input table, pruned to ``cols``.  The unpruned relation is
+    resolved once per session and path (file listing and footer reads are
+    not repeated for every query that reads the table)."""
+    key = (spark.sparkContext.applicationId, table_path(sf_dir, name))
+    if key not in _scans:
+        _scans[key] = spark.read.parquet(table_path(sf_dir, name))
+    df = _scans[key]
     return df.select(*cols) if cols else df
