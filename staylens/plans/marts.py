@@ -57,23 +57,57 @@ def with_superhost_flag(
 
 
 def monthly_listing_measures(base: DataFrame, group_cols: Sequence[str]) -> DataFrame:
-    """Shared measure set of the listing-neighbourhood and property-type marts."""
+    """Shared measure set of the listing-neighbourhood and property-type marts.
+
+    Planned as three aggregations instead of one with two COUNT(DISTINCT)s
+    and a percentile (Expand x3 of every row, a percentile buffer per
+    expanded key, sort-based fallback):
+
+    1. per (group, month, host): counts, sums, min/max and a superhost flag
+       — partial aggregation collapses a hot host map-side;
+    2. per (group, month): roll-up of (1); distinct hosts = non-NULL host
+       rows of (1), superhost hosts = flagged ones;
+    3. per (group, month): the exact median, on its own;
+    then (2) JOIN (3) on the group keys — both one row per group and month.
+    """
+    keys = [*group_cols, "year", "month"]
     active = active_available("availability_30")
-    agg = base.groupBy(*group_cols, "year", "month").agg(
-        F.count(F.lit(1)).alias("total_listings"),
-        count_if(active).alias("active_listings"),
-        min_if(active, "price").alias("min_price"),
-        max_if(active, "price").alias("max_price"),
-        median(F.when(active, F.col("price"))).alias("median_price"),
-        exact_avg(F.when(active, F.col("price"))).alias("avg_price"),
-        F.countDistinct("host_key").alias("distinct_hosts"),
-        F.countDistinct(F.when(active & is_true("host_is_superhost"), F.col("host_key"))).alias(
-            "superhost_hosts"
+    price_a = F.when(active, F.col("price"))
+    review_a = F.when(active, F.col("review_scores_rating"))
+    per_host = base.groupBy(*keys, "host_key").agg(
+        F.count(F.lit(1)).alias("n"),
+        count_if(active).alias("n_active"),
+        F.min(price_a).alias("min_p"),
+        F.max(price_a).alias("max_p"),
+        F.sum(price_a).alias("sum_p"),
+        F.count(price_a).alias("cnt_p"),
+        F.sum(review_a).alias("sum_r"),
+        F.count(review_a).alias("cnt_r"),
+        sum_if(active, stays()).alias("stays"),
+        sum_if(active, revenue()).alias("rev"),
+        F.max(active & is_true("host_is_superhost")).alias("super"),
+    )
+    has_host = F.col("host_key").isNotNull()
+    agg = per_host.groupBy(*keys).agg(
+        F.sum("n").alias("total_listings"),
+        F.sum("n_active").alias("active_listings"),
+        F.min("min_p").alias("min_price"),
+        F.max("max_p").alias("max_price"),
+        (F.sum("sum_p").cast("double") / F.nullif(F.sum("cnt_p"), F.lit(0)).cast("double")).alias("avg_price"),
+        F.count(F.when(has_host, F.lit(1))).alias("distinct_hosts"),
+        F.count(F.when(has_host & F.col("super"), F.lit(1))).alias("superhost_hosts"),
+        (F.sum("sum_r").cast("double") / F.nullif(F.sum("cnt_r"), F.lit(0)).cast("double")).alias(
+            "avg_review_score"
         ),
-        exact_avg(F.when(active, F.col("review_scores_rating"))).alias("avg_review_score"),
-        sum_if(active, stays()).alias("total_stays"),
-        sum_if(active, revenue()).alias("total_estimated_revenue"),
+        F.sum("stays").alias("total_stays"),
+        F.sum("rev").alias("total_estimated_revenue"),
+    )
+    medians = base.where(active & F.col("price").isNotNull()).groupBy(*keys).agg(
+        median("price").alias("median_price")
     )
+    m = medians.select(*[F.col(k).alias(f"__m_{k}") for k in keys], "median_price")
+    on = [F.col(k).eqNullSafe(F.col(f"__m_{k}")) for k in keys]
+    agg = agg.join(m, on, "left").drop(*[f"__m_{k}" for k in keys])
     inactive = F.col("total_listings") - F.col("active_listings")
     order = ["year", "month"]
     with_prev = agg.withColumn(
