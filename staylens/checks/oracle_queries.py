@@ -283,17 +283,17 @@ RAW_COLS = [
 ]
 for _k in ("csv_roundtrip", "csv_by_name", "drop_blank_cols", "null_tokens", "normalize_date",
            "bronze_typed", "full_reload"):
-    ORACLE[_k] = sel("airbnb_raw", *RAW_COLS)
-ORACLE["monthly_append"] = sel("airbnb_raw", *RAW_COLS, "strftime(scraped_date, '%Y-%m') AS month")
+    ORACLE[_k] = sel("listings_raw", *RAW_COLS)
+ORACLE["monthly_append"] = sel("listings_raw", *RAW_COLS, "strftime(scraped_date, '%Y-%m') AS month")
 ORACLE["dq_unique_key"] = with_layers("""
 SELECT CAST(listing_id AS BIGINT) AS listing_id, strftime(scraped_date, '%Y-%m-%d') AS scraped_date,
     CAST(COUNT(*) AS BIGINT) AS n_rows
-FROM airbnb_raw GROUP BY listing_id, scraped_date HAVING COUNT(*) > 1""")
+FROM listings_raw GROUP BY listing_id, scraped_date HAVING COUNT(*) > 1""")
 ORACLE["dq_not_null"] = with_layers("""
 SELECT CAST(COUNT(*) AS BIGINT) AS n_rows,
     CAST(COUNT(CASE WHEN listing_id IS NULL THEN 1 END) AS BIGINT) AS null_listing_id,
     CAST(COUNT(CASE WHEN scraped_date IS NULL THEN 1 END) AS BIGINT) AS null_scraped_date
-FROM airbnb_raw""")
+FROM listings_raw""")
 ORACLE["sink_table"] = ORACLE["gold_dm_suburb"]
 ORACLE["sink_view"] = ORACLE["mart_host_neighbourhood"]
 ORACLE["fact_partitioned"] = with_layers("""

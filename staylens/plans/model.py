@@ -60,7 +60,7 @@ class RentalModel:
     # --- silver -------------------------------------------------------
     @cached_property
     def listings(self) -> DataFrame:
-        return silver.silver_listings(self.bronze["airbnb_raw"])
+        return silver.silver_listings(self.bronze["listings_raw"])
 
     @cached_property
     def host_clean(self) -> DataFrame:

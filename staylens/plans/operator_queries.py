@@ -617,7 +617,7 @@ def _fn_flag(spark, sf_dir):
 
 _sql("fn_flag", """
 SELECT host_is_superhost, CASE WHEN host_is_superhost = 't' THEN TRUE WHEN host_is_superhost = 'f' THEN FALSE END AS decoded,
-    CAST(COUNT(*) AS BIGINT) AS n_rows FROM airbnb_raw GROUP BY 1""")
+    CAST(COUNT(*) AS BIGINT) AS n_rows FROM listings_raw GROUP BY 1""")
 
 
 @register("fn_case")

@@ -236,7 +236,7 @@ def _full_reload(spark, sf_dir):
     base = shared_path(spark, "bronze")
     tables = bindings.bronze(spark, sf_dir)
     sinks.full_reload(tables, base)
-    return sinks.full_reload(tables, base)["airbnb_raw"]
+    return sinks.full_reload(tables, base)["listings_raw"]
 
 
 @register("dq_unique_key")

@@ -188,7 +188,7 @@ def census_g02_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 def bronze(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """All five bronze tables, lazily (the source registry, S10)."""
     return {
-        "airbnb_raw": listings_raw(spark, sf_dir),
+        "listings_raw": listings_raw(spark, sf_dir),
         "census_g01_raw": census_g01_raw(spark, sf_dir),
         "census_g02_raw": census_g02_raw(spark, sf_dir),
         "lga_code": lga_code_raw(spark, sf_dir),
@@ -200,7 +200,7 @@ class LazyBronze(dict):
     """The bronze registry with each table built on first access."""
 
     _BUILDERS = {
-        "airbnb_raw": listings_raw,
+        "listings_raw": listings_raw,
         "census_g01_raw": census_g01_raw,
         "census_g02_raw": census_g02_raw,
         "lga_code": lga_code_raw,

@@ -112,7 +112,7 @@ LGA_SUBURB = T.StructType(
 )
 
 BRONZE = {
-    "airbnb_raw": LISTINGS_RAW,
+    "listings_raw": LISTINGS_RAW,
     "census_g01_raw": CENSUS_G01_RAW,
     "census_g02_raw": CENSUS_G02_RAW,
     "lga_code": LGA_CODE,
@@ -122,6 +122,6 @@ BRONZE = {
 # Keys the bronze layer declares (checked by operators.quality, not enforced
 # by storage).
 BRONZE_KEYS = {
-    "airbnb_raw": list(LISTING_KEY),
+    "listings_raw": list(LISTING_KEY),
     "lga_code": ["lga_code"],
 }
