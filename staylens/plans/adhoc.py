@@ -15,7 +15,6 @@ from staylens.functions.expressions import (
     active_available,
     active_booked,
     active_flagged,
-    concat_key,
     months_before,
     revenue,
     stays,
@@ -31,6 +30,7 @@ from staylens.operators.aggregates import (
 from staylens.operators.joins import join_concat_key, scalar_of, semi_join_in
 from staylens.operators.ranking import latest_per_key, top_bottom_n, top_k
 
+
 def pct_rounded(part: Column, total: Column, digits: int = 2) -> Column:
     """``round(part * 100.0 / nullif(total, 0), digits)`` exactly."""
     return round_ratio(part, total, digits)

@@ -1,14 +1,14 @@
 """Monthly marts.
 
 The two listing marts share one measure set; only the grouping differs.
-Each mart is: (fact [+ point-in-time host flag]) -> one hash aggregation on
-(group, year, month) -> LAG over the (small) monthly series of each group.
-
-Scale notes: the aggregation is partial + final; the two COUNT(DISTINCT)s are
-planned with Expand, whose partial aggregation on (group, host_key) collapses
-a hot host before the shuffle; the exact median buffers one value->count map
-per group.  The LAG window runs on the aggregated output (one row per group
-and month), never on fact rows.
+Each mart is: (fact + point-in-time host flag) -> aggregation to (group,
+year, month) -> LAG over the (small) monthly series of each group.
+
+Scale notes: distinct-host counts come from a per-(group, month, host)
+pre-aggregation (map-side combine collapses a hot host) instead of an
+Expand; the exact median is its own aggregation, buffering one value->count
+map per group.  The LAG window runs on the aggregated output (one row per
+group and month), never on fact rows.
 """
 
 from __future__ import annotations
@@ -30,7 +30,7 @@ from staylens.functions.expressions import (
     stays,
     year_of,
 )
-from staylens.operators.aggregates import count_if, exact_avg, max_if, median, min_if, sum_if
+from staylens.operators.aggregates import count_if, median, sum_if
 from staylens.operators.ranking import lag_over
 from staylens.operators.temporal import temporal_left_join
 

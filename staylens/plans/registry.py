@@ -157,7 +157,7 @@ from staylens.operators import quality  # noqa: E402
 from staylens.plans import monthly_run  # noqa: E402
 from staylens.session import shared_path  # noqa: E402
 from staylens.sources import bindings, schemas, sinks  # noqa: E402
-from staylens.sources.csv_ingest import cast_to_schema, load_csv, load_monthly, list_csv_files  # noqa: E402
+from staylens.sources.csv_ingest import cast_to_schema, load_monthly  # noqa: E402
 from staylens.sources.landing import CsvStyle, write_drops  # noqa: E402
 from staylens.streaming.drops import stream_drops  # noqa: E402
 
