@@ -80,7 +80,8 @@ def write_drops(
             (df.where(F.col(batch_col) >= drift_from), drift_style),
         ]
     for i, (part, st) in enumerate(parts):
-        rendered = _render(part, st, [batch_col])
+        # one file per drop folder, as the source delivers one CSV per month
+        rendered = _render(part, st, [batch_col]).repartition(batch_col)
         w_root = root
         if i == 0:
             write_csv(rendered, w_root, null_value=st.null_value, partition_by=[batch_col])
