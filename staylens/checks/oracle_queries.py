@@ -302,3 +302,57 @@ SELECT CAST(extract(year FROM scraped_date) AS BIGINT) AS year,
 FROM fact_pit GROUP BY 1, 2""")
 ORACLE["upsert_listings"] = ORACLE["silver_listings"]
 ORACLE["stream_upsert_listings"] = ORACLE["silver_listings"]
+
+
+# --- verbatim ("as-is") variants on the fanned-out fact ------------------------
+ORACLE["mart_listing_neighbourhood_asis"] = _listing_mart(
+    "fact_asis_host_prop", [("COALESCE(lga_key, 'Unknown')", "listing_neighbourhood_lga")]
+)
+ORACLE["mart_property_type_asis"] = _listing_mart(
+    "fact_asis_host_prop",
+    [
+        ("COALESCE(property_type, 'Unknown')", "property_type"),
+        ("COALESCE(room_type, 'Unknown')", "room_type"),
+        ("COALESCE(accommodates, 0)", "accommodates"),
+    ],
+)
+ORACLE["mart_host_neighbourhood_asis"] = with_layers(f"""
+SELECT COALESCE(lga_key, 'Unknown') AS host_neighbourhood_lga,
+    CAST(extract(year FROM scraped_date) AS BIGINT) AS year,
+    CAST(extract(month FROM scraped_date) AS BIGINT) AS month,
+    CAST(COUNT(DISTINCT host_key) AS BIGINT) AS distinct_hosts,
+    CAST(SUM((30 - availability_30) * price) AS DOUBLE) AS total_estimated_revenue,
+    {ratio_sql("SUM((30 - availability_30) * price)", "COUNT(DISTINCT host_key)")} AS estimated_revenue_per_host
+FROM fact_asis_host GROUP BY 1, 2, 3""")
+
+_PREFIX = with_layers("")
+for _q in "abde":
+    _body = ORACLE[f"adhoc_{_q}"][len(_PREFIX):]
+    ORACLE[f"adhoc_{_q}_asis"] = _PREFIX + _body.replace("FROM fact_pit", "FROM fact_asis")
+
+ORACLE["adhoc_c_asis"] = with_layers(f"""
+, latest AS (
+    SELECT listing_id, suburb_key, property_key, availability_30, price FROM fact_asis
+    QUALIFY row_number() OVER (PARTITION BY listing_id ORDER BY scraped_date DESC NULLS LAST) = 1
+), names AS (
+    SELECT suburb_key, min(suburb_name) AS listing_neighbourhood FROM dm_suburb GROUP BY suburb_key
+), ln AS (
+    SELECT l.*, n.listing_neighbourhood FROM latest l LEFT JOIN names n ON l.suburb_key = n.suburb_key
+), rev AS (
+    SELECT listing_neighbourhood, {exact_avg_sql("(30 - availability_30) * price")} AS avg_rev
+    FROM ln WHERE availability_30 < 30 GROUP BY listing_neighbourhood
+), top5 AS (
+    SELECT listing_neighbourhood FROM rev
+    ORDER BY avg_rev DESC NULLS FIRST, listing_neighbourhood ASC NULLS LAST LIMIT 5
+), stays AS (
+    SELECT ln.listing_neighbourhood, p.property_type, p.room_type, p.accommodates,
+        SUM(30 - ln.availability_30) AS total_stays
+    FROM ln LEFT JOIN dm_property p ON ln.property_key = p.property_key
+    WHERE ln.listing_neighbourhood IN (SELECT listing_neighbourhood FROM top5)
+    GROUP BY ln.listing_neighbourhood, p.property_type, p.room_type, p.accommodates
+)
+SELECT listing_neighbourhood, property_type, room_type, CAST(accommodates AS BIGINT) AS accommodates,
+    CAST(total_stays AS BIGINT) AS total_stays
+FROM stays
+QUALIFY row_number() OVER (PARTITION BY listing_neighbourhood ORDER BY total_stays DESC NULLS FIRST,
+    property_type ASC NULLS LAST, room_type ASC NULLS LAST, accommodates ASC NULLS LAST) = 1""")

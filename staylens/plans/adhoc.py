@@ -91,10 +91,13 @@ def question_b(fact: DataFrame, census_g02: DataFrame) -> DataFrame:
     )
 
 
-def question_c(fact: DataFrame, suburb: DataFrame, k: int = 5) -> DataFrame:
+def question_c(fact: DataFrame, suburb: DataFrame, k: int = 5, prop: DataFrame | None = None) -> DataFrame:
     """For the k neighbourhoods with the highest mean revenue per active
     listing (latest snapshot per listing), the property type / room type /
-    capacity with the most stays."""
+    capacity with the most stays.  With ``prop`` (the property dimension)
+    the attributes come from joining it on ``property_key``, as the source
+    does (every property row of the listing counts); otherwise from the
+    point-in-time fact's own snapshot."""
     latest = latest_per_key(fact, ["listing_id"], [F.col("scraped_date").desc_nulls_last()])
     names = suburb.groupBy("suburb_key").agg(F.min("suburb_name").alias("listing_neighbourhood"))
     latest = latest.join(names, "suburb_key", "left")
@@ -113,6 +116,12 @@ def question_c(fact: DataFrame, suburb: DataFrame, k: int = 5) -> DataFrame:
     )
     # k rows by construction: a size-bounded semi join
     in_top = semi_join_in(latest, F.broadcast(top), "listing_neighbourhood")
+    if prop is not None:
+        # only the stays step reads the property dimension (its fan-out
+        # weights stays, never the neighbourhood ranking)
+        in_top = in_top.select("listing_neighbourhood", "property_key", "availability_30").join(
+            prop.select("property_key", "property_type", "room_type", "accommodates"), "property_key", "left"
+        )
     by_property = in_top.groupBy(
         "listing_neighbourhood", "property_type", "room_type", "accommodates"
     ).agg(F.sum(stays()).cast("long").alias("total_stays"))

@@ -179,3 +179,48 @@ def mart_host_neighbourhood(fact: DataFrame) -> DataFrame:
     return agg.withColumn(
         "estimated_revenue_per_host", safe_ratio("total_estimated_revenue", "distinct_hosts")
     )
+
+
+# --- verbatim ("as-is") variants --------------------------------------------
+# The source's own mart joins on the as-is fact: every host version whose
+# closed interval contains the date (joined on the shared host_key) and every
+# property row of the listing (joined on property_key).  Each fan-out is
+# kept, so counts and sums are the source's.  For parity checks; the
+# point-in-time marts above are the defaults.
+
+
+def _asis_base(fact_asis: DataFrame, host: DataFrame, prop: DataFrame | None, as_of) -> DataFrame:
+    base = temporal_left_join(
+        fact_asis, host, "host_key", "host_key", "scraped_date", ["host_is_superhost"], as_of, closed=True
+    )
+    if prop is None:
+        return base
+    p = prop.select(
+        F.col("property_key").alias("__pk"), "property_type", "room_type", "accommodates", "review_scores_rating"
+    )
+    return base.join(p, F.col("property_key") == F.col("__pk"), "left").drop("__pk")
+
+
+def mart_listing_neighbourhood_asis(fact_asis, host, prop, as_of=DEFAULT_AS_OF) -> DataFrame:
+    """M18 verbatim on the as-is fact."""
+    base = _with_period(_asis_base(fact_asis, host, prop, as_of)).withColumn(
+        "listing_neighbourhood_lga", F.coalesce(F.col("lga_key"), F.lit("Unknown"))
+    )
+    return monthly_listing_measures(base, ["listing_neighbourhood_lga"])
+
+
+def mart_property_type_asis(fact_asis, host, prop, as_of=DEFAULT_AS_OF) -> DataFrame:
+    """M19 verbatim on the as-is fact."""
+    base = (
+        _with_period(_asis_base(fact_asis, host, prop, as_of))
+        .withColumn("property_type", F.coalesce(F.col("property_type"), F.lit("Unknown")))
+        .withColumn("room_type", F.coalesce(F.col("room_type"), F.lit("Unknown")))
+        .withColumn("accommodates", F.coalesce(F.col("accommodates"), F.lit(0)))
+    )
+    return monthly_listing_measures(base, ["property_type", "room_type", "accommodates"])
+
+
+def mart_host_neighbourhood_asis(fact_asis, host, as_of=DEFAULT_AS_OF) -> DataFrame:
+    """M17 verbatim: the host-version join is kept, duplicating revenue on
+    boundary dates exactly as the source does."""
+    return mart_host_neighbourhood(_asis_base(fact_asis, host, None, as_of))

@@ -40,6 +40,8 @@ class RentalModel:
         "dm_census",
         "fact",
     )
+    # Written only when the verbatim (fanned-out) variants are asked for.
+    MATERIALIZED_ASIS = ("dm_property", "fact_asis")
 
     def materialize(self, base_path: str) -> "RentalModel":
         """Write the silver and gold tables once under ``base_path`` (a shared
@@ -50,13 +52,25 @@ class RentalModel:
         written files cut the lineage (a lost executor re-reads a table
         instead of recomputing the chain)."""
         out = RentalModel(self.bronze, self.as_of)
+        out._base_path = base_path
         for name in self.MATERIALIZED:
-            df = getattr(out, name)
-            path = f"{base_path.rstrip('/')}/{name}"
-            df.write.mode("overwrite").parquet(path)
-            out.__dict__[name] = df.sparkSession.read.parquet(path)
+            out._write(name)
         return out
 
+    def materialize_asis(self) -> "RentalModel":
+        """Add the as-is fact (and the property dimension it joins) to an
+        already materialised model; idempotent."""
+        for name in self.MATERIALIZED_ASIS:
+            if name not in self.__dict__:
+                self._write(name)
+        return self
+
+    def _write(self, name: str) -> None:
+        df = getattr(self, name)
+        path = f"{self._base_path.rstrip('/')}/{name}"
+        df.write.mode("overwrite").parquet(path)
+        self.__dict__[name] = df.sparkSession.read.parquet(path)
+
     # --- silver -------------------------------------------------------
     @cached_property
     def listings(self) -> DataFrame:
@@ -138,6 +152,15 @@ class RentalModel:
     def mart_host_neighbourhood(self) -> DataFrame:
         return marts.mart_host_neighbourhood(self.fact)
 
+    def mart_listing_neighbourhood_asis(self) -> DataFrame:
+        return marts.mart_listing_neighbourhood_asis(self.fact_asis, self.dm_host, self.dm_property, self.as_of)
+
+    def mart_property_type_asis(self) -> DataFrame:
+        return marts.mart_property_type_asis(self.fact_asis, self.dm_host, self.dm_property, self.as_of)
+
+    def mart_host_neighbourhood_asis(self) -> DataFrame:
+        return marts.mart_host_neighbourhood_asis(self.fact_asis, self.dm_host, self.as_of)
+
     # --- questions ----------------------------------------------------
     def question_a(self) -> DataFrame:
         return adhoc.question_a(self.fact, self.dm_census)
@@ -153,3 +176,14 @@ class RentalModel:
 
     def question_e(self) -> DataFrame:
         return adhoc.question_e(self.fact, self.dm_census_g02, self.dm_lga)
+
+    # the questions as the source runs them, on the as-is fact
+    def question_asis(self, q: str) -> DataFrame:
+        f = self.fact_asis
+        return {
+            "a": lambda: adhoc.question_a(f, self.dm_census),
+            "b": lambda: adhoc.question_b(f, self.dm_census_g02),
+            "c": lambda: adhoc.question_c(f, self.dm_suburb, prop=self.dm_property),
+            "d": lambda: adhoc.question_d(f),
+            "e": lambda: adhoc.question_e(f, self.dm_census_g02, self.dm_lga),
+        }[q]()

@@ -117,6 +117,36 @@ def _mart_listing_neighbourhood_closed(spark, sf_dir):
     return warehouse(spark, sf_dir).mart_listing_neighbourhood(closed=True)
 
 
+@register("mart_host_neighbourhood_asis")
+def _mart_host_neighbourhood_asis(spark, sf_dir):
+    """M17 verbatim on the as-is fact (fan-out and closed host join kept)."""
+    return warehouse(spark, sf_dir).materialize_asis().mart_host_neighbourhood_asis()
+
+
+@register("mart_listing_neighbourhood_asis")
+def _mart_listing_neighbourhood_asis(spark, sf_dir):
+    """M18 verbatim on the as-is fact (fan-out, closed host join, property join)."""
+    return warehouse(spark, sf_dir).materialize_asis().mart_listing_neighbourhood_asis()
+
+
+@register("mart_property_type_asis")
+def _mart_property_type_asis(spark, sf_dir):
+    """M19 verbatim on the as-is fact."""
+    return warehouse(spark, sf_dir).materialize_asis().mart_property_type_asis()
+
+
+def _question_asis(q: str):
+    def fn(spark, sf_dir):
+        return warehouse(spark, sf_dir).materialize_asis().question_asis(q)
+
+    fn.__doc__ = f"Question {q} as the source runs it, on the as-is fact."
+    return fn
+
+
+for _q in "abcde":
+    register(f"adhoc_{_q}_asis")(_question_asis(_q))
+
+
 @register("adhoc_a")
 def _adhoc_a(spark, sf_dir):
     """Top-3 / bottom-3 LGAs by host revenue and their demographics."""
