@@ -6,8 +6,8 @@ columns, turned the usual missing-value spellings into NULL, rewrote
 ``d/m/Y`` dates to ISO, and inserted row by row.  Here the same steps are
 column expressions over a distributed CSV scan:
 
-1. list the files and read each file's header line (one tiny job per file,
-   run concurrently) — only metadata reaches the driver;
+1. list the files and read the header line of each delivery folder (one
+   tiny job per folder, run concurrently) — only metadata reaches the driver;
 2. group files by header and read each group in ONE multi-file scan with an
    all-string schema in that header's order (a multi-file read binds columns
    by position, so files with different headers must not share a scan);
@@ -68,11 +68,26 @@ def _header_of(spark: SparkSession, path: str, multiline: bool) -> tuple[str, ..
     return tuple(reader.csv(path).columns)
 
 
-def read_headers(spark: SparkSession, paths: Sequence[str], multiline: bool = True) -> dict[str, tuple[str, ...]]:
-    """Header of each file (first record only)."""
+def read_headers(
+    spark: SparkSession, paths: Sequence[str], multiline: bool = True, per_file: bool = False
+) -> dict[str, tuple[str, ...]]:
+    """Header of each file (first record only).
+
+    By default one file per folder is read and its header applies to the
+    folder: a folder is one delivery (a month's drop, possibly split into
+    many part files by the exporter), so the number of header reads grows
+    with deliveries, not files.  ``per_file`` reads every file's header."""
+    if per_file:
+        probes = {p: p for p in paths}
+    else:
+        first_in_folder: dict[str, str] = {}
+        for p in sorted(paths):
+            first_in_folder.setdefault(p.rsplit("/", 1)[0], p)
+        probes = {p: first_in_folder[p.rsplit("/", 1)[0]] for p in paths}
+    unique = sorted(set(probes.values()))
     with ThreadPoolExecutor(max_workers=8) as pool:
-        heads = list(pool.map(lambda p: _header_of(spark, p, multiline), paths))
-    return dict(zip(paths, heads))
+        heads = dict(zip(unique, pool.map(lambda p: _header_of(spark, p, multiline), unique)))
+    return {p: heads[probe] for p, probe in probes.items()}
 
 
 def bind_by_name(df: DataFrame) -> DataFrame:
@@ -86,6 +101,7 @@ def read_csv_by_name(
     paths: Sequence[str],
     base_path: str | None = None,
     multiline: bool = True,
+    header_per_file: bool = False,
 ) -> DataFrame:
     """All files as one all-string frame, columns bound by header name.
 
@@ -94,7 +110,7 @@ def read_csv_by_name(
     such files cannot be split, so pass False for large files known to have
     none.
     """
-    headers = read_headers(spark, paths, multiline)
+    headers = read_headers(spark, paths, multiline, per_file=header_per_file)
     groups: dict[tuple[str, ...], list[str]] = {}
     for p in paths:
         groups.setdefault(headers[p], []).append(p)
