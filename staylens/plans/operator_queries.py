@@ -31,6 +31,7 @@ from staylens.operators.ranking import lag_over, latest_per_key, top_bottom_n, t
 from staylens.plans import adhoc, marts, silver
 from staylens.plans.registry import register, warehouse as model
 from staylens.sources import bindings
+from staylens.sources.tables import read_table
 
 ORACLE = oq.ORACLE
 REV = "(30 - availability_30) * price"
@@ -663,3 +664,60 @@ def _fn_year_month(spark, sf_dir):
 _sql("fn_year_month", """
 SELECT CAST(extract(year FROM scraped_date) AS BIGINT) AS year, CAST(extract(month FROM scraped_date) AS BIGINT) AS month,
     CAST(COUNT(*) AS BIGINT) AS n_rows FROM fact_pit GROUP BY 1, 2""")
+
+
+# --- the generic operators on the denser events table (FIXTURES §2) -----------
+def _events(spark, sf_dir):
+    return read_table(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type", "value")
+
+
+@register("scd2_rebuild_events")
+def _scd2_rebuild_events(spark, sf_dir):
+    """S14 on events: each user's event-type history, versions keyed by the
+    event time (the operator is generic over key, timestamp and attributes)."""
+    from staylens.operators.scd2 import scd2_rebuild
+
+    return scd2_rebuild(_events(spark, sf_dir), ["user_id"], "ts", ["event_type"])
+
+
+_sql("scd2_rebuild_events", """
+, v AS (SELECT DISTINCT user_id, event_type, ts FROM events WHERE user_id IS NOT NULL)
+SELECT CAST(user_id AS BIGINT) AS user_id, event_type, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts,
+    strftime(ts, '%Y-%m-%d %H:%M:%S') AS valid_from,
+    strftime(lead(ts) OVER (PARTITION BY user_id ORDER BY ts ASC NULLS FIRST, event_type ASC NULLS LAST),
+             '%Y-%m-%d %H:%M:%S') AS valid_to
+FROM v""")
+
+
+@register("latest_per_key_events")
+def _latest_per_key_events(spark, sf_dir):
+    """W7 on events: each user's latest event (ties broken by event id)."""
+    e = _events(spark, sf_dir)
+    return latest_per_key(e, ["user_id"], [F.col("ts").desc_nulls_last(), F.col("event_id").desc_nulls_last()])
+
+
+_sql("latest_per_key_events", """
+SELECT CAST(event_id AS BIGINT) AS event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, CAST(user_id AS BIGINT) AS user_id,
+    event_type, value
+FROM events
+QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC NULLS LAST, event_id DESC NULLS LAST) = 1""")
+
+
+@register("win_lag_events")
+def _win_lag_events(spark, sf_dir):
+    """W4/W5 on events: each event's previous event type and value per user."""
+    e = _events(spark, sf_dir)
+    order = [F.col("ts").asc_nulls_first(), F.col("event_id").asc_nulls_first()]
+    from pyspark.sql import Window
+
+    w = Window.partitionBy("user_id").orderBy(*order)
+    return e.select(
+        "event_id", "user_id", F.lag("event_type").over(w).alias("prev_event_type"),
+        (F.col("value") - F.lag("value").over(w)).alias("value_change"),
+    )
+
+
+_sql("win_lag_events", """
+SELECT CAST(event_id AS BIGINT) AS event_id, CAST(user_id AS BIGINT) AS user_id,
+    LAG(event_type) OVER w AS prev_event_type, value - LAG(value) OVER w AS value_change
+FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts ASC NULLS FIRST, event_id ASC NULLS FIRST)""")
