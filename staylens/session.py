@@ -63,16 +63,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder.
 
     The cluster names it in ``spark.checkpoint.dir``; we read it from the
-    session and only invent one (under the OS temp dir) when it is unset,
-    which happens in local tests only.
+    session (or the SparkContext's checkpoint dir) and only invent one, under
+    the OS temp dir, when neither is set — which happens in local tests only.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
     sc = spark.sparkContext
-    if not base:
-        base = sc.getCheckpointDir()
+    base = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not base:
         base = tempfile.mkdtemp(prefix="staylens-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", base)
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(base)
     return base
