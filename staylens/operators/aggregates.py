@@ -20,11 +20,13 @@ def exact_avg(c: ColumnOrName) -> Column:
 
 
 def median(c: ColumnOrName) -> Column:
-    """Exact continuous median (PERCENTILE_CONT(0.5)), NULLs skipped.
+    """Exact continuous median (PERCENTILE_CONT(0.5)), NULLs skipped, as an
+    aggregate expression.
 
     Spark's ``percentile`` buffers a value -> count map per group and merges
-    maps across partitions, so memory per group is bounded by the number of
-    *distinct* values, not rows."""
+    maps across partitions in one task, so it suits groups with a bounded
+    number of distinct values; for groups that may hold a large share of all
+    rows use ``median_by``."""
     return F.percentile(_c(c).cast("double"), F.lit(0.5))
 
 
@@ -79,3 +81,40 @@ def min_if(cond: Column, value: ColumnOrName) -> Column:
 
 def max_if(cond: Column, value: ColumnOrName) -> Column:
     return F.max(F.when(cond, _c(value)))
+
+
+def median_by(df, keys, value: str, out: str = "median"):
+    """Exact continuous median of ``value`` per ``keys`` (PERCENTILE_CONT(0.5),
+    NULLs skipped), as a DataFrame (keys..., out).
+
+    Distributed and spill-safe even for a group holding a large share of all
+    rows: rows are first reduced to distinct (keys, value) counts (map-side
+    combine), then one sorted window per group yields running counts — a
+    streaming, spillable operator, never one in-memory buffer per group —
+    and the two middle values are picked by position.  Interpolation is
+    ``(1 - d) * lo + d * hi`` with d = 0.5 — the form Spark's ``percentile``
+    and DuckDB's ``quantile_cont`` use, bit for bit (``lo`` exactly for an
+    odd count).
+    """
+    from pyspark.sql import Window
+
+    counts = (
+        df.where(F.col(value).isNotNull())
+        .groupBy(*keys, value)
+        .agg(F.count(F.lit(1)).alias("__c"))
+    )
+    run = Window.partitionBy(*keys).orderBy(F.col(value).asc()).rowsBetween(Window.unboundedPreceding, 0)
+    whole = Window.partitionBy(*keys)
+    ranked = counts.withColumn("__cum", F.sum("__c").over(run)).withColumn("__n", F.sum("__c").over(whole))
+    lo_pos = F.floor((F.col("__n") - 1) / 2)
+    hi_pos = F.ceil((F.col("__n") - 1) / 2)
+    first = F.col("__cum") - F.col("__c")   # 0-based position of this value's first copy
+    last = F.col("__cum") - 1
+
+    def at(pos):
+        return F.max(F.when((first <= pos) & (pos <= last), F.col(value).cast("double")))
+
+    picked = ranked.groupBy(*keys).agg(at(lo_pos).alias("__lo"), at(hi_pos).alias("__hi"))
+    return picked.select(
+        *keys, (F.col("__lo") * F.lit(0.5) + F.col("__hi") * F.lit(0.5)).alias(out)
+    )

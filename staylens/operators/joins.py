@@ -65,3 +65,12 @@ def scalar_of(one_value: DataFrame):
     Spark runs the subquery once and substitutes its value; no join, no
     broadcast of anything that grows with the data."""
     return one_value.scalar()
+
+
+def left_join_null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """LEFT JOIN on ``keys`` where NULL matches NULL (``<=>``): joining two
+    aggregates of the same frame back together, a NULL group key is a real
+    group.  Spark plans null-safe equality as an ordinary equi-join key."""
+    r = right.select(*[F.col(k).alias(f"__r_{k}") for k in keys], *[c for c in right.columns if c not in keys])
+    on = [F.col(k).eqNullSafe(F.col(f"__r_{k}")) for k in keys]
+    return left.join(r, on, "left").drop(*[f"__r_{k}" for k in keys])

@@ -6,8 +6,8 @@ year, month) -> LAG over the (small) monthly series of each group.
 
 Scale notes: distinct-host counts come from a per-(group, month, host)
 pre-aggregation (map-side combine collapses a hot host) instead of an
-Expand; the exact median is its own aggregation, buffering one value->count
-map per group.  The LAG window runs on the aggregated output (one row per
+Expand; the exact median is computed from distinct (group, price) counts with
+a sorted running count, spill-safe for a hot group.  The LAG window runs on the aggregated output (one row per
 group and month), never on fact rows.
 """
 
@@ -30,7 +30,8 @@ from staylens.functions.expressions import (
     stays,
     year_of,
 )
-from staylens.operators.aggregates import count_if, median, sum_if
+from staylens.operators.aggregates import count_if, median_by, sum_if
+from staylens.operators.joins import left_join_null_safe
 from staylens.operators.ranking import lag_over
 from staylens.operators.temporal import temporal_left_join
 
@@ -67,7 +68,9 @@ def monthly_listing_measures(base: DataFrame, group_cols: Sequence[str]) -> Data
        — partial aggregation collapses a hot host map-side;
     2. per (group, month): roll-up of (1); distinct hosts = non-NULL host
        rows of (1), superhost hosts = flagged ones;
-    3. per (group, month): the exact median, on its own;
+    3. per (group, month): the exact median, on its own, from distinct
+       (group, month, price) counts and a sorted running count (spillable;
+       no per-group in-memory buffer even for a hot group);
     then (2) JOIN (3) on the group keys — both one row per group and month.
     """
     keys = [*group_cols, "year", "month"]
@@ -102,12 +105,8 @@ def monthly_listing_measures(base: DataFrame, group_cols: Sequence[str]) -> Data
         F.sum("stays").alias("total_stays"),
         F.sum("rev").alias("total_estimated_revenue"),
     )
-    medians = base.where(active & F.col("price").isNotNull()).groupBy(*keys).agg(
-        median("price").alias("median_price")
-    )
-    m = medians.select(*[F.col(k).alias(f"__m_{k}") for k in keys], "median_price")
-    on = [F.col(k).eqNullSafe(F.col(f"__m_{k}")) for k in keys]
-    agg = agg.join(m, on, "left").drop(*[f"__m_{k}" for k in keys])
+    medians = median_by(base.where(active).select(*keys, "price"), keys, "price", "median_price")
+    agg = left_join_null_safe(agg, medians, keys)
     inactive = F.col("total_listings") - F.col("active_listings")
     order = ["year", "month"]
     with_prev = agg.withColumn(

@@ -26,7 +26,13 @@ from staylens.functions.expressions import (
     year_of,
 )
 from staylens.operators import aggregates as A
-from staylens.operators.joins import full_outer_small_right, join_concat_key, left_join_normalized, semi_join_in
+from staylens.operators.joins import (
+    full_outer_small_right,
+    join_concat_key,
+    left_join_normalized,
+    left_join_null_safe,
+    semi_join_in,
+)
 from staylens.operators.ranking import lag_over, latest_per_key, top_bottom_n, top_k, with_dense_ranks
 from staylens.plans import adhoc, marts, silver
 from staylens.plans.registry import register, warehouse as model
@@ -331,9 +337,11 @@ FROM fact_pit_host GROUP BY 1, 2""")
 def _agg_median(spark, sf_dir):
     """A10: exact median of active prices per LGA and year."""
     f = model(spark, sf_dir).fact
-    return f.groupBy("lga_code", year_of("scraped_date").alias("year")).agg(
-        A.median(F.when(active_available(), F.col("price"))).alias("median_price")
-    )
+    rows = f.where(active_available()).select("lga_code", year_of("scraped_date").alias("year"), "price")
+    groups = f.select("lga_code", year_of("scraped_date").alias("year")).distinct()
+    # groups without an active price keep a NULL median, as the aggregate does
+    return left_join_null_safe(groups, A.median_by(rows, ["lga_code", "year"], "price", "median_price"),
+                               ["lga_code", "year"])
 
 
 _sql("agg_median", """
