@@ -57,7 +57,9 @@ def with_superhost_flag(
     )
 
 
-def monthly_listing_measures(base: DataFrame, group_cols: Sequence[str]) -> DataFrame:
+def monthly_listing_measures(
+    base: DataFrame, group_cols: Sequence[str], price_rows: DataFrame | None = None
+) -> DataFrame:
     """Shared measure set of the listing-neighbourhood and property-type marts.
 
     Planned as three aggregations instead of one with two COUNT(DISTINCT)s
@@ -72,6 +74,9 @@ def monthly_listing_measures(base: DataFrame, group_cols: Sequence[str]) -> Data
        (group, month, price) counts and a sorted running count (spillable;
        no per-group in-memory buffer even for a hot group);
     then (2) JOIN (3) on the group keys — both one row per group and month.
+
+    ``price_rows`` (optional) are the rows the median is taken over when they
+    can skip a join of ``base`` that cannot change row multiplicity.
     """
     keys = [*group_cols, "year", "month"]
     active = active_available("availability_30")
@@ -105,7 +110,8 @@ def monthly_listing_measures(base: DataFrame, group_cols: Sequence[str]) -> Data
         F.sum("stays").alias("total_stays"),
         F.sum("rev").alias("total_estimated_revenue"),
     )
-    medians = median_by(base.where(active).select(*keys, "price"), keys, "price", "median_price")
+    src = base if price_rows is None else price_rows
+    medians = median_by(src.where(active).select(*keys, "price"), keys, "price", "median_price")
     agg = left_join_null_safe(agg, medians, keys)
     inactive = F.col("total_listings") - F.col("active_listings")
     order = ["year", "month"]
@@ -143,10 +149,15 @@ def mart_listing_neighbourhood(
 ) -> DataFrame:
     """M18 on the point-in-time fact: per listing LGA (md5 key, 'Unknown' when
     unmapped) and month."""
-    base = _with_period(with_superhost_flag(fact, host, as_of, closed)).withColumn(
-        "listing_neighbourhood_lga", F.coalesce(F.col("lga_key"), F.lit("Unknown"))
-    )
-    return monthly_listing_measures(base, ["listing_neighbourhood_lga"])
+    def prep(df):
+        return _with_period(df).withColumn(
+            "listing_neighbourhood_lga", F.coalesce(F.col("lga_key"), F.lit("Unknown"))
+        )
+
+    base = prep(with_superhost_flag(fact, host, as_of, closed))
+    # half-open versions never overlap: the host join keeps one row per fact
+    # row, so the median can read the fact without it
+    return monthly_listing_measures(base, ["listing_neighbourhood_lga"], None if closed else prep(fact))
 
 
 def mart_property_type(
@@ -154,13 +165,18 @@ def mart_property_type(
 ) -> DataFrame:
     """M19 on the point-in-time fact: per property type x room type x
     capacity and month."""
-    base = (
-        _with_period(with_superhost_flag(fact, host, as_of, closed))
-        .withColumn("property_type", F.coalesce(F.col("property_type"), F.lit("Unknown")))
-        .withColumn("room_type", F.coalesce(F.col("room_type"), F.lit("Unknown")))
-        .withColumn("accommodates", F.coalesce(F.col("accommodates"), F.lit(0)))
+    def prep(df):
+        return (
+            _with_period(df)
+            .withColumn("property_type", F.coalesce(F.col("property_type"), F.lit("Unknown")))
+            .withColumn("room_type", F.coalesce(F.col("room_type"), F.lit("Unknown")))
+            .withColumn("accommodates", F.coalesce(F.col("accommodates"), F.lit(0)))
+        )
+
+    base = prep(with_superhost_flag(fact, host, as_of, closed))
+    return monthly_listing_measures(
+        base, ["property_type", "room_type", "accommodates"], None if closed else prep(fact)
     )
-    return monthly_listing_measures(base, ["property_type", "room_type", "accommodates"])
 
 
 def mart_host_neighbourhood(fact: DataFrame) -> DataFrame:

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from staylens.sources import schemas
-from staylens.sources.tables import read_table
+from staylens.sources.tables import read_table, spread_if_narrow
 
 # Fixed binding parameters (FIXTURES.md §2).
 HOSTS_PER_CUSTOMER = 8
@@ -60,13 +60,11 @@ def listings_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = read_table(spark, sf_dir, "nation", "n_nationkey", "n_name")
     s = read_table(spark, sf_dir, "supplier", "s_suppkey", "s_name")
 
-    # Cluster snapshots by listing right after the scan.  This is the one
-    # shuffle the listing rows need: the silver de-duplication window is
-    # partitioned by (listing_id, scraped_date), which hash partitioning on
-    # listing_id already satisfies, and a sort-merge join with orders (when
-    # orders is too large to broadcast) is keyed on it too.  It also spreads
-    # files with few row groups over every core.
-    li = li.repartition("l_orderkey")
+    # A scan narrower than the cluster is spread round-robin (skew-free);
+    # the silver de-duplication then shuffles on its full key
+    # (listing_id, scraped_date) after a map-side partial limit, so even a
+    # listing holding a third of all rows never lands in one task.
+    li = spread_if_narrow(li, ["l_orderkey", "l_linenumber"])
     # Left joins: a snapshot is never dropped for a missing dimension row.
     # Join strategy is left to AQE (nation and supplier are far below the
     # broadcast threshold; orders/customer are shuffled on their keys).

@@ -80,8 +80,10 @@ def write_drops(
             (df.where(F.col(batch_col) >= drift_from), drift_style),
         ]
     for i, (part, st) in enumerate(parts):
-        # one file per drop folder, as the source delivers one CSV per month
-        rendered = _render(part, st, [batch_col]).repartition(batch_col)
+        # few files per drop folder (the source delivers one CSV per month):
+        # range-partitioned on (batch, listing, scrape) so a month holding a
+        # third of all rows is still split across tasks
+        rendered = _render(part, st, [batch_col]).repartitionByRange(batch_col, "listing_id", "scrape_id")
         w_root = root
         if i == 0:
             write_csv(rendered, w_root, null_value=st.null_value, partition_by=[batch_col])

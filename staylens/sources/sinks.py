@@ -68,17 +68,19 @@ def write_fact_partitioned(fact: DataFrame, path: str, date_col: str = "scraped_
     (year, month) so a month predicate prunes whole folders, each folder's
     files sorted by host for tight parquet min/max statistics.
 
-    Rows are range-partitioned on (year, month, host_key) before the write:
-    each task writes one or a few folders (no small-file explosion), and a
-    month holding a third of all rows is cut into many sampled ranges
-    instead of landing in one task."""
+    Rows are range-partitioned on (year, month, host_key) plus the fact's
+    unique key before the write: each task writes one or a few folders (no
+    small-file explosion), and a month — even a single host in a month —
+    holding a third of all rows is cut into many sampled ranges instead of
+    landing in one task."""
     from pyspark.sql import functions as F
 
+    order = ["year", "month", "host_key", "listing_id", date_col]
     laid = (
         fact.withColumn("year", F.year(date_col))
         .withColumn("month", F.month(date_col))
-        .repartitionByRange("year", "month", "host_key")
-        .sortWithinPartitions("year", "month", "host_key")
+        .repartitionByRange(*order)
+        .sortWithinPartitions(*order)
     )
     laid.write.mode("overwrite").partitionBy("year", "month").parquet(path)
     return fact.sparkSession.read.parquet(path)

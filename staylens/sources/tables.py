@@ -25,3 +25,18 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataF
         _scans[key] = spark.read.parquet(table_path(sf_dir, name))
     df = _scans[key]
     return df.select(*cols) if cols else df
+
+
+def spread_if_narrow(df: DataFrame, unique_key: list[str]) -> DataFrame:
+    """Spread a scan that yields fewer tasks than the cluster has cores (a
+    file with one large row group) before heavy per-row work.
+
+    Rows are hash-partitioned on their unique identity (``unique_key``): no
+    key holds more than one row, so the spread is skew-free, and unlike
+    round-robin it is deterministic without a pre-sort (safe on task retry).
+    Inputs that already split into enough tasks — every input at scale — pass
+    through untouched, so this never adds a shuffle there."""
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target, *unique_key)
+    return df

@@ -21,12 +21,17 @@ def _formatted(df) -> str:
     return buf.getvalue()
 
 
-def test_silver_dedup_reuses_the_scan_shuffle(spark):
+def test_silver_dedup_is_skew_safe(spark):
     df = RentalModel.from_tables(spark, SF_SMALL).listings
-    plan = _plan(df)
-    # one hash exchange (the listing_id repartition); the window needs no other
-    assert plan.count("Exchange hashpartitioning") == 1
-    assert "WindowGroupLimit" in plan
+    lines = [ln.strip() for ln in _plan(df).splitlines()]
+    exch = [i for i, ln in enumerate(lines) if "Exchange hashpartitioning(listing_id" in ln]
+    # the de-dup shuffles on its full key ...
+    assert len(exch) == 1 and "scraped_date" in lines[exch[0]]
+    # ... after a map-side partial limit (plan text lists parents first)
+    assert any("WindowGroupLimit" in ln for ln in lines[exch[0] + 1:])
+    # the narrow-scan spread hashes on the rows' unique identity only
+    assert not any("RoundRobinPartitioning" in ln for ln in lines)
+    assert all("l_linenumber" in ln for ln in lines if "Exchange hashpartitioning(l_orderkey" in ln)
 
 
 def test_marts_have_no_expand(spark):
