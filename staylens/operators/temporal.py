@@ -45,15 +45,42 @@ def temporal_left_join(
     columns: Sequence[str],
     as_of: _dt.date | str,
     closed: bool = False,
+    bucket: str | None = "year",
 ) -> DataFrame:
-    """Attach ``columns`` of the version valid at ``fact[date_col]``."""
+    """Attach ``columns`` of the version valid at ``fact[date_col]``.
+
+    ``bucket`` ('year', 'quarter', 'month' or None) bucketizes the range: each
+    version is listed once per calendar bucket its interval overlaps, and the
+    join is an equi-join on (key, bucket) plus the interval check.  A fact row
+    is then only compared with the versions overlapping its own bucket, so a
+    key with thousands of versions costs (facts x versions per bucket), not
+    (facts x all versions) — a range join without all-pairs work.  The version
+    list grows by at most the number of buckets a version spans.
+    """
     h = history.select(
         F.col(history_key).alias("__h_key"),
         F.col(VALID_FROM).alias("__h_from"),
         F.col(VALID_TO).alias("__h_to"),
         *[F.col(c).alias(c) for c in columns],
     )
+    as_of_lit = F.lit(as_of).cast("date")
     cond = (F.col(fact_key) == F.col("__h_key")) & interval_condition(
         F.col(date_col), F.col("__h_from"), F.col("__h_to"), as_of, closed
     )
-    return fact.join(h, cond, "left").drop("__h_key", "__h_from", "__h_to")
+    if bucket is None:
+        return fact.join(h, cond, "left").drop("__h_key", "__h_from", "__h_to")
+    step = {"year": "1 year", "quarter": "3 months", "month": "1 month"}[bucket]
+    # the last day a version can match: its end (closed) / the day before it
+    # (half-open; the end's own bucket is kept, the check decides), or as_of
+    last = F.coalesce(F.col("__h_to"), as_of_lit)
+    buckets = F.sequence(
+        F.date_trunc(bucket, F.col("__h_from")).cast("date"),
+        F.date_trunc(bucket, F.greatest(last, F.col("__h_from"))).cast("date"),
+        F.expr(f"interval {step}"),
+    )
+    # versions without a start never match (the interval check is NULL)
+    hb = h.where(F.col("__h_from").isNotNull()).withColumn("__bucket", F.explode(buckets))
+    fb = fact.withColumn("__bucket", F.date_trunc(bucket, F.col(date_col)).cast("date"))
+    cond = cond & (F.col("__bucket_f") == F.col("__bucket"))
+    joined = fb.withColumnRenamed("__bucket", "__bucket_f").join(hb, cond, "left")
+    return joined.drop("__h_key", "__h_from", "__h_to", "__bucket", "__bucket_f")

@@ -120,7 +120,8 @@ def test_upsert_idempotent(spark):
     assert sorted(map(tuple, once.collect())) == sorted(map(tuple, twice.collect()))
 
 
-def test_temporal_join_boundaries(spark):
+@pytest.mark.parametrize("bucket", [None, "year", "quarter", "month"])
+def test_temporal_join_boundaries(spark, bucket):
     hist = spark.createDataFrame(
         [(1, D(2020, 1, 1), D(2020, 6, 1), False), (1, D(2020, 6, 1), None, True)],
         "host_id int, valid_from date, valid_to date, host_is_superhost boolean",
@@ -131,7 +132,9 @@ def test_temporal_join_boundaries(spark):
     )
 
     def run(closed):
-        out = temporal_left_join(fact, hist, "host_id", "host_id", "d", ["host_is_superhost"], D(2025, 1, 1), closed)
+        out = temporal_left_join(
+            fact, hist, "host_id", "host_id", "d", ["host_is_superhost"], D(2025, 1, 1), closed, bucket
+        )
         return sorted((r.d, r.host_is_superhost) for r in out.collect())
 
     half_open = run(False)
