@@ -37,7 +37,7 @@ from staylens.operators.ranking import lag_over, latest_per_key, top_bottom_n, t
 from staylens.plans import adhoc, marts, silver
 from staylens.plans.registry import register, warehouse as model
 from staylens.sources import bindings
-from staylens.sources.tables import read_table
+from staylens.sources.tables import read_table, wall_clock
 
 ORACLE = oq.ORACLE
 REV = "(30 - availability_30) * price"
@@ -676,7 +676,8 @@ SELECT CAST(extract(year FROM scraped_date) AS BIGINT) AS year, CAST(extract(mon
 
 # --- the generic operators on the denser events table (FIXTURES §2) -----------
 def _events(spark, sf_dir):
-    return read_table(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type", "value")
+    e = read_table(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type", "value")
+    return e.withColumn("ts", wall_clock(e, "ts"))
 
 
 @register("scd2_rebuild_events")

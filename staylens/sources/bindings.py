@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from staylens.sources import schemas
-from staylens.sources.tables import read_table, spread_if_narrow
+from staylens.sources.tables import read_table, spread_if_narrow, wall_date
 
 # Fixed binding parameters (FIXTURES.md §2).
 HOSTS_PER_CUSTOMER = 8
@@ -80,10 +80,10 @@ def listings_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     cols = {
         "listing_id": F.col("l_orderkey"),
         "scrape_id": F.col("l_linenumber"),
-        "scraped_date": F.col("l_shipdate").cast("date"),
+        "scraped_date": wall_date(li, "l_shipdate"),
         "host_id": F.col("o_custkey") * HOSTS_PER_CUSTOMER + F.col("o_orderkey") % HOSTS_PER_CUSTOMER,
         "host_name": F.col("c_name"),
-        "host_since": F.col("o_orderdate").cast("date"),
+        "host_since": wall_date(o, "o_orderdate"),
         "host_is_superhost": F.when(F.col("c_acctbal") > SUPERHOST_BALANCE, "t").when(
             F.col("c_acctbal") > 0, "f"
         ),

@@ -6,7 +6,9 @@ parquet ReadSchema is pruned even when a plan is later unioned or cached.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def table_path(sf_dir: str, name: str) -> str:
@@ -40,3 +42,22 @@ def spread_if_narrow(df: DataFrame, unique_key: list[str]) -> DataFrame:
     if df.rdd.getNumPartitions() < target:
         return df.repartition(target, *unique_key)
     return df
+
+
+def wall_clock(df: DataFrame, name: str) -> Column:
+    """A zone-less timestamp column as written (its wall-clock value).
+
+    The test tables store timestamps without a zone; Spark reads them as
+    TIMESTAMP_NTZ by default and every conversion is exact.  If a session
+    reads them as zoned TIMESTAMP instead, shift back from the session zone
+    so dates do not move with ``spark.sql.session.timeZone``."""
+    c = F.col(name)
+    if isinstance(df.schema[name].dataType, T.TimestampType):
+        tz = df.sparkSession.conf.get("spark.sql.session.timeZone")
+        return F.to_utc_timestamp(c, tz).cast("timestamp_ntz")
+    return c
+
+
+def wall_date(df: DataFrame, name: str) -> Column:
+    """The calendar date of a zone-less timestamp column."""
+    return wall_clock(df, name).cast("date")
