@@ -72,7 +72,7 @@ def main() -> None:
         "build_warehouse",
         lambda: RentalModel.from_tables(spark, sf_dir).materialize(shared_path(spark, "bench-warehouse")),
     )
-    registry.warehouse(spark, sf_dir)  # the tables the marts read
+    registry.warehouse(spark, sf_dir).build()  # the tables the marts read, untimed
     for name in names:
         timed(name, lambda: run(qs[name](spark, sf_dir)))
     sf = os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")

@@ -4,6 +4,11 @@
 property.  Nothing runs until an action: each property only extends the
 logical plan, so a mart pulled from here is one Catalyst plan from the parquet
 scans up (column pruning and filter pushdown reach the files).
+
+Layer tables (silver and gold, ``_table``) can be materialised: a model with a
+warehouse folder writes each one the first time anything reads it and from
+then on reads the written table — so a query builds only the layers it needs,
+each exactly once per session.
 """
 
 from __future__ import annotations
@@ -17,17 +22,50 @@ from staylens.plans import adhoc, gold, marts, silver
 from staylens.sources import bindings
 
 
+def _table(fn):
+    """A layer table.  Computed from its inputs; written once (and read back)
+    when the model has a warehouse folder; taken from ``upstream`` when this
+    model recomputes only one table (``fresh``) over written inputs."""
+    name = fn.__name__
+
+    def get(self):
+        cache = self.__dict__
+        if name not in cache:
+            if self._upstream is not None and name != self._fresh:
+                df = getattr(self._upstream, name)
+            else:
+                df = fn(self)
+                if self._base_path is not None:
+                    path = f"{self._base_path.rstrip('/')}/{name}"
+                    df.write.mode("overwrite").parquet(path)
+                    df = df.sparkSession.read.parquet(path)
+            cache[name] = df
+        return cache[name]
+
+    return property(get, doc=fn.__doc__)
+
+
 class RentalModel:
-    def __init__(self, bronze: dict[str, DataFrame], as_of: _dt.date = marts.DEFAULT_AS_OF):
+    def __init__(
+        self,
+        bronze: dict[str, DataFrame],
+        as_of: _dt.date = marts.DEFAULT_AS_OF,
+        base_path: str | None = None,
+        upstream: "RentalModel | None" = None,
+        fresh: str | None = None,
+    ):
         self.bronze = bronze
         self.as_of = as_of
+        self._base_path = base_path
+        self._upstream = upstream
+        self._fresh = fresh
 
     @classmethod
     def from_tables(cls, spark: SparkSession, sf_dir: str, **kw) -> "RentalModel":
         return cls(bindings.LazyBronze(spark, sf_dir), **kw)
 
-    # Layer tables written by ``materialize``, in dependency order.  Silver
-    # and gold are tables, marts stay views (lazy), as in the source project.
+    # Layer tables of the default build, in dependency order.  Silver and
+    # gold are tables, marts stay views (lazy), as in the source project.
     MATERIALIZED = (
         "listings",
         "host_snapshot",
@@ -40,39 +78,37 @@ class RentalModel:
         "dm_census",
         "fact",
     )
-    # Written only when the verbatim (fanned-out) variants are asked for.
+    # Needed only by the verbatim (fanned-out) variants.
     MATERIALIZED_ASIS = ("dm_property", "fact_asis")
 
     def materialize(self, base_path: str) -> "RentalModel":
-        """Write the silver and gold tables once under ``base_path`` (a shared
-        folder) and return a model whose marts and questions read them.
+        """A model over the warehouse folder ``base_path`` (a shared folder)
+        with every default layer table written now.
 
         Each table is computed from the already-written upstream tables, so
         the listings are cleaned and de-duplicated exactly once, and the
         written files cut the lineage (a lost executor re-reads a table
         instead of recomputing the chain)."""
-        out = RentalModel(self.bronze, self.as_of)
-        out._base_path = base_path
-        for name in self.MATERIALIZED:
-            out._write(name)
-        return out
+        return RentalModel(self.bronze, self.as_of, base_path=base_path).build()
 
-    def materialize_asis(self) -> "RentalModel":
-        """Add the as-is fact (and the property dimension it joins) to an
-        already materialised model; idempotent."""
-        for name in self.MATERIALIZED_ASIS:
-            if name not in self.__dict__:
-                self._write(name)
+    def build(self, names=None) -> "RentalModel":
+        """Write (touch) the given layer tables now; default: all of them."""
+        for name in names or self.MATERIALIZED:
+            getattr(self, name)
         return self
 
-    def _write(self, name: str) -> None:
-        df = getattr(self, name)
-        path = f"{self._base_path.rstrip('/')}/{name}"
-        df.write.mode("overwrite").parquet(path)
-        self.__dict__[name] = df.sparkSession.read.parquet(path)
+    def materialize_asis(self) -> "RentalModel":
+        """Make the as-is fact (and the property dimension it joins)
+        available; idempotent."""
+        return self.build(self.MATERIALIZED_ASIS)
+
+    def recompute(self, name: str) -> DataFrame:
+        """Table ``name`` computed afresh, its inputs read from this model's
+        (written) tables."""
+        return getattr(RentalModel(self.bronze, self.as_of, upstream=self, fresh=name), name)
 
     # --- silver -------------------------------------------------------
-    @cached_property
+    @_table
     def listings(self) -> DataFrame:
         return silver.silver_listings(self.bronze["listings_raw"])
 
@@ -84,11 +120,11 @@ class RentalModel:
     def property_clean(self) -> DataFrame:
         return silver.silver_property(self.listings)
 
-    @cached_property
+    @_table
     def lga_code_clean(self) -> DataFrame:
         return silver.silver_lga_code(self.bronze["lga_code"])
 
-    @cached_property
+    @_table
     def lga_suburb_clean(self) -> DataFrame:
         return silver.silver_lga_suburb(self.bronze["lga_suburb"], self.bronze["lga_code"], self.listings)
 
@@ -100,7 +136,7 @@ class RentalModel:
     def census_g02_clean(self) -> DataFrame:
         return silver.silver_census_g02(self.bronze["census_g02_raw"])
 
-    @cached_property
+    @_table
     def host_snapshot(self) -> DataFrame:
         return gold.host_snapshot(self.host_clean)
 
@@ -109,35 +145,35 @@ class RentalModel:
     def dm_host(self) -> DataFrame:
         return gold.dm_host(self.host_snapshot)
 
-    @cached_property
+    @_table
     def dm_lga(self) -> DataFrame:
         return gold.dm_lga(self.lga_code_clean)
 
-    @cached_property
+    @_table
     def dm_suburb(self) -> DataFrame:
         return gold.dm_suburb(self.lga_suburb_clean)
 
-    @cached_property
+    @_table
     def dm_property(self) -> DataFrame:
         return gold.dm_property(self.property_clean)
 
-    @cached_property
+    @_table
     def dm_census_g01(self) -> DataFrame:
         return gold.dm_census_g01(self.census_g01_clean)
 
-    @cached_property
+    @_table
     def dm_census_g02(self) -> DataFrame:
         return gold.dm_census_g02(self.census_g02_clean)
 
-    @cached_property
+    @_table
     def dm_census(self) -> DataFrame:
         return gold.dm_census(self.dm_census_g01, self.dm_census_g02)
 
-    @cached_property
+    @_table
     def fact_asis(self) -> DataFrame:
         return gold.fact_asis(self.listings, self.dm_suburb, self.dm_lga, self.dm_property, self.dm_host)
 
-    @cached_property
+    @_table
     def fact(self) -> DataFrame:
         """The point-in-time fact every mart and question reads."""
         return gold.fact_pit(self.listings, self.dm_suburb, self.dm_lga)

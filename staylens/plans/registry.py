@@ -37,27 +37,22 @@ _warehouses: dict[tuple, RentalModel] = {}
 
 
 def warehouse(spark: SparkSession, sf_dir: str) -> RentalModel:
-    """The model with silver and gold written once per session under the
-    shared checkpoint folder (as the source project materialises them);
-    marts and questions are views over these tables."""
+    """The model whose silver and gold tables are written under the shared
+    checkpoint folder (as the source project materialises them), each the
+    first time a query needs it, once per session; marts and questions are
+    views over these tables."""
     from staylens.session import shared_path
 
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _warehouses:
-        _warehouses[key] = model(spark, sf_dir).materialize(shared_path(spark, "warehouse"))
+        _warehouses[key] = RentalModel.from_tables(spark, sf_dir, base_path=shared_path(spark, "warehouse"))
     return _warehouses[key]
 
 
 def layer(spark: SparkSession, sf_dir: str, attr: str) -> DataFrame:
     """Table ``attr`` computed fresh, reading its upstream layers as the
     written warehouse tables (a model reads its inputs as tables)."""
-    w = warehouse(spark, sf_dir)
-    m = RentalModel(w.bronze, w.as_of)
-    for up in RentalModel.MATERIALIZED:
-        if up == attr:
-            break
-        m.__dict__[up] = w.__dict__[up]
-    return getattr(m, attr)
+    return warehouse(spark, sf_dir).recompute(attr)
 
 
 def _model_table(name: str, attr: str, doc: str):
