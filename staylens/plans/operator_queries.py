@@ -31,6 +31,7 @@ from staylens.operators.joins import (
     join_concat_key,
     left_join_normalized,
     left_join_null_safe,
+    scalar_of,
     semi_join_in,
 )
 from staylens.operators.ranking import lag_over, latest_per_key, top_bottom_n, top_k, with_dense_ranks
@@ -730,3 +731,69 @@ _sql("win_lag_events", """
 SELECT CAST(event_id AS BIGINT) AS event_id, CAST(user_id AS BIGINT) AS user_id,
     LAG(event_type) OVER w AS prev_event_type, value - LAG(value) OVER w AS value_change
 FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts ASC NULLS FIRST, event_id ASC NULLS FIRST)""")
+
+
+# --- data-quality checks (S9, Q24, SCD2 invariants) -----------------------------
+@register("dq_unique_lga_code")
+def _dq_unique_lga_code(spark, sf_dir):
+    """LGA codes that occur more than once in the code list (its key)."""
+    from staylens.operators import quality
+
+    return quality.duplicate_keys(bindings.lga_code_raw(spark, sf_dir), ["lga_code"])
+
+
+_sql("dq_unique_lga_code", """
+SELECT lga_code, CAST(COUNT(*) AS BIGINT) AS n_rows FROM lga_code_raw GROUP BY lga_code HAVING COUNT(*) > 1""")
+
+
+@register("dq_suburb_many_lgas")
+def _dq_suburb_many_lgas(spark, sf_dir):
+    """Q24: official suburbs listed under more than one LGA (each would
+    multiply the as-is fact)."""
+    from staylens.operators import quality
+
+    m = model(spark, sf_dir)
+    official = silver.official_suburbs(m.bronze["lga_suburb"], m.bronze["lga_code"])
+    return quality.names_in_many_groups(official, "suburb_name", "lga_code")
+
+
+_sql("dq_suburb_many_lgas", """
+SELECT suburb_name, CAST(COUNT(DISTINCT lga_code) AS BIGINT) AS n_groups FROM official_suburb
+WHERE suburb_name IS NOT NULL GROUP BY suburb_name HAVING COUNT(DISTINCT lga_code) > 1""")
+
+
+@register("dq_scd2_invariants")
+def _dq_scd2_invariants(spark, sf_dir):
+    """SCD2 invariants of the host history: versions, hosts, open versions,
+    hosts without exactly one open version, overlapping version pairs."""
+    from staylens.operators import quality
+
+    h = model(spark, sf_dir).host_snapshot
+    summary = h.agg(
+        F.count(F.lit(1)).alias("n_versions"),
+        F.countDistinct("host_id").alias("n_hosts"),
+        A.count_if(F.col("valid_to").isNull()).alias("n_open"),
+    )
+    bad_open = quality.open_version_violations(h, ["host_id"]).agg(F.count(F.lit(1)))
+    overlaps = quality.interval_overlaps(h.where(F.col("valid_from").isNotNull()), ["host_id"]).agg(
+        F.count(F.lit(1))
+    )
+    # the two violation counts are scalar subqueries next to the summary row
+    return summary.select(
+        "*", scalar_of(bad_open).alias("n_bad_open"), scalar_of(overlaps).alias("n_overlaps")
+    )
+
+
+_sql("dq_scd2_invariants", """
+, o AS (
+    SELECT host_id, valid_from, valid_to,
+        lead(valid_from) OVER (PARTITION BY host_id ORDER BY valid_from ASC NULLS FIRST, valid_to ASC NULLS LAST) AS nf
+    FROM host_snapshot WHERE valid_from IS NOT NULL
+), b AS (
+    SELECT host_id FROM host_snapshot GROUP BY host_id HAVING COUNT(CASE WHEN valid_to IS NULL THEN 1 END) <> 1
+)
+SELECT CAST((SELECT COUNT(*) FROM host_snapshot) AS BIGINT) AS n_versions,
+    CAST((SELECT COUNT(DISTINCT host_id) FROM host_snapshot) AS BIGINT) AS n_hosts,
+    CAST((SELECT COUNT(*) FROM host_snapshot WHERE valid_to IS NULL) AS BIGINT) AS n_open,
+    CAST((SELECT COUNT(*) FROM b) AS BIGINT) AS n_bad_open,
+    CAST((SELECT COUNT(*) FROM o WHERE nf IS NOT NULL AND (valid_to IS NULL OR valid_to > nf)) AS BIGINT) AS n_overlaps""")

@@ -61,3 +61,18 @@ def test_no_python_udfs_in_headline_plans(spark):
     for df in (w.mart_listing_neighbourhood(), w.question_a(), w.question_c(), w.fact):
         plan = _plan(df)
         assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+
+
+FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython")
+
+
+def test_no_cross_joins_or_python_in_any_registered_query(spark):
+    import __spark_entry__ as entry
+
+    bad = {}
+    for name, q in entry.queries().items():
+        plan = _plan(q(spark, SF_SMALL))
+        hits = [f for f in FORBIDDEN if f in plan]
+        if hits:
+            bad[name] = hits
+    assert bad == {}
