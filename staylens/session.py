@@ -47,6 +47,8 @@ def build_session(
             "spark.sql.shuffle.partitions": str(shuffle_partitions or int(cpus)),
             "spark.driver.memory": os.environ.get("STAYLENS_DRIVER_MEMORY", "16g"),
             "spark.sql.execution.arrow.pyspark.enabled": "true",
+            # remove checkpoint files once their RDD is garbage-collected
+            "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         }
     )
     if extra_conf:
