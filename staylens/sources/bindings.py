@@ -66,8 +66,9 @@ def listings_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     # listing holding a third of all rows never lands in one task.
     li = spread_if_narrow(li, ["l_orderkey", "l_linenumber"])
     # Left joins: a snapshot is never dropped for a missing dimension row.
-    # Join strategy is left to AQE (nation and supplier are far below the
-    # broadcast threshold; orders/customer are shuffled on their keys).
+    # Join strategy is left to AQE: nation and supplier stay far below the
+    # broadcast threshold; orders and customer are broadcast while small and
+    # sort-merge joined on their keys beyond it (skewed keys split by AQE).
     df = (
         li.join(o, li.l_orderkey == o.o_orderkey, "left")
         .join(c, F.col("o_custkey") == c.c_custkey, "left")
