@@ -69,11 +69,6 @@ def pct_change(cur: ColumnOrName, prev: ColumnOrName) -> Column:
     return ((_c(cur) - _c(prev)).cast("double") * F.lit(100.0)) / nullif_zero(prev).cast("double")
 
 
-def round_half_up(c: ColumnOrName, digits: int) -> Column:
-    """``round(x, n)`` half away from zero (X11); DOUBLE in, DOUBLE out."""
-    return F.round(_c(c), digits)
-
-
 # --- dates --------------------------------------------------------------
 
 

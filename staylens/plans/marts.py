@@ -40,14 +40,6 @@ from staylens.operators.temporal import temporal_left_join
 # reproducible.  Pass another ``as_of`` to the functions to change it.
 DEFAULT_AS_OF = _dt.date(2002, 1, 1)
 
-LISTING_MART_COLUMNS = [
-    "active_listings_rate", "min_price", "max_price", "median_price", "avg_price",
-    "distinct_hosts", "superhost_rate", "avg_review_score", "total_stays",
-    "pct_change_active", "pct_change_inactive", "total_estimated_revenue",
-    "avg_estimated_revenue_per_listing",
-]
-
-
 def with_superhost_flag(
     fact: DataFrame, host: DataFrame, as_of=DEFAULT_AS_OF, closed: bool = False
 ) -> DataFrame:
