@@ -63,10 +63,11 @@ def upsert_partitions(
                 c = term if c is None else (c & term)
             cond = c if cond is None else (cond | c)
         current = existing.where(cond)
+        # The job reads the partitions it replaces.  Dynamic partition
+        # overwrite writes to a staging folder and swaps each partition in
+        # only at commit, after every task (and any retried task) has read
+        # the old files — so no intermediate copy of the partitions is needed.
         out = upsert(current, batch.select(*existing.columns), key, order)
-        # The rewrite reads the partitions it replaces: cut the lineage to the
-        # old files first by materialising into the shared checkpoint dir.
-        out = out.checkpoint(eager=True)
     else:
         out = dedupe_batch(batch, key, order)
     (

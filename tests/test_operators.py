@@ -226,3 +226,23 @@ def test_duplicate_and_null_keys(spark):
     assert [tuple(r) for r in quality.duplicate_keys(df, ["a", "b"]).collect()] == [(1, 1, 2)]
     r = quality.null_key_counts(df, ["a", "b"]).first()
     assert (r.n_rows, r.null_a, r.null_b) == (4, 1, 1)
+
+
+def test_upsert_partitions_on_disk(spark):
+    """Rows in touched partitions are replaced/added; untouched partitions
+    are neither read nor rewritten; the job reads the partitions it
+    overwrites (dynamic partition overwrite)."""
+    from staylens.operators.upsert import upsert_partitions
+    from staylens.session import shared_path
+
+    path = shared_path(spark, "t-upsert")
+    schema = "k int, v string, s int, m int"
+    first = spark.createDataFrame([(1, "a", 0, 1), (2, "b", 0, 1), (3, "c", 0, 2)], schema)
+    upsert_partitions(spark, path, first, ["k"], [F.col("s").desc()], ["m"])
+    batch = spark.createDataFrame([(1, "a2", 1, 1), (4, "d", 1, 1), (4, "d_old", 0, 1)], schema)
+    upsert_partitions(spark, path, batch, ["k"], [F.col("s").desc()], ["m"])
+    got = sorted((r.k, r.v, r.m) for r in spark.read.parquet(path).collect())
+    assert got == [(1, "a2", 1), (2, "b", 1), (3, "c", 2), (4, "d", 1)]
+    # applying the same batch again changes nothing
+    upsert_partitions(spark, path, batch, ["k"], [F.col("s").desc()], ["m"])
+    assert sorted((r.k, r.v, r.m) for r in spark.read.parquet(path).collect()) == got
