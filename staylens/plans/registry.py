@@ -8,6 +8,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from staylens.session import session_key
+
 from staylens.checks.present import present
 from staylens.plans.model import RentalModel
 
@@ -43,7 +45,7 @@ def warehouse(spark: SparkSession, sf_dir: str) -> RentalModel:
     views over these tables."""
     from staylens.session import shared_path
 
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = (session_key(spark), sf_dir)
     if key not in _warehouses:
         _warehouses[key] = RentalModel.from_tables(spark, sf_dir, base_path=shared_path(spark, "warehouse"))
     return _warehouses[key]
@@ -201,7 +203,7 @@ _landings: dict[tuple, str] = {}
 
 def landing(spark: SparkSession, sf_dir: str, style: str, batch: str = "month") -> str:
     """Write (once per session) the bronze listings as CSV drops."""
-    key = (spark.sparkContext.applicationId, sf_dir, style, batch)
+    key = (session_key(spark), sf_dir, style, batch)
     if key not in _landings:
         root = shared_path(spark, f"landing-{style}-{batch}")
         base, drift = _STYLES[style]
@@ -302,7 +304,7 @@ _runs: dict[tuple, monthly_run.RunState] = {}
 def incremental_run(spark: SparkSession, sf_dir: str) -> monthly_run.RunState:
     """The drops (yearly, with header drift) applied batch by batch; run once
     per session, its written state shared by the upsert and SCD2 queries."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = (session_key(spark), sf_dir)
     if key not in _runs:
         root = landing(spark, sf_dir, "drift", batch="year")
         state = monthly_run.RunState(shared_path(spark, "silver"), shared_path(spark, "history"))

@@ -83,3 +83,8 @@ def shared_path(spark: SparkSession, name: str) -> str:
     Never a machine-local temp dir when the cluster names a shared one."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/staylens/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def session_key(spark: SparkSession) -> str:
+    """Identity of the running application, for per-session caches."""
+    return spark.conf.get("spark.app.id", None) or str(id(spark))

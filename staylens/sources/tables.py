@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from staylens.session import session_key
+
 
 def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
@@ -22,7 +24,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataF
     """Scan of one input table, pruned to ``cols``.  The unpruned relation is
     resolved once per session and path (file listing and footer reads are
     not repeated for every query that reads the table)."""
-    key = (spark.sparkContext.applicationId, table_path(sf_dir, name))
+    key = (session_key(spark), table_path(sf_dir, name))
     if key not in _scans:
         _scans[key] = spark.read.parquet(table_path(sf_dir, name))
     df = _scans[key]
@@ -38,10 +40,13 @@ def spread_if_narrow(df: DataFrame, unique_key: list[str]) -> DataFrame:
     round-robin it is deterministic without a pre-sort (safe on task retry).
     Inputs that already split into enough tasks — every input at scale — pass
     through untouched, so this never adds a shuffle there."""
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target, *unique_key)
-    return df
+    spark = df.sparkSession
+    try:
+        target = spark.sparkContext.defaultParallelism
+        narrow = df.rdd.getNumPartitions() < target
+    except Exception:  # no RDD access (e.g. a remote session): leave as is
+        return df
+    return df.repartition(target, *unique_key) if narrow else df
 
 
 def wall_clock(df: DataFrame, name: str) -> Column:
