@@ -66,12 +66,12 @@ class RentalModel:
 
     # Layer tables of the default build, in dependency order.  Silver and
     # gold are tables, marts stay views (lazy), as in the source project.
+    # The LGA code tables (bounded by the LGA list) and the per-listing
+    # suburb bridge (only its distinct rows feed the suburb dimension) stay
+    # views.
     MATERIALIZED = (
         "listings",
         "host_snapshot",
-        "lga_code_clean",
-        "lga_suburb_clean",
-        "dm_lga",
         "dm_suburb",
         "dm_census_g01",
         "dm_census_g02",
@@ -120,11 +120,11 @@ class RentalModel:
     def property_clean(self) -> DataFrame:
         return silver.silver_property(self.listings)
 
-    @_table
+    @cached_property
     def lga_code_clean(self) -> DataFrame:
         return silver.silver_lga_code(self.bronze["lga_code"])
 
-    @_table
+    @cached_property
     def lga_suburb_clean(self) -> DataFrame:
         return silver.silver_lga_suburb(self.bronze["lga_suburb"], self.bronze["lga_code"], self.listings)
 
@@ -145,13 +145,21 @@ class RentalModel:
     def dm_host(self) -> DataFrame:
         return gold.dm_host(self.host_snapshot)
 
-    @_table
+    @cached_property
     def dm_lga(self) -> DataFrame:
         return gold.dm_lga(self.lga_code_clean)
 
+    @cached_property
+    def neighbourhood_suburbs(self) -> DataFrame:
+        """The bridge without listing multiplicity (same distinct rows)."""
+        return silver.silver_lga_suburb(
+            self.bronze["lga_suburb"], self.bronze["lga_code"], self.listings, per_listing=False
+        )
+
     @_table
     def dm_suburb(self) -> DataFrame:
-        return gold.dm_suburb(self.lga_suburb_clean)
+        # DISTINCT over the bridge: built from its distinct rows directly
+        return gold.dm_suburb(self.neighbourhood_suburbs)
 
     @_table
     def dm_property(self) -> DataFrame:

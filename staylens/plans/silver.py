@@ -114,7 +114,9 @@ def official_suburbs(lga_suburb: DataFrame, lga_code: DataFrame) -> DataFrame:
     return s.join(l, "_lga_norm", "left").select("suburb_name", "lga_code", "lga_name")
 
 
-def silver_lga_suburb(lga_suburb: DataFrame, lga_code: DataFrame, listings: DataFrame) -> DataFrame:
+def silver_lga_suburb(
+    lga_suburb: DataFrame, lga_code: DataFrame, listings: DataFrame, per_listing: bool = True
+) -> DataFrame:
     """M5: every listing neighbourhood (once per listing, as the source keeps
     it) matched to the official suburbs, plus official suburbs no listing
     names; coalesced name and its md5 key.
@@ -123,10 +125,15 @@ def silver_lga_suburb(lga_suburb: DataFrame, lga_code: DataFrame, listings: Data
     official list can be broadcast; the big side is never shuffled on the
     neighbourhood name, so a neighbourhood holding a third of all listings
     does not land in one task) plus the unmatched official rows.
+
+    ``per_listing=False`` keeps one row per neighbourhood instead of one per
+    listing: the same distinct rows, for consumers that de-duplicate anyway
+    (the suburb dimension).
     """
-    listing_neigh = listings.select(
-        normalize_text("listing_neighbourhood").alias("listing_neighbourhood"), "listing_id"
-    ).distinct()
+    cols = [normalize_text("listing_neighbourhood").alias("listing_neighbourhood")]
+    if per_listing:
+        cols.append(F.col("listing_id"))
+    listing_neigh = listings.select(*cols).distinct()
     joined = full_outer_small_right(
         listing_neigh, official_suburbs(lga_suburb, lga_code), "listing_neighbourhood", "suburb_name"
     )
