@@ -76,3 +76,20 @@ def test_no_cross_joins_or_python_in_any_registered_query(spark):
         if hits:
             bad[name] = hits
     assert bad == {}
+
+
+def test_partitioned_fact_prunes_months(spark):
+    """A month predicate on the (year, month)-partitioned fact reaches
+    the scan as a partition filter and reads one folder."""
+    from pyspark.sql import functions as F
+
+    from staylens.session import shared_path
+    from staylens.sources.sinks import write_fact_partitioned
+
+    laid = write_fact_partitioned(warehouse(spark, SF_SMALL).fact, shared_path(spark, "t-fact"))
+    one = laid.where((F.col("year") == 2000) & (F.col("month") == 6))
+    text = _formatted(one)
+    assert "PartitionFilters: [isnotnull(year" in text and "(year#" in text and "(month#" in text
+    fact = warehouse(spark, SF_SMALL).fact
+    want = fact.where((F.year("scraped_date") == 2000) & (F.month("scraped_date") == 6)).count()
+    assert one.count() == want > 0
