@@ -356,3 +356,29 @@ SELECT listing_neighbourhood, property_type, room_type, CAST(accommodates AS BIG
 FROM stays
 QUALIFY row_number() OVER (PARTITION BY listing_neighbourhood ORDER BY total_stays DESC NULLS FIRST,
     property_type ASC NULLS LAST, room_type ASC NULLS LAST, accommodates ASC NULLS LAST) = 1""")
+
+# The incremental merge over yearly drops, in closed form: per host and
+# batch the candidate is the batch's latest host tuple; a candidate opens a
+# version when its host_since is later than every earlier batch's candidate
+# (or it is the host's first batch); a version closes where the next opens.
+ORACLE["scd2_merge"] = with_layers("""
+, cand AS (
+    SELECT * FROM (
+        SELECT DISTINCT host_id, year(scraped_date) AS batch, host_name,
+            CASE WHEN host_is_superhost = 't' THEN TRUE WHEN host_is_superhost = 'f' THEN FALSE END AS host_is_superhost,
+            host_neighbourhood, host_since
+        FROM listings_raw WHERE host_id IS NOT NULL)
+    QUALIFY row_number() OVER (PARTITION BY host_id, batch ORDER BY host_since DESC NULLS LAST,
+        host_name ASC NULLS LAST, host_is_superhost ASC NULLS LAST, host_neighbourhood ASC NULLS LAST) = 1
+), rec AS (
+    SELECT *,
+        max(host_since) OVER (PARTITION BY host_id ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev_max,
+        row_number() OVER (PARTITION BY host_id ORDER BY batch) AS rn
+    FROM cand
+), versions AS (
+    SELECT * FROM rec WHERE rn = 1 OR host_since > prev_max
+)
+SELECT CAST(host_id AS BIGINT) AS host_id, host_name, host_is_superhost, host_neighbourhood,
+    strftime(host_since, '%Y-%m-%d') AS host_since, strftime(host_since, '%Y-%m-%d') AS valid_from,
+    strftime(lead(host_since) OVER (PARTITION BY host_id ORDER BY batch), '%Y-%m-%d') AS valid_to
+FROM versions""")
