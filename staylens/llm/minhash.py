@@ -8,11 +8,12 @@ bucket keys; a pair with a similarity of 0.85 shares no band with a
 probability of about 7e-6.  Links are confirmed on full sets.
 
 Equal sets are folded into one representative first.  A bucket is never
-expanded into all its pairs: its members meet one leader per round; members
-that a link has joined with each other need no further look, and pairs that
-stay open after ``STAR_ROUNDS`` are compared unless the triangle inequality of
-the Jaccard distance (through the first leader) or the set sizes exclude a
-link.  So no link between two components is lost.
+expanded into all its pairs: its members meet one leader, then the member most
+similar to that, and members that links have joined with each other need no
+further look.  The pairs still open are those that share a rare shingle, or
+that frequent shingles alone could link; set sizes and the triangle inequality
+of the Jaccard distance exclude more of them, and the rest is compared.  So no
+link between two components is lost.
 
 Defined cases: a text that is null or has no words has an empty set and links
 with nothing; with fewer than five words the whole sequence is one shingle;
@@ -29,6 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from staylens.llm.common import LOWER, components, cut, mix64, text_chunks, word_spans
 
@@ -37,7 +39,8 @@ COORDINATES = 64
 ROWS = 4
 #: Links need 100 * intersection >= PERCENT * union.
 PERCENT = 85
-STAR_ROUNDS = 3
+#: A shingle that at most so many open sets hold is rare.
+RARE = 64
 
 WORD = np.ones(256, bool)
 WORD[0x20] = False
@@ -154,6 +157,51 @@ def _grouped(members: DataFrame, links: DataFrame) -> DataFrame:
     return cut(placed.join(open_, "bucket"), "open")
 
 
+def _apart(x: str, y: str):
+    """Distances to the bucket's first leader that exclude a link."""
+    return F.coalesce(F.abs(F.col(x) - F.col(y)) > F.lit(1 - PERCENT / 100 + 1e-9), F.lit(False))
+
+
+def _open_pairs(left: DataFrame, first: DataFrame, full: DataFrame) -> DataFrame:
+    """``a, b``: every pair of open sets, in different components of a bucket,
+    that may still have a link.
+
+    With the shingles of each set in order of the number of open sets that
+    hold them, linked sets have a common shingle among the first
+    ``n - PERCENT n / 100 + 1`` of both.  Either that shingle is rare (at most
+    ``RARE`` sets hold it: few pairs per shingle), or both sets have enough
+    frequent ones for the intersection that their sizes ask for; of the
+    latter, the triangle inequality excludes more."""
+    nodes = left.select("key", "root", "n").distinct()
+    flat = full.join(nodes, "key").select("key", "root", "n", F.explode("shingles").alias("shingle"))
+    counts = flat.groupBy("shingle").agg(F.count(F.lit(1)).alias("sets")).where("sets > 1")
+    flat = cut(flat.join(counts, "shingle"), "shingles")
+    # a set's shingles that no other one holds come first
+    of_set = Window.partitionBy("key")
+    alone = F.col("n") - F.count(F.lit(1)).over(of_set)
+    place = F.row_number().over(of_set.orderBy("sets", "shingle")) + alone
+    first_ones = F.col("n") - F.ceil(F.col("n") * PERCENT / 100) + 1
+
+    def side(df: DataFrame, by: str, suffix: str, *cols: str) -> DataFrame:
+        return df.select(by, *[F.col(c).alias(f"{c}_{suffix}") for c in cols])
+
+    ordered = (F.col("key_x") < F.col("key_y")) & (F.col("root_x") != F.col("root_y")) & _fits("n_x", "n_y")
+    pair = [F.col("key_x").alias("a"), F.col("key_y").alias("b")]
+    rare = flat.withColumn("early", place <= first_ones).where("early").where(F.col("sets") <= RARE)
+    cols = ("key", "root", "n")
+    met = side(rare, "shingle", "x", *cols).join(side(rare, "shingle", "y", *cols).withColumnRenamed("shingle", "s"), (F.col("shingle") == F.col("s")) & ordered).select(*pair)
+
+    frequent = flat.where(F.col("sets") > RARE).groupBy("key").agg(F.count(F.lit(1)).alias("frequent"))
+    near = left.join(frequent, "key").join(first.select(F.col("a").alias("leader"), F.col("b").alias("key"), "similar"), ["leader", "key"], "left")
+    near = near.withColumn("similar", F.when(F.col("key") == F.col("leader"), 1.0).otherwise(F.col("similar")))
+    # a link needs an intersection of PERCENT / (100 + PERCENT) of both sizes together
+    enough = F.lit(100 + PERCENT) * F.least("frequent_x", "frequent_y") >= F.lit(PERCENT) * (F.col("n_x") + F.col("n_y"))
+    near = near.where(F.lit(100 + PERCENT) * F.col("frequent") >= F.lit(PERCENT) * (F.col("n") + F.ceil(F.col("n") * PERCENT / 100)))
+    cols = ("key", "root", "n", "similar", "frequent")
+    alike = side(near, "bucket", "x", *cols).join(side(near, "bucket", "y", *cols).withColumnRenamed("bucket", "s"), (F.col("bucket") == F.col("s")) & ordered & enough & ~_apart("similar_x", "similar_y")).select(*pair)
+    return met.union(alike).distinct()
+
+
 def _links(sets: DataFrame, sigs: DataFrame, docs: DataFrame, id_col: str, text: str) -> DataFrame:
     """``a, b``: links between set keys that connect all linked sets."""
     buckets = sets.select("key", "n", F.explode("bands").alias("bucket"))
@@ -167,31 +215,23 @@ def _links(sets: DataFrame, sigs: DataFrame, docs: DataFrame, id_col: str, text:
     full = cut(found.where("s.key = key").select("key", F.col("s.shingles").alias("shingles")).dropDuplicates(["key"]), "sets")
 
     pairs = members.where("key <> leader").where(_fits("n", "leader_n")).select(F.col("leader").alias("a"), F.col("key").alias("b")).distinct()
-    done = first = cut(_compare(pairs, full), "compared")
+    first = cut(_compare(pairs, full), "compared")
     links = first.where("linked").select("a", "b")
-    for r in range(2, STAR_ROUNDS + 1):
-        left = _grouped(members, links)
-        if left.isEmpty():
-            return links
-        order = F.struct(F.xxhash64("key", F.lit(r)), "key")
-        leaders = left.groupBy("bucket").agg(F.min_by(F.struct(F.col("key").alias("a"), F.col("n").alias("an"), F.col("root").alias("ar")), order).alias("l")).select("bucket", "l.*")
-        pairs = left.join(leaders, "bucket").where("root <> ar").where(_fits("n", "an"))
-        pairs = pairs.select(F.least("a", "key").alias("a"), F.greatest("a", "key").alias("b")).distinct().join(done.select("a", "b"), ["a", "b"], "left_anti")
-        new = cut(_compare(pairs, full), "compared")
-        done = done.select("a", "b").union(new.select("a", "b"))
-        links = links.union(new.where("linked").select("a", "b"))
     left = _grouped(members, links)
     if left.isEmpty():
         return links
-    # what is still open: pairs of a bucket in different components that neither
-    # sizes nor distances to the bucket's first leader keep apart
-    near = left.join(first.select(F.col("a").alias("leader"), F.col("b").alias("key"), "similar"), ["leader", "key"], "left")
-    near = near.withColumn("similar", F.when(F.col("key") == F.col("leader"), 1.0).otherwise(F.col("similar")))
-    x = near.select("bucket", *[F.col(c).alias(f"{c}_x") for c in ("key", "root", "n", "similar")])
-    y = near.select("bucket", *[F.col(c).alias(f"{c}_y") for c in ("key", "root", "n", "similar")])
-    apart = F.abs(F.col("similar_x") - F.col("similar_y")) > F.lit(1 - PERCENT / 100 + 1e-9)
-    pairs = x.join(y, (x["bucket"] == y["bucket"]) & (F.col("key_x") < F.col("key_y")) & (F.col("root_x") != F.col("root_y")) & _fits("n_x", "n_y") & ~F.coalesce(apart, F.lit(False)))
-    pairs = pairs.select(F.col("key_x").alias("a"), F.col("key_y").alias("b")).distinct().join(done.select("a", "b"), ["a", "b"], "left_anti")
+    # in a group of edited copies the original is the nearest set to any leader
+    known = first.select(F.col("a").alias("leader"), F.col("b").alias("key"), "similar")
+    nearest = left.join(known, ["leader", "key"]).groupBy("bucket").agg(F.max_by(F.struct(F.col("key").alias("a"), F.col("n").alias("an"), F.col("root").alias("ar")), F.struct("similar", "key")).alias("l"))
+    pairs = left.join(nearest.select("bucket", "l.*"), "bucket").where("root <> ar").where(_fits("n", "an"))
+    pairs = pairs.select(F.least("a", "key").alias("a"), F.greatest("a", "key").alias("b")).distinct().join(first.select("a", "b"), ["a", "b"], "left_anti")
+    new = cut(_compare(pairs, full), "compared")
+    done = first.select("a", "b").union(new.select("a", "b"))
+    links = links.union(new.where("linked").select("a", "b"))
+    left = _grouped(members, links)
+    if left.isEmpty():
+        return links
+    pairs = _open_pairs(left, first, full).join(done.select("a", "b"), ["a", "b"], "left_anti")
     return links.union(_compare(pairs, full).where("linked").select("a", "b"))
 
 
