@@ -8,8 +8,8 @@ bucket keys; a pair with a similarity of 0.85 shares no band with a
 probability of about 7e-6.  Links are confirmed on full sets.
 
 Equal sets are folded into one representative first.  A bucket is never
-expanded into all its pairs: its members meet one leader, then the member most
-similar to that, and members that links have joined with each other need no
+expanded into all its pairs: its members meet one leader, then the member with
+the largest share of frequent shingles, and members that links have joined with each other need no
 further look.  The pairs still open are those that share a rare shingle, or
 that frequent shingles alone could link; set sizes and the triangle inequality
 of the Jaccard distance exclude more of them, and the rest is compared.  So no
@@ -162,7 +162,16 @@ def _apart(x: str, y: str):
     return F.coalesce(F.abs(F.col(x) - F.col(y)) > F.lit(1 - PERCENT / 100 + 1e-9), F.lit(False))
 
 
-def _open_pairs(left: DataFrame, first: DataFrame, full: DataFrame) -> DataFrame:
+def _open_shingles(left: DataFrame, full: DataFrame) -> DataFrame:
+    """``key, n, shingle, sets`` of the open sets: the shingles that more than
+    one of them holds, and how many do."""
+    nodes = left.select("key", "n").distinct()
+    flat = full.join(nodes, "key").select("key", "n", F.explode("shingles").alias("shingle"))
+    counts = flat.groupBy("shingle").agg(F.count(F.lit(1)).alias("sets")).where("sets > 1")
+    return cut(flat.join(counts, "shingle"), "shingles")
+
+
+def _open_pairs(left: DataFrame, first: DataFrame, flat: DataFrame, frequent: DataFrame) -> DataFrame:
     """``a, b``: every pair of open sets, in different components of a bucket,
     that may still have a link.
 
@@ -172,26 +181,22 @@ def _open_pairs(left: DataFrame, first: DataFrame, full: DataFrame) -> DataFrame
     ``RARE`` sets hold it: few pairs per shingle), or both sets have enough
     frequent ones for the intersection that their sizes ask for; of the
     latter, the triangle inequality excludes more."""
-    nodes = left.select("key", "root", "n").distinct()
-    flat = full.join(nodes, "key").select("key", "root", "n", F.explode("shingles").alias("shingle"))
-    counts = flat.groupBy("shingle").agg(F.count(F.lit(1)).alias("sets")).where("sets > 1")
-    flat = cut(flat.join(counts, "shingle"), "shingles")
     # a set's shingles that no other one holds come first
     of_set = Window.partitionBy("key")
     alone = F.col("n") - F.count(F.lit(1)).over(of_set)
     place = F.row_number().over(of_set.orderBy("sets", "shingle")) + alone
     first_ones = F.col("n") - F.ceil(F.col("n") * PERCENT / 100) + 1
+    early = flat.withColumn("early", place <= first_ones).where("early").where(F.col("sets") <= RARE)
 
     def side(df: DataFrame, by: str, suffix: str, *cols: str) -> DataFrame:
         return df.select(by, *[F.col(c).alias(f"{c}_{suffix}") for c in cols])
 
     ordered = (F.col("key_x") < F.col("key_y")) & (F.col("root_x") != F.col("root_y")) & _fits("n_x", "n_y")
     pair = [F.col("key_x").alias("a"), F.col("key_y").alias("b")]
-    rare = flat.withColumn("early", place <= first_ones).where("early").where(F.col("sets") <= RARE)
+    rare = early.join(left.select("key", "root").distinct(), "key")
     cols = ("key", "root", "n")
     met = side(rare, "shingle", "x", *cols).join(side(rare, "shingle", "y", *cols).withColumnRenamed("shingle", "s"), (F.col("shingle") == F.col("s")) & ordered).select(*pair)
 
-    frequent = flat.where(F.col("sets") > RARE).groupBy("key").agg(F.count(F.lit(1)).alias("frequent"))
     near = left.join(frequent, "key").join(first.select(F.col("a").alias("leader"), F.col("b").alias("key"), "similar"), ["leader", "key"], "left")
     near = near.withColumn("similar", F.when(F.col("key") == F.col("leader"), 1.0).otherwise(F.col("similar")))
     # a link needs an intersection of PERCENT / (100 + PERCENT) of both sizes together
@@ -220,9 +225,11 @@ def _links(sets: DataFrame, sigs: DataFrame, docs: DataFrame, id_col: str, text:
     left = _grouped(members, links)
     if left.isEmpty():
         return links
-    # in a group of edited copies the original is the nearest set to any leader
-    known = first.select(F.col("a").alias("leader"), F.col("b").alias("key"), "similar")
-    nearest = left.join(known, ["leader", "key"]).groupBy("bucket").agg(F.max_by(F.struct(F.col("key").alias("a"), F.col("n").alias("an"), F.col("root").alias("ar")), F.struct("similar", "key")).alias("l"))
+    flat = _open_shingles(left, full)
+    frequent = flat.where(F.col("sets") > RARE).groupBy("key").agg(F.count(F.lit(1)).alias("frequent"))
+    # in a group of edited copies the original has the largest share of frequent shingles
+    share = F.struct(F.coalesce(F.col("frequent"), F.lit(0)) / F.col("n"), "key")
+    nearest = left.join(frequent, "key", "left").groupBy("bucket").agg(F.max_by(F.struct(F.col("key").alias("a"), F.col("n").alias("an"), F.col("root").alias("ar")), share).alias("l"))
     pairs = left.join(nearest.select("bucket", "l.*"), "bucket").where("root <> ar").where(_fits("n", "an"))
     pairs = pairs.select(F.least("a", "key").alias("a"), F.greatest("a", "key").alias("b")).distinct().join(first.select("a", "b"), ["a", "b"], "left_anti")
     new = cut(_compare(pairs, full), "compared")
@@ -231,7 +238,7 @@ def _links(sets: DataFrame, sigs: DataFrame, docs: DataFrame, id_col: str, text:
     left = _grouped(members, links)
     if left.isEmpty():
         return links
-    pairs = _open_pairs(left, first, full).join(done.select("a", "b"), ["a", "b"], "left_anti")
+    pairs = _open_pairs(left, first, flat, frequent).join(done.select("a", "b"), ["a", "b"], "left_anti")
     return links.union(_compare(pairs, full).where("linked").select("a", "b"))
 
 
