@@ -17,7 +17,9 @@ table gives an empty folder's schema.
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -34,58 +36,88 @@ ORC_OPTIONS = {
     "orc.bloom.filter.columns": "doc_id",
     "orc.bloom.filter.fpp": "0.01",
 }
-#: Entries of a worker's cache, and the longest piece of text kept in it.
-CACHE_ENTRIES = 250_000
-CACHED_CHARS = 40
+#: Entries of a worker's two caches (they keep what came first: frequent words
+#: come early), and the longest piece of text kept.
+CACHED_PIECES, CACHED_WORDS, CACHED_CHARS = 300_000, 600_000, 40
 #: Separators that Python splits at but the tokenizer's pattern does not.
 _ODD = regex.compile("[\x1c-\x1f]")
+#: Characters for which Python and the library agree on case and normal form.
+_COMMON = regex.compile("[\x00-\u024f]*+")
+
+
+def byte_characters() -> dict[int, str]:
+    """Byte-level vocabularies write each byte as a character: printable
+    Latin-1 as itself, the others as the characters from 256 on."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = iter(range(256, 512))
+    return {b: chr(b) if b in plain else chr(next(others)) for b in range(256)}
 
 
 class CachedEncoder:
-    """Ids of whole texts.  Where the tokenizer's own pre-tokens never hold
-    white space (and its normaliser acts on each piece between white space
-    alone), a text's ids are those of its white-space separated pieces, one
-    after the other; pieces are encoded by the library once per worker."""
+    """Ids of whole texts, as little-endian 32-bit integers.
+
+    Where the tokenizer's pre-tokens never hold white space, a text's ids are
+    those of its white-space separated pieces one after the other; pieces are
+    encoded once and cached.  For the pattern and normaliser that this class
+    knows, pieces of common characters are cut into pre-tokens, which the
+    library's model encodes one by one; other pieces go to the library whole.
+    Both short cuts are tried on a probe first and not used if it differs."""
+
+    #: Fixed value: the pre-token pattern of the vocabularies with word ends.
+    PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+    PROBE = "Ab, c'd  é 12\n\tß x y　z . Été naïve—Wörter don't 1a2 $$$ ÀÉ"
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
-        self.cache: dict[str, np.ndarray] = {}
-        self.splits = self._splits()
-
-    def _encode(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tok.encode_batch(texts, add_special_tokens=False)]
-
-    def _splits(self) -> bool:
-        probe = "Ab, c'd  é 12\n\tß x y　z . "
-        whole = self._encode([probe])[0]
-        return whole == [i for ids in self._encode(probe.split()) for i in ids]
+        self.model = self.tok.model
+        self.pieces: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
+        self.characters = byte_characters()
+        self.pattern = regex.compile(self.PATTERN)
+        added = [t.content for t in self.tok.get_added_tokens_decoder().values()]
+        # special strings are found in the raw text, so they must reach the library
+        self.special = regex.compile("|".join(map(regex.escape, added)) or "(?!)")
+        whole = self._library([self.PROBE])[0]
+        self.by_words = whole == b"".join(map(self._by_words, self.PROBE.split()))
+        self.splits = self.by_words or whole == b"".join(self._library(self.PROBE.split()))
+
+    def _library(self, texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, "<i4").tobytes() for e in self.tok.encode_batch(texts, add_special_tokens=False)] if texts else []
+
+    def _by_words(self, piece: str) -> bytes:
+        return b"".join([self.words.get(w) or self._word(w) for w in self.pattern.findall(piece.lower())])
+
+    def _word(self, word: str) -> bytes:
+        written = word if word.isascii() and word.isalnum() else word.encode().decode("latin-1").translate(self.characters)
+        ids = array("i", [t.id for t in self.model.tokenize(written)]).tobytes()
+        if len(self.words) < CACHED_WORDS and len(word) <= CACHED_CHARS:
+            self.words[word] = ids
+        return ids
+
+    def _new(self, pieces: list[str]) -> dict[str, bytes]:
+        plain = [w for w in pieces if self.by_words and _COMMON.fullmatch(w) and not self.special.search(w)]
+        out = {w: self._by_words(w) for w in plain}
+        rest = [w for w in pieces if w not in out]
+        out.update(zip(rest, self._library(rest), strict=True))
+        return out
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
+    def encode(self, texts: list[str]) -> list[bytes]:
         if not self.splits:
-            return [np.array(x, np.int32) for x in self._encode(texts)]
-        out: list = [None] * len(texts)
-        whole = [i for i, t in enumerate(texts) if _ODD.search(t)]
-        for i, ids in zip(whole, self._encode([texts[i] for i in whole]), strict=True):
-            out[i] = np.array(ids, np.int32)
-        cache = self.cache
-        pieces = [None if x is not None else t.split() for x, t in zip(out, texts, strict=True)]
-        new = list({w for p in pieces if p for w in p if w not in cache})
-        extra: dict[str, np.ndarray] = {}
-        for a in range(0, len(new), 20_000):
-            part = new[a : a + 20_000]
-            for w, ids in zip(part, self._encode(part), strict=True):
-                extra[w] = np.array(ids, np.int32)
-        none = np.zeros(0, np.int32)
-        for i, p in enumerate(pieces):
-            if out[i] is None:
-                out[i] = np.concatenate([extra[w] if w in extra else cache[w] for w in p]) if p else none
-        if len(cache) + len(extra) > CACHE_ENTRIES:
-            cache.clear()
-        if len(extra) <= CACHE_ENTRIES:
-            cache.update((w, x) for w, x in extra.items() if len(w) <= CACHED_CHARS)
-        return out
+            return self._library(texts)
+        odd = [i for i, t in enumerate(texts) if _ODD.search(t)]
+        whole = dict(zip(odd, self._library([texts[i] for i in odd]), strict=True))
+        parts = [() if i in whole else t.split() for i, t in enumerate(texts)]
+        new = self._new(list(set().union(*parts) - self.pieces.keys()))
+        room = CACHED_PIECES - len(self.pieces)
+        kept = dict(islice(((w, x) for w, x in new.items() if len(w) <= CACHED_CHARS), max(room, 0)))
+        self.pieces.update(kept)
+        if len(kept) == len(new):
+            find = self.pieces.__getitem__
+            return [whole[i] if i in whole else b"".join(map(find, p)) for i, p in enumerate(parts)]
+        old = self.pieces
+        return [whole[i] if i in whole else b"".join([old[w] if w in old else new[w] for w in p]) for i, p in enumerate(parts)]
 
 
 _encoders: dict[str, CachedEncoder] = {}
@@ -115,13 +147,13 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int, i
     under ``path`` in ascending id order (file by file, then row by row)."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = _encoder(tokenizer)
+        enc, end = _encoder(tokenizer), np.array([end_id], "<i4").tobytes()
         for batch in batches:
             at = 0
             for texts in _some(batch.column(1)):
-                ids = [np.append(x, np.int32(end_id)) for x in enc.encode(texts)]
-                ends = np.cumsum([0] + [len(x) for x in ids])
-                values = pa.array(np.concatenate(ids), pa.int32())
+                ids = [x + end for x in enc.encode(texts)]
+                ends = np.cumsum([0] + [len(x) // 4 for x in ids])
+                values = pa.array(np.frombuffer(b"".join(ids), "<i4"), pa.int32())
                 lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(texts)), lists], ["doc_id", "ids"])
                 at += len(texts)
@@ -156,6 +188,8 @@ def token_index(rows: DataFrame) -> DataFrame:
 
     kind = rows.schema["doc_id"].dataType.simpleString()
     flat = rows.select("doc_id", "ids", "file").mapInArrow(digest, f"doc_id {kind}, n_tokens long, ids_crc32 long, file string, row long")
+    # one deal by file serves the running sums and the totals: the files are read once
+    flat = flat.repartition("file")
     in_file = Window.partitionBy("file").orderBy(F.col("doc_id").asc_nulls_first(), "row", "ids_crc32")
     ranked = flat.withColumn("own", F.sum("n_tokens").over(in_file) - F.col("n_tokens"))
     # one row per file: its number in the name gives its place
