@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from staylens.llm.common import conf_int
+from staylens.llm.common import conf_int, cut
 
 _LOW32 = 0xFFFFFFFF
 #: Fixed value: the multiplier of the published generator.
@@ -82,7 +82,8 @@ def shard_slots(docs: DataFrame, shards: int, id_col: str = "doc_id", text: str
         (F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + 1).alias("size"),
         F.crc32(F.coalesce(F.col(text), F.lit("")).cast("binary")).alias("text_crc32"),
     )
-    counted = digest.groupBy("id", "size", "text_crc32").agg(F.count(F.lit(1)).alias("n"))
+    # written once: both uses below would read the texts again
+    counted = cut(digest.groupBy("id", "size", "text_crc32").agg(F.count(F.lit(1)).alias("n")), "digests")
     placed = counted.select(
         "*",
         jump_shard(F.col("id"), shards).alias("shard"),
