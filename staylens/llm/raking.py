@@ -104,37 +104,39 @@ def rake(cells: DataFrame) -> DataFrame:
     return cells
 
 
-def calibrated(docs: DataFrame, text: str, targets, temper: float) -> tuple[DataFrame, DataFrame]:
-    """``docs`` with its cell (columns in a struct of an own name), and the
-    raked cells with ``weight`` and ``probability``."""
+def _cell(text: str) -> Column:
     none = F.lit("(none)")
-    cell = F.struct(
+    return F.struct(
         F.coalesce(F.col("source").cast("string"), none).alias("source"),
         F.coalesce(F.col("lang").cast("string"), none).alias("lang"),
         topic_of(F.col(text)).alias("topic"),
         n_tokens(F.col(text)).alias("tokens"),
     )
-    rows = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("doc"), cell.alias("cell"))
-    cells = cut(cells_of(docs.select(cell.alias("cell")).select("cell.*")), "cells")
+
+
+def calibrated(rows: DataFrame, targets, temper: float) -> DataFrame:
+    """The cells of ``rows`` (the dimensions and tokens) with their raked
+    ``weight`` and ``probability``."""
+    cells = cut(cells_of(rows), "cells")
     raked = rake(with_targets(cells, targets, temper)).select(*DIMENSIONS, (F.col("w") / F.col("tokens")).alias("weight"))
     every = cells.select(*DIMENSIONS).join(raked, list(DIMENSIONS), "left").withColumn("weight", F.coalesce("weight", F.lit(1.0)))
-    top = every.agg(F.max("weight").alias("top"))
-    scale = F.lit((top.collect()[0][0]) or 1.0)
-    return rows, every.withColumn("probability", F.col("weight") / scale)
+    top = every.agg(F.max("weight")).collect()[0][0] or 1.0
+    return every.withColumn("probability", F.col("weight") / F.lit(top))
 
 
 def mixture(docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, temper: float = TEMPER, seed: int = SEED, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """``id, source, lang, topic, n_tokens, weight, probability, kept`` for
     every row of ``docs``."""
-    rows, cells = calibrated(docs.select(id_col, text, "source", "lang"), text, targets, temper)
-    slim = rows.select(F.col(f"doc.{id_col}").alias(id_col), "cell.*")
-    out = slim.join(cells, list(DIMENSIONS)).withColumnRenamed("tokens", "n_tokens")
-    return out.select(id_col, *DIMENSIONS, "n_tokens", "weight", "probability", (draw(F.col(id_col), seed) < F.col("probability")).alias("kept"))
+    slim = cut(docs.select(F.col(id_col).alias("id"), _cell(text).alias("cell")).select("id", "cell.*"), "slim")
+    out = slim.join(calibrated(slim, targets, temper), list(DIMENSIONS))
+    kept = draw(F.col("id"), seed) < F.col("probability")
+    return out.select(F.col("id").alias(id_col), *DIMENSIONS, F.col("tokens").alias("n_tokens"), "weight", "probability", kept.alias("kept"))
 
 
 def sample_mixture(docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, temper: float = TEMPER, seed: int = SEED, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` that the draw keeps, with their columns."""
-    rows, cells = calibrated(docs, text, targets, temper)
+    rows = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("doc"), _cell(text).alias("cell"))
+    cells = calibrated(docs.select(_cell(text).alias("cell")).select("cell.*"), targets, temper)
     chance = cells.select(*[F.col(d).alias(f"cell_{d}") for d in DIMENSIONS], "probability")
     same = [F.col(f"cell.{d}") == F.col(f"cell_{d}") for d in DIMENSIONS]
     return rows.join(chance, same).where(draw(F.col(f"doc.{id_col}"), seed) < F.col("probability")).select("doc.*")
