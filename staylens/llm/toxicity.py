@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 THRESHOLD = 0.3
 #: Bound of the labelled sample, and of one text in it, in characters.
-SAMPLE_ROWS, SAMPLE_CHARS = 16_000, 200_000
+SAMPLE_ROWS, SAMPLE_CHARS = 10_000, 200_000
 SHARED_BYTES, OWN_BYTES, TAIL_BYTES = 65_536, 8_192, 48
 #: A word is typical of toxic texts if so many times as frequent there, with
 #: enough texts to tell.
