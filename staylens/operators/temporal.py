@@ -15,20 +15,25 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from staylens.operators.scd2 import VALID_FROM, VALID_TO
 
 
+def open_end(as_of: _dt.date | str | None) -> Column:
+    """The date up to which open versions hold; None is the run's date."""
+    return F.current_date() if as_of is None else F.lit(as_of).cast("date")
+
+
 def interval_condition(
-    date_col, valid_from, valid_to, as_of: _dt.date | str, closed: bool = False
+    date_col, valid_from, valid_to, as_of: _dt.date | str | None, closed: bool = False
 ):
     """``closed``: ``d BETWEEN from AND coalesce(to, as_of)`` — the source
     system's form; a date equal to a boundary matches two versions.
     half-open (default): ``from <= d < to``, and ``d <= as_of`` for the open
     version — each date matches at most one version."""
-    as_of_lit = F.lit(as_of).cast("date")
+    as_of_lit = open_end(as_of)
     if closed:
         return date_col.between(valid_from, F.coalesce(valid_to, as_of_lit))
     return (date_col >= valid_from) & F.when(
@@ -43,7 +48,7 @@ def temporal_left_join(
     history_key: str,
     date_col: str,
     columns: Sequence[str],
-    as_of: _dt.date | str,
+    as_of: _dt.date | str | None,
     closed: bool = False,
     bucket: str | None = "year",
 ) -> DataFrame:
@@ -63,7 +68,7 @@ def temporal_left_join(
         F.col(VALID_TO).alias("__h_to"),
         *[F.col(c).alias(c) for c in columns],
     )
-    as_of_lit = F.lit(as_of).cast("date")
+    as_of_lit = open_end(as_of)
     cond = (F.col(fact_key) == F.col("__h_key")) & interval_condition(
         F.col(date_col), F.col("__h_from"), F.col("__h_to"), as_of, closed
     )

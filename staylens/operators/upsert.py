@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from staylens.operators.ranking import latest_per_key
+from staylens.session import path_exists
 
 
 def dedupe_batch(batch: DataFrame, key: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -50,10 +51,9 @@ def upsert_partitions(
     the partition columns (calendar months: bounded, metadata-sized).
     """
     touched = [tuple(r) for r in batch.select(*partition_cols).distinct().collect()]
-    try:
-        existing = spark.read.parquet(target_path)
-    except Exception:  # first load: no target yet
-        existing = None
+    # no target yet on the first load; any other failure to read it must
+    # stop the run, or the overwrite below would drop the target's rows
+    existing = spark.read.parquet(target_path) if path_exists(spark, target_path) else None
     if existing is not None and touched:
         cond = None
         for values in touched:

@@ -35,10 +35,9 @@ from staylens.operators.joins import left_join_null_safe
 from staylens.operators.ranking import lag_over
 from staylens.operators.temporal import temporal_left_join
 
-# The source system evaluated the open end of a host version at the run's
-# wall-clock date; a fixed date after the last snapshot keeps runs
-# reproducible.  Pass another ``as_of`` to the functions to change it.
-DEFAULT_AS_OF = _dt.date(2002, 1, 1)
+# The open end of a host version is the run's date, as in the source system.
+# Pass an ``as_of`` date for reproducible runs over old snapshots.
+DEFAULT_AS_OF: _dt.date | None = None
 
 def with_superhost_flag(
     fact: DataFrame, host: DataFrame, as_of=DEFAULT_AS_OF, closed: bool = False

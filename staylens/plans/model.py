@@ -49,7 +49,7 @@ class RentalModel:
     def __init__(
         self,
         bronze: dict[str, DataFrame],
-        as_of: _dt.date = marts.DEFAULT_AS_OF,
+        as_of: _dt.date | None = marts.DEFAULT_AS_OF,
         base_path: str | None = None,
         upstream: "RentalModel | None" = None,
         fresh: str | None = None,
@@ -62,7 +62,7 @@ class RentalModel:
 
     @classmethod
     def from_tables(cls, spark: SparkSession, sf_dir: str, **kw) -> "RentalModel":
-        return cls(bindings.LazyBronze(spark, sf_dir), **kw)
+        return cls(bindings.LazyBronze(spark, sf_dir), **{"as_of": bindings.AS_OF, **kw})
 
     # Layer tables of the default build, in dependency order.  Silver and
     # gold are tables, marts stay views (lazy), as in the source project.

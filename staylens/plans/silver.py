@@ -33,6 +33,13 @@ def listing_order() -> list[Column]:
         F.col("number_of_reviews").asc_nulls_last(),
         F.col("review_scores_rating").asc_nulls_last(),
         F.col("has_availability").asc_nulls_last(),
+        *[
+            F.col(c).asc_nulls_last()
+            for c in (
+                "host_name", "host_since", "host_is_superhost", "host_neighbourhood", "property_type", "room_type", "accommodates",
+                "review_scores_accuracy", "review_scores_cleanliness", "review_scores_checkin", "review_scores_communication", "review_scores_value",
+            )
+        ],
     ]
 
 

@@ -65,12 +65,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder.
 
     The cluster names it in ``spark.checkpoint.dir``; we read it from the
-    session (or the SparkContext's checkpoint dir) and only invent one, under
-    the OS temp dir, when neither is set — which happens in local tests only.
+    session (or the SparkContext's checkpoint dir).  When neither is set, a
+    folder of this machine does for a local master only: executors elsewhere
+    would not see it, so any other master is an error.
     """
     sc = spark.sparkContext
     base = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not base:
+        if sc.master != "local" and not sc.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="staylens-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(base)
@@ -85,6 +88,13 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{base}/staylens/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there; a storage error is raised, never
+    taken for an absent path."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p))
+
+
 def session_key(spark: SparkSession) -> str:
     """Identity of the running application, for per-session caches."""
     return spark.conf.get("spark.app.id", None) or str(id(spark))

@@ -17,6 +17,8 @@ Every frame returned here has exactly the bronze schema of
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,6 +42,9 @@ REVIEW_SCORE_OFFSETS = {
     "review_scores_value": 5,
 }
 
+#: The test tables end in 2001: open host versions hold up to this date.
+AS_OF = _dt.date(2002, 1, 1)
+
 
 def _conform(df: DataFrame, schema) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])

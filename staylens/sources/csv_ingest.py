@@ -49,13 +49,17 @@ CSV_OPTIONS = {
 }
 
 
+CSV_GLOB = "*.[cC][sS][vV]{,.gz,.GZ,.bz2,.zst}"
+
+
 def list_csv_files(spark: SparkSession, root: str) -> list[str]:
-    """Every ``*.csv`` file under ``root`` (recursively), via the binaryFile
+    """Every ``*.csv`` file under ``root`` (recursively; in any case, also
+    compressed, as ``.csv.gz``), via the binaryFile
     source with only the ``path`` column selected (file contents are not
     read).  The list is metadata: one row per file."""
     files = (
         spark.read.format("binaryFile")
-        .option("pathGlobFilter", "*.csv")
+        .option("pathGlobFilter", CSV_GLOB)
         .option("recursiveFileLookup", "true")
         .load(root)
         .select("path")
@@ -63,6 +67,9 @@ def list_csv_files(spark: SparkSession, root: str) -> list[str]:
     return sorted(r.path for r in files.collect())
 
 
+POSITIONAL = re.compile(r"_c\d+")
+
+
 def _header_of(spark: SparkSession, path: str, multiline: bool) -> tuple[str, ...]:
     reader = spark.read.options(**CSV_OPTIONS).option("multiLine", str(multiline).lower())
     return tuple(reader.csv(path).columns)
@@ -122,7 +129,10 @@ def read_csv_by_name(
         reader = (
             spark.read.options(**CSV_OPTIONS)
             .option("multiLine", str(multiline).lower())
-            .option("enforceSchema", "true")
+            # every file's header is held against the one read for its folder:
+            # a differing one stops the load instead of shifting its columns
+            # (positional names stand for blank cells and cannot be compared)
+            .option("enforceSchema", str(any(POSITIONAL.fullmatch(h) for h in header)).lower())
             .schema(schema)
         )
         if base_path:
@@ -158,10 +168,16 @@ def normalize_dates(df: DataFrame) -> DataFrame:
 
 
 def _cast(c: Column, t: T.DataType, strict: bool) -> Column:
-    if isinstance(t, T.IntegerType | T.LongType | T.ShortType):
-        # "5.0": integer columns arrive float-formatted from the pandas era
+    if isinstance(t, T.IntegerType | T.LongType | T.ShortType | T.DecimalType):
+        # "5.0": integer columns arrive float-formatted from the pandas era;
+        # a value that the type would round is as wrong as one it cannot read
         via = "decimal(38,10)"
-        return c.cast(via).cast(t) if strict else c.try_cast(via).try_cast(t)
+        wide = c.cast(via) if strict else c.try_cast(via)
+        narrow = wide.cast(t) if strict else wide.try_cast(t)
+        kept = F.when(wide.isNull() | (wide == narrow.cast(via)), narrow)
+        if not strict:
+            return kept
+        return kept.otherwise(F.raise_error(F.concat(F.lit(f"loses digits as {t.simpleString()}: "), c.cast("string"))).cast(t))
     if strict:
         return c.cast(t)
     return c.try_cast(t)
@@ -175,8 +191,12 @@ def cast_to_schema(
     the row is flagged in ``_rejected`` for quarantine.  ``keep`` columns
     (e.g. a discovered partition column) pass through unchanged."""
 
+    actual = {c.lower(): c for c in df.columns}
+
     def src(name: str) -> Column:
-        return F.col(name) if name in df.columns else F.lit(None).cast("string")
+        # headers are bound in lower case, whatever the schema's spelling
+        c = actual.get(name.lower())
+        return F.col(f"`{c}`") if c is not None else F.lit(None).cast("string")
 
     cols = [_cast(src(f.name), f.dataType, strict).alias(f.name) for f in schema.fields]
     cols += [F.col(k) for k in keep]
@@ -184,8 +204,8 @@ def cast_to_schema(
         return df.select(*cols)
     bad = F.lit(False)
     for f in schema.fields:
-        if f.name in df.columns:
-            raw = F.col(f.name)
+        if f.name.lower() in actual:
+            raw = src(f.name)
             bad = bad | (raw.isNotNull() & _cast(raw, f.dataType, False).isNull())
     return df.select(*cols, bad.alias("_rejected"))
 
@@ -198,10 +218,11 @@ def load_csv(
     extra_columns: Sequence[str] = (),
     multiline: bool = True,
     strict: bool = True,
+    header_per_file: bool = False,
 ) -> DataFrame:
     """S1-S6 end to end: files -> typed bronze rows (+ ``extra_columns``
     such as a discovered partition column)."""
-    raw = read_csv_by_name(spark, paths, base_path, multiline)
+    raw = read_csv_by_name(spark, paths, base_path, multiline, header_per_file)
     clean = normalize_dates(null_tokens_to_null(raw))
     return cast_to_schema(clean, schema, strict, keep=extra_columns)
 
@@ -212,13 +233,14 @@ def load_monthly(
     schema: T.StructType,
     partition_column: str = "month",
     multiline: bool = True,
+    header_per_file: bool = False,
 ) -> DataFrame:
     """Every month file under ``root`` (``<partition_column>=YYYY-MM/``
     folders) appended into one typed frame that keeps its source month as a
     column.  Order is a column value, not task order."""
     files = list_csv_files(spark, root)
     return load_csv(
-        spark, files, schema, base_path=root, extra_columns=[partition_column], multiline=multiline
+        spark, files, schema, base_path=root, extra_columns=[partition_column], multiline=multiline, header_per_file=header_per_file
     )
 
 

@@ -20,7 +20,7 @@ def qualified_name(layer: str, name: str) -> str:
 
 def ensure_layer(spark: SparkSession, layer: str, base_path: str) -> None:
     """CREATE DATABASE for a layer, located under ``base_path``."""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer} LOCATION '{base_path.rstrip('/')}/{layer}.db'")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{layer}` LOCATION '{base_path.rstrip('/')}/{layer}.db'")
 
 
 def write_table(
@@ -36,7 +36,8 @@ def write_table(
     join key so later joins on it skip the shuffle."""
     spark = df.sparkSession
     ensure_layer(spark, layer, base_path)
-    w = df.write.mode("overwrite").format("parquet")
+    # an explicit path: a layer that exists already keeps its first location
+    w = df.write.mode("overwrite").format("parquet").option("path", f"{base_path.rstrip('/')}/{layer}.db/{name}")
     if partition_by:
         w = w.partitionBy(*partition_by)
     if bucket_by:

@@ -5,6 +5,8 @@ from __future__ import annotations
 
 import datetime as dt
 
+import pytest
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -106,3 +108,64 @@ def test_replayed_batch_is_a_no_op(spark):
     monthly_run.apply_batch(spark, state, load_csv(spark, files, schemas.LISTINGS_RAW, base_path=root), step)
     assert sorted(map(tuple, state.silver(spark).collect()), key=str) == before_s
     assert sorted(map(tuple, state.history(spark).collect()), key=str) == before_h
+
+
+def test_a_file_outside_the_batch_folders_is_an_error(spark, tmp_path):
+    (tmp_path / "month=2020-05").mkdir()
+    (tmp_path / "month=2020-05" / "a.csv").write_text("listing_id\n1\n")
+    assert [k for k, _ in monthly_run.batches(spark, str(tmp_path), "month")] == ["2020-05"]
+    (tmp_path / "05_2020.CSV").write_text("listing_id\n2\n")
+    with pytest.raises(ValueError, match="05_2020"):
+        monthly_run.batches(spark, str(tmp_path), "month")
+
+
+def test_a_differing_header_in_a_folder_never_shifts_columns(spark, tmp_path):
+    from pyspark.sql import types as T
+
+    from staylens.sources.csv_ingest import list_csv_files, load_csv
+
+    (tmp_path / "a.csv").write_text("listing_id,host_id\n1,2\n")
+    (tmp_path / "b.csv").write_text("host_id,listing_id\n4,3\n")
+    schema = T.StructType([T.StructField("LISTING_ID", T.LongType()), T.StructField("host_id", T.LongType())])
+    files = list_csv_files(spark, str(tmp_path))
+    with pytest.raises(Exception, match="(?i)header"):
+        load_csv(spark, files, schema).collect()
+    rows = load_csv(spark, files, schema, header_per_file=True).collect()
+    assert sorted(tuple(r) for r in rows) == [(1, 2), (3, 4)]  # mixed-case schema names bind too
+
+
+def test_a_strict_cast_never_loses_digits(spark):
+    from pyspark.sql import types as T
+
+    from staylens.sources.csv_ingest import cast_to_schema
+
+    schema = T.StructType([T.StructField("n", T.IntegerType()), T.StructField("m", T.DecimalType(12, 2))])
+    df = spark.createDataFrame([("5.0", "4.50"), (None, None)], "n string, m string")
+    assert [tuple(map(str, r)) for r in cast_to_schema(df, schema).collect()] == [("5", "4.50"), ("None", "None")]
+    for bad in (("5.7", "1"), ("5", "4.857")):
+        df = spark.createDataFrame([bad], "n string, m string")
+        with pytest.raises(Exception, match="loses digits"):
+            cast_to_schema(df, schema).collect()
+        assert cast_to_schema(df, schema, strict=False).collect()[0]["_rejected"]
+
+
+def test_a_failed_read_of_the_target_stops_the_upsert(spark, tmp_path):
+    from staylens.operators.upsert import upsert_partitions
+
+    target = tmp_path / "t"
+    batch = spark.createDataFrame([(1, "a", 2020)], "k long, v string, year int")
+    upsert_partitions(spark, str(target), batch, ["k"], [F.col("v")], ["year"])
+    part = next((target / "year=2020").glob("*.parquet"))
+    part.write_bytes(b"broken")
+    for crc in (target / "year=2020").glob(".*.crc"):
+        crc.write_bytes(b"")
+    with pytest.raises(Exception):
+        upsert_partitions(spark, str(target), spark.createDataFrame([(2, "b", 2020)], "k long, v string, year int"), ["k"], [F.col("v")], ["year"])
+    assert part.read_bytes() == b"broken"
+
+
+def test_a_second_run_extends_the_history(spark, tmp_path):
+    state = monthly_run.RunState(str(tmp_path / "silver"), str(tmp_path / "history"))
+    assert state.next_step(spark) == 0
+    spark.range(1).write.parquet(state.step_path(4) + "/kind=open")
+    assert state.next_step(spark) == 5

@@ -3,6 +3,8 @@ when neither it nor the context's checkpoint dir is set, make a local one."""
 
 from __future__ import annotations
 
+import pytest
+
 from staylens.session import ensure_checkpoint_dir, shared_path
 
 
@@ -16,6 +18,8 @@ class _Conf:
 
 
 class _Context:
+    master = "local[2]"
+
     def __init__(self, ckpt=None):
         self.ckpt = ckpt
 
@@ -48,3 +52,10 @@ def test_local_folder_only_when_unset():
     s = _Session()
     base = ensure_checkpoint_dir(s)
     assert base and s.sparkContext.ckpt == base
+
+
+def test_no_local_folder_on_a_cluster():
+    s = _Session()
+    s.sparkContext.master = "spark://host:7077"
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(s)
