@@ -28,6 +28,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from staylens.llm.common import cut
+
 ORC_OPTIONS = {
     "orc.compress": "ZSTD",
     "orc.stripe.size": str(64 << 20),
@@ -188,8 +190,8 @@ def token_index(rows: DataFrame) -> DataFrame:
 
     kind = rows.schema["doc_id"].dataType.simpleString()
     flat = rows.select("doc_id", "ids", "file").mapInArrow(digest, f"doc_id {kind}, n_tokens long, ids_crc32 long, file string, row long")
-    # one deal by file serves the running sums and the totals: the files are read once
-    flat = flat.repartition("file")
+    # digests of the rows, written once: the files are read once
+    flat = cut(flat, "token-digests")
     in_file = Window.partitionBy("file").orderBy(F.col("doc_id").asc_nulls_first(), "row", "ids_crc32")
     ranked = flat.withColumn("own", F.sum("n_tokens").over(in_file) - F.col("n_tokens"))
     # one row per file: its number in the name gives its place
