@@ -90,8 +90,8 @@ FACT_COLS = [
 ]
 ORACLE["gold_fact_asis"] = sel("fact_asis", *FACT_COLS)
 ORACLE["gold_fact_pit"] = sel(
-    "fact_pit", *FACT_COLS, big("host_id"), "property_type", "room_type", big("accommodates"),
-    dbl("review_scores_rating"),
+    "fact_pit_host", *FACT_COLS, big("host_id"), "property_type", "room_type", big("accommodates"),
+    dbl("review_scores_rating"), "host_is_superhost",
 )
 
 

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from staylens.functions.expressions import md5_key, normalize_text
 from staylens.operators.scd2 import VALID_FROM, VALID_TO, scd2_rebuild
+from staylens.operators.temporal import temporal_left_join
 from staylens.plans.silver import HOST_COLUMNS
 
 CENSUS_G01_COLUMNS = [
@@ -41,6 +42,7 @@ FACT_COLUMNS = [
 # Extra columns carried by the point-in-time fact so marts need no
 # re-join against the multi-row property dimension.
 PIT_EXTRA_COLUMNS = ["host_id", "property_type", "room_type", "accommodates", "review_scores_rating"]
+SUPERHOST = "host_is_superhost"
 
 
 def host_snapshot(host_clean: DataFrame) -> DataFrame:
@@ -138,17 +140,27 @@ def suburb_lookup(suburb: DataFrame, lga: DataFrame) -> DataFrame:
     return by_name.join(one_lga, "lga_code", "left").select("__nk", "suburb_key", "lga_key", "lga_code")
 
 
-def fact_pit(listings: DataFrame, suburb: DataFrame, lga: DataFrame) -> DataFrame:
+def with_superhost_flag(fact: DataFrame, host: DataFrame, as_of=None, closed: bool = False) -> DataFrame:
+    """The host's superhost flag valid on the snapshot date (J6), in place of
+    one that ``fact`` may carry."""
+    return temporal_left_join(
+        fact.drop(SUPERHOST), host, "host_id", "host_id", "scraped_date", [SUPERHOST], as_of, closed
+    )
+
+
+def fact_pit(listings: DataFrame, suburb: DataFrame, lga: DataFrame, host: DataFrame, as_of=None) -> DataFrame:
     """Point-in-time fact: exactly one row per silver listing row.
 
-    The only join is against ``suburb_lookup`` (bounded by the number of
-    distinct neighbourhood names); AQE broadcasts it when its measured size is
-    under the threshold, otherwise it is a sort-merge join whose skewed
-    partitions AQE splits.
+    One join is against ``suburb_lookup`` (bounded by the number of distinct
+    neighbourhood names); AQE broadcasts it when its measured size is under
+    the threshold, otherwise it is a sort-merge join whose skewed partitions
+    AQE splits.  The other attaches the host's superhost flag of the snapshot
+    date: half-open versions make it a function of host and date, so it is
+    resolved once here and no mart joins the host history for it.
     """
     f = listings.withColumn("__nk", normalize_text("listing_neighbourhood"))
     out = f.join(suburb_lookup(suburb, lga), "__nk", "left")
-    return out.select(
+    out = out.select(
         "listing_id", "scraped_date", "price", "number_of_reviews", "availability_30",
         F.when(F.col("host_id").isNotNull(), md5_key("host_id")).alias("host_key"),
         "suburb_key", "lga_key", "lga_code",
@@ -156,3 +168,4 @@ def fact_pit(listings: DataFrame, suburb: DataFrame, lga: DataFrame) -> DataFram
         "has_availability",
         *PIT_EXTRA_COLUMNS,
     )
+    return with_superhost_flag(out, host, as_of)

@@ -1,8 +1,8 @@
 """Monthly marts.
 
 The two listing marts share one measure set; only the grouping differs.
-Each mart is: (fact + point-in-time host flag) -> aggregation to (group,
-year, month) -> LAG over the (small) monthly series of each group.
+Each mart is: fact (which carries the point-in-time host flag) -> aggregation
+to (group, year, month) -> LAG over the (small) monthly series of each group.
 
 Scale notes: distinct-host counts come from a per-(group, month, host)
 pre-aggregation (map-side combine collapses a hot host) instead of an
@@ -34,23 +34,14 @@ from staylens.operators.aggregates import count_if, median_by, sum_if
 from staylens.operators.joins import left_join_null_safe
 from staylens.operators.ranking import lag_over
 from staylens.operators.temporal import temporal_left_join
+from staylens.plans.gold import with_superhost_flag
 
 # The open end of a host version is the run's date, as in the source system.
 # Pass an ``as_of`` date for reproducible runs over old snapshots.
 DEFAULT_AS_OF: _dt.date | None = None
 
-def with_superhost_flag(
-    fact: DataFrame, host: DataFrame, as_of=DEFAULT_AS_OF, closed: bool = False
-) -> DataFrame:
-    """The host's superhost flag valid on the snapshot date."""
-    return temporal_left_join(
-        fact, host, "host_id", "host_id", "scraped_date", ["host_is_superhost"], as_of, closed
-    )
-
 
-def monthly_listing_measures(
-    base: DataFrame, group_cols: Sequence[str], price_rows: DataFrame | None = None
-) -> DataFrame:
+def monthly_listing_measures(base: DataFrame, group_cols: Sequence[str]) -> DataFrame:
     """Shared measure set of the listing-neighbourhood and property-type marts.
 
     Planned as three aggregations instead of one with two COUNT(DISTINCT)s
@@ -65,9 +56,6 @@ def monthly_listing_measures(
        (group, month, price) counts and a sorted running count (spillable;
        no per-group in-memory buffer even for a hot group);
     then (2) JOIN (3) on the group keys — both one row per group and month.
-
-    ``price_rows`` (optional) are the rows the median is taken over when they
-    can skip a join of ``base`` that cannot change row multiplicity.
     """
     keys = [*group_cols, "year", "month"]
     active = active_available("availability_30")
@@ -101,8 +89,7 @@ def monthly_listing_measures(
         F.sum("stays").alias("total_stays"),
         F.sum("rev").alias("total_estimated_revenue"),
     )
-    src = base if price_rows is None else price_rows
-    medians = median_by(src.where(active).select(*keys, "price"), keys, "price", "median_price")
+    medians = median_by(base.where(active).select(*keys, "price"), keys, "price", "median_price")
     agg = left_join_null_safe(agg, medians, keys)
     inactive = F.col("total_listings") - F.col("active_listings")
     order = ["year", "month"]
@@ -135,39 +122,36 @@ def _with_period(df: DataFrame) -> DataFrame:
     return df.withColumn("year", year_of("scraped_date")).withColumn("month", month_of("scraped_date"))
 
 
-def mart_listing_neighbourhood(
-    fact: DataFrame, host: DataFrame, as_of=DEFAULT_AS_OF, closed: bool = False
-) -> DataFrame:
+def _by_listing_lga(df: DataFrame) -> DataFrame:
+    return _with_period(df).withColumn("listing_neighbourhood_lga", F.coalesce(F.col("lga_key"), F.lit("Unknown")))
+
+
+def mart_listing_neighbourhood(fact: DataFrame) -> DataFrame:
     """M18 on the point-in-time fact: per listing LGA (md5 key, 'Unknown' when
     unmapped) and month."""
-    def prep(df):
-        return _with_period(df).withColumn(
-            "listing_neighbourhood_lga", F.coalesce(F.col("lga_key"), F.lit("Unknown"))
-        )
+    return monthly_listing_measures(_by_listing_lga(fact), ["listing_neighbourhood_lga"])
 
-    base = prep(with_superhost_flag(fact, host, as_of, closed))
-    # half-open versions never overlap: the host join keeps one row per fact
-    # row, so the median can read the fact without it
-    return monthly_listing_measures(base, ["listing_neighbourhood_lga"], None if closed else prep(fact))
+
+def mart_listing_neighbourhood_closed(fact: DataFrame, host: DataFrame, as_of=DEFAULT_AS_OF) -> DataFrame:
+    """M18 with the source's closed BETWEEN: a boundary date matches two
+    versions, so the host history is joined here."""
+    base = with_superhost_flag(fact, host, as_of, closed=True)
+    return monthly_listing_measures(_by_listing_lga(base), ["listing_neighbourhood_lga"])
+
+
+def _by_property(df: DataFrame) -> DataFrame:
+    return (
+        _with_period(df)
+        .withColumn("property_type", F.coalesce(F.col("property_type"), F.lit("Unknown")))
+        .withColumn("room_type", F.coalesce(F.col("room_type"), F.lit("Unknown")))
+        .withColumn("accommodates", F.coalesce(F.col("accommodates"), F.lit(0)))
+    )
 
 
-def mart_property_type(
-    fact: DataFrame, host: DataFrame, as_of=DEFAULT_AS_OF, closed: bool = False
-) -> DataFrame:
+def mart_property_type(fact: DataFrame) -> DataFrame:
     """M19 on the point-in-time fact: per property type x room type x
     capacity and month."""
-    def prep(df):
-        return (
-            _with_period(df)
-            .withColumn("property_type", F.coalesce(F.col("property_type"), F.lit("Unknown")))
-            .withColumn("room_type", F.coalesce(F.col("room_type"), F.lit("Unknown")))
-            .withColumn("accommodates", F.coalesce(F.col("accommodates"), F.lit(0)))
-        )
-
-    base = prep(with_superhost_flag(fact, host, as_of, closed))
-    return monthly_listing_measures(
-        base, ["property_type", "room_type", "accommodates"], None if closed else prep(fact)
-    )
+    return monthly_listing_measures(_by_property(fact), ["property_type", "room_type", "accommodates"])
 
 
 def mart_host_neighbourhood(fact: DataFrame) -> DataFrame:
@@ -209,20 +193,13 @@ def _asis_base(fact_asis: DataFrame, host: DataFrame, prop: DataFrame | None, as
 
 def mart_listing_neighbourhood_asis(fact_asis, host, prop, as_of=DEFAULT_AS_OF) -> DataFrame:
     """M18 verbatim on the as-is fact."""
-    base = _with_period(_asis_base(fact_asis, host, prop, as_of)).withColumn(
-        "listing_neighbourhood_lga", F.coalesce(F.col("lga_key"), F.lit("Unknown"))
-    )
+    base = _by_listing_lga(_asis_base(fact_asis, host, prop, as_of))
     return monthly_listing_measures(base, ["listing_neighbourhood_lga"])
 
 
 def mart_property_type_asis(fact_asis, host, prop, as_of=DEFAULT_AS_OF) -> DataFrame:
     """M19 verbatim on the as-is fact."""
-    base = (
-        _with_period(_asis_base(fact_asis, host, prop, as_of))
-        .withColumn("property_type", F.coalesce(F.col("property_type"), F.lit("Unknown")))
-        .withColumn("room_type", F.coalesce(F.col("room_type"), F.lit("Unknown")))
-        .withColumn("accommodates", F.coalesce(F.col("accommodates"), F.lit(0)))
-    )
+    base = _by_property(_asis_base(fact_asis, host, prop, as_of))
     return monthly_listing_measures(base, ["property_type", "room_type", "accommodates"])
 
 

@@ -184,14 +184,16 @@ class RentalModel:
     @_table
     def fact(self) -> DataFrame:
         """The point-in-time fact every mart and question reads."""
-        return gold.fact_pit(self.listings, self.dm_suburb, self.dm_lga)
+        return gold.fact_pit(self.listings, self.dm_suburb, self.dm_lga, self.dm_host, self.as_of)
 
     # --- marts --------------------------------------------------------
     def mart_listing_neighbourhood(self, closed: bool = False) -> DataFrame:
-        return marts.mart_listing_neighbourhood(self.fact, self.dm_host, self.as_of, closed)
+        if closed:
+            return marts.mart_listing_neighbourhood_closed(self.fact, self.dm_host, self.as_of)
+        return marts.mart_listing_neighbourhood(self.fact)
 
-    def mart_property_type(self, closed: bool = False) -> DataFrame:
-        return marts.mart_property_type(self.fact, self.dm_host, self.as_of, closed)
+    def mart_property_type(self) -> DataFrame:
+        return marts.mart_property_type(self.fact)
 
     def mart_host_neighbourhood(self) -> DataFrame:
         return marts.mart_host_neighbourhood(self.fact)

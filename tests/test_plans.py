@@ -38,6 +38,8 @@ def test_marts_have_no_expand(spark):
     w = warehouse(spark, SF_SMALL)
     for df in (w.mart_listing_neighbourhood(), w.mart_property_type()):
         assert "Expand" not in _plan(df)
+        # the superhost flag is in the fact: no scan of the host history
+        assert "host_snapshot" not in _formatted(df)
 
 
 def test_fact_scan_is_column_pruned(spark):
@@ -45,7 +47,7 @@ def test_fact_scan_is_column_pruned(spark):
     text = _formatted(w.question_d())
     schema_lines = [ln for ln in text.splitlines() if ln.startswith("ReadSchema")]
     assert schema_lines
-    # question d reads 5 of the fact's 16 columns
+    # question d reads 5 of the fact's 17 columns
     assert all("review_scores_rating" not in ln and "price" not in ln for ln in schema_lines)
 
 
