@@ -37,9 +37,9 @@ def conf_int(spark: SparkSession, key: str, default: int) -> int:
 # --- texts as bytes -----------------------------------------------------------
 
 
-def text_chunks(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def text_chunks(texts: pa.Array, chunk_bytes: int = CHUNK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Slices of an Arrow string array as ``(first row, end row, UTF-8 bytes,
-    offsets of rows in them)``, each of about ``CHUNK_BYTES``; a null is an
+    offsets of rows in them)``, each of about ``chunk_bytes``; a null is an
     empty text."""
     arr = texts.cast(pa.large_binary())
     if arr.null_count:
@@ -50,7 +50,7 @@ def text_chunks(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndar
     data = np.frombuffer(buf, dtype=np.uint8) if buf is not None and buf.size else np.zeros(0, np.uint8)
     a = 0
     while a < n:
-        b = max(a + 1, int(np.searchsorted(offsets, offsets[a] + CHUNK_BYTES, side="right")) - 1)
+        b = max(a + 1, int(np.searchsorted(offsets, offsets[a] + chunk_bytes, side="right")) - 1)
         b = min(b, n)
         yield a, b, data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
         a = b

@@ -41,6 +41,8 @@ ROWS = 4
 PERCENT = 85
 #: A shingle that at most so many open sets hold is rare.
 RARE = 64
+#: Bytes of text hashed at once (about 54 bytes of memory for each).
+CHUNK_BYTES = 1 << 20
 
 WORD = np.ones(256, bool)
 WORD[0x20] = False
@@ -59,7 +61,7 @@ def _powers(base: int, n: int) -> np.ndarray:
 
 def shingle_sets(texts: pa.Array) -> Iterator[np.ndarray]:
     """Per text its distinct shingles, as sorted 64-bit hashes."""
-    for _, _, data, offsets in text_chunks(texts):
+    for _, _, data, offsets in text_chunks(texts, CHUNK_BYTES):
         low = LOWER[data]
         starts, ends, before = word_spans(low, offsets, WORD)
         n = len(low) + 1
