@@ -312,28 +312,30 @@ ORACLE["mart_listing_neighbourhood_asis"] = _listing_mart("fact_asis_host_prop",
 ORACLE["mart_property_type_asis"] = _listing_mart("fact_asis_host_prop", _BY_PROPERTY)
 ORACLE["mart_host_neighbourhood_asis"] = _host_mart("fact_asis_host")
 
-# The incremental merge over yearly drops, in closed form: per host and
-# batch the candidate is the batch's latest host tuple; a candidate opens a
-# version when its host_since is later than every earlier batch's candidate
-# (or it is the host's first batch); a version closes where the next opens.
+# The incremental merge over yearly drops, in closed form: a dated host tuple
+# of a drop opens a version when its host_since is later than all of the host's
+# earlier drops (or it is the host's first drop); tuples of one drop and date
+# are one version; a version closes where the next opens.
 ORACLE["scd2_merge"] = with_layers("""
-, cand AS (
-    SELECT * FROM (
-        SELECT DISTINCT host_id, year(scraped_date) AS batch, host_name,
-            CASE WHEN host_is_superhost = 't' THEN TRUE WHEN host_is_superhost = 'f' THEN FALSE END AS host_is_superhost,
-            host_neighbourhood, host_since
-        FROM listings_raw WHERE host_id IS NOT NULL)
-    QUALIFY row_number() OVER (PARTITION BY host_id, batch ORDER BY host_since DESC NULLS LAST,
-        host_name ASC NULLS LAST, host_is_superhost ASC NULLS LAST, host_neighbourhood ASC NULLS LAST) = 1
-), rec AS (
-    SELECT *,
-        max(host_since) OVER (PARTITION BY host_id ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev_max,
-        row_number() OVER (PARTITION BY host_id ORDER BY batch) AS rn
-    FROM cand
+, seen AS (
+    SELECT DISTINCT host_id, year(scraped_date) AS batch, host_name,
+        CASE WHEN host_is_superhost = 't' THEN TRUE WHEN host_is_superhost = 'f' THEN FALSE END AS host_is_superhost,
+        host_neighbourhood, host_since
+    FROM listings_raw WHERE host_id IS NOT NULL
+    QUALIFY row_number() OVER (PARTITION BY host_id, year(scraped_date), host_since
+        ORDER BY host_name ASC NULLS LAST, host_is_superhost = 't' ASC NULLS LAST, host_neighbourhood ASC NULLS LAST) = 1
 ), versions AS (
-    SELECT * FROM rec WHERE rn = 1 OR host_since > prev_max
+    SELECT s.* FROM seen s
+    LEFT JOIN (SELECT host_id, min(batch) AS first_batch FROM seen GROUP BY host_id) f USING (host_id)
+    WHERE (s.batch = f.first_batch AND s.host_since IS NOT NULL)
+       OR s.host_since > (SELECT max(e.host_since) FROM seen e WHERE e.host_id = s.host_id AND e.batch < s.batch)
 )
 SELECT CAST(host_id AS BIGINT) AS host_id, host_name, host_is_superhost, host_neighbourhood,
     strftime(host_since, '%Y-%m-%d') AS host_since, strftime(host_since, '%Y-%m-%d') AS valid_from,
-    strftime(lead(host_since) OVER (PARTITION BY host_id ORDER BY batch), '%Y-%m-%d') AS valid_to
+    strftime(lead(host_since) OVER (PARTITION BY host_id ORDER BY host_since), '%Y-%m-%d') AS valid_to
 FROM versions""")
+for _name, _like in (("census_g01", "silver_census_g01"), ("census_g02", "silver_census_g02")):
+    ORACLE[f"csv_{_name}"] = ORACLE[_like]
+ORACLE["csv_lga_code"] = sel("lga_code_raw", "lga_code", "lga_name")
+ORACLE["csv_lga_suburb"] = sel("lga_suburb_raw", "lga_name", "suburb_name")
+ORACLE["csv_one_folder_months"] = ORACLE["monthly_append"]

@@ -63,49 +63,39 @@ def scd2_merge(
 ) -> DataFrame:
     """Apply one batch to the history ``current`` (None = first run).
 
-    The batch is first reduced to one row per key (latest ``updated_at``,
-    then a total order), so a key can open at most one version per batch.
+    Every version in the batch is applied, in ``updated_at`` order: the ones
+    later than the open version each close their predecessor, so the history
+    is the same however rows are dealt to batches, as long as none comes late.
+    Rows of a key with one ``updated_at`` are one version (the first by the
+    tracked columns); an undated row opens a version only for a key that has
+    no other row.
     """
     cols = list(dict.fromkeys([*key, *tracked, updated_at]))
-    b = latest_per_key(
+    versions = latest_per_key(
         batch.select(*cols).where(F.col(key[0]).isNotNull()),
-        key,
-        [F.col(updated_at).desc_nulls_last(), *_tiebreak([c for c in tracked if c != updated_at])],
+        [*key, updated_at],
+        _tiebreak([c for c in tracked if c != updated_at]),
+    ).select(*cols, F.col(updated_at).alias(VALID_FROM))
+    rows = versions.withColumn("__new", F.lit(1))
+    if current is not None:
+        held = current.where(F.col(VALID_TO).isNull()).select(*cols, VALID_FROM)
+        rows = rows.unionByName(held.withColumn("__new", F.lit(0)))
+
+    # open versions and new ones meet in one shuffle; both windows share it
+    of_key = Window.partitionBy(*key)
+    opened = F.when(F.col("__new") == 0, F.col(VALID_FROM))
+    met = rows.select(
+        "*",
+        F.min("__new").over(of_key).alias("__first_seen"),
+        F.max(opened).over(of_key).alias("__open"),
+        F.count(VALID_FROM).over(of_key).alias("__dated"),
     )
-    opened_new = b.withColumn(VALID_FROM, F.col(updated_at)).withColumn(
-        VALID_TO, F.lit(None).cast(b.schema[updated_at].dataType)
+    later = F.coalesce(F.col(VALID_FROM) > F.col("__open"), F.lit(False))
+    fresh = (F.col("__first_seen") == 1) & (F.col(VALID_FROM).isNotNull() | (F.col("__dated") == 0))
+    in_order = of_key.orderBy("__new", VALID_FROM)
+    out = met.where((F.col("__new") == 0) | later | fresh).select(
+        *cols, VALID_FROM, F.lead(VALID_FROM).over(in_order).alias(VALID_TO)
     )
     if current is None:
-        return opened_new
-
-    out_cols = [*cols, VALID_FROM, VALID_TO]
-    closed = current.where(F.col(VALID_TO).isNotNull()).select(*out_cols)
-    open_ = current.where(F.col(VALID_TO).isNull()).select(*out_cols)
-
-    # Presence markers: the attributes themselves may all be NULL.
-    j = open_.withColumn("o_present", F.lit(True)).alias("o").join(
-        b.withColumn("n_present", F.lit(True)).alias("n"), list(key), "full_outer"
-    )
-    has_o = F.col("o_present").isNotNull()
-    has_n = F.col("n_present").isNotNull()
-    later = has_o & has_n & (F.col(f"n.{updated_at}") > F.col(f"o.{VALID_FROM}"))
-    # For a first-seen key the open version starts at its own updated_at.
-    is_new = ~has_o & has_n
-
-    def side(prefix: str):
-        return [F.col(f"{prefix}.{c}").alias(c) for c in cols if c not in key]
-
-    keys = [F.col(k) for k in key]
-    # 1) open versions that stay open (no batch row, or batch not later)
-    stay = j.where(has_o & ~F.coalesce(later, F.lit(False))).select(
-        *keys, *side("o"), F.col(f"o.{VALID_FROM}").alias(VALID_FROM), F.col(f"o.{VALID_TO}").alias(VALID_TO)
-    )
-    # 2) open versions closed at the new version's updated_at
-    closing = j.where(F.coalesce(later, F.lit(False))).select(
-        *keys, *side("o"), F.col(f"o.{VALID_FROM}").alias(VALID_FROM), F.col(f"n.{updated_at}").alias(VALID_TO)
-    )
-    # 3) newly opened versions (changed or first seen)
-    opening = j.where(F.coalesce(later, F.lit(False)) | is_new).select(
-        *keys, *side("n"), F.col(f"n.{updated_at}").alias(VALID_FROM), F.lit(None).cast(opened_new.schema[VALID_TO].dataType).alias(VALID_TO)
-    )
-    return closed.unionByName(stay).unionByName(closing).unionByName(opening)
+        return out
+    return out.unionByName(current.where(F.col(VALID_TO).isNotNull()).select(*out.columns))

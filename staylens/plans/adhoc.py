@@ -37,9 +37,18 @@ def pct_rounded(part: Column, total: Column, digits: int = 2) -> Column:
 
 
 def last_months(fact: DataFrame, months: int = 12) -> Column:
-    """``scraped_date >= (SELECT max(scraped_date) - interval) ``."""
-    max_date = scalar_of(fact.agg(F.max("scraped_date")))
-    return F.col("scraped_date") >= months_before(max_date, months)
+    """``scraped_date >= (SELECT max(scraped_date) - interval) ``.
+
+    On a fact laid out by (year, month) the latest month comes from the
+    partition values, its date from that month's folder alone, and a predicate
+    on the same columns prunes the folders that are read."""
+    if not {"year", "month"} <= set(fact.columns):
+        max_date = scalar_of(fact.agg(F.max("scraped_date")))
+        return F.col("scraped_date") >= months_before(max_date, months)
+    period = F.col("year") * 12 + F.col("month")
+    latest = scalar_of(fact.agg(F.max(period)))
+    max_date = scalar_of(fact.where(period == latest).agg(F.max("scraped_date")))
+    return (period >= latest - months) & (F.col("scraped_date") >= months_before(max_date, months))
 
 
 def question_a(fact: DataFrame, census: DataFrame, n: int = 3) -> DataFrame:

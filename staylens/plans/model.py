@@ -19,7 +19,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from staylens.plans import adhoc, gold, marts, silver
-from staylens.sources import bindings
+from staylens.sources import bindings, sinks
 
 
 def _table(fn):
@@ -37,8 +37,11 @@ def _table(fn):
                 df = fn(self)
                 if self._base_path is not None:
                     path = f"{self._base_path.rstrip('/')}/{name}"
-                    df.write.mode("overwrite").parquet(path)
-                    df = df.sparkSession.read.parquet(path)
+                    if name == "fact":
+                        df = sinks.write_fact_partitioned(df, path)
+                    else:
+                        df.write.mode("overwrite").parquet(path)
+                        df = df.sparkSession.read.parquet(path)
             cache[name] = df
         return cache[name]
 
@@ -183,7 +186,8 @@ class RentalModel:
 
     @_table
     def fact(self) -> DataFrame:
-        """The point-in-time fact every mart and question reads."""
+        """The point-in-time fact every mart and question reads; written by
+        (year, month), which the written table carries as columns."""
         return gold.fact_pit(self.listings, self.dm_suburb, self.dm_lga, self.dm_host, self.as_of)
 
     # --- marts --------------------------------------------------------

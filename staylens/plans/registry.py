@@ -181,11 +181,11 @@ def _adhoc_e(spark, sf_dir):
 from pyspark.sql import functions as F  # noqa: E402
 
 from staylens.operators import quality  # noqa: E402
-from staylens.plans import monthly_run  # noqa: E402
+from staylens.plans import monthly_run, silver  # noqa: E402
 from staylens.session import shared_path  # noqa: E402
 from staylens.sources import bindings, schemas, sinks  # noqa: E402
-from staylens.sources.csv_ingest import cast_to_schema, load_monthly  # noqa: E402
-from staylens.sources.landing import CsvStyle, write_drops  # noqa: E402
+from staylens.sources.csv_ingest import cast_to_schema, list_csv_files, load_csv, load_monthly, write_csv  # noqa: E402
+from staylens.sources.landing import CsvStyle, write_drops, write_named_months  # noqa: E402
 from staylens.streaming.drops import stream_drops  # noqa: E402
 
 _DRIFT_FROM = "1999-01"  # drops from this month on use the drifted layout
@@ -241,6 +241,36 @@ def _monthly_append(spark, sf_dir):
     return load_monthly(spark, landing(spark, sf_dir, "drift"), schemas.LISTINGS_RAW)
 
 
+@register("csv_one_folder_months")
+def _csv_one_folder_months(spark, sf_dir):
+    """Month files named ``05_1998.csv`` in one folder, appended."""
+    folder = shared_path(spark, "landing-named")
+    write_named_months(bindings.listings_raw(spark, sf_dir), folder)
+    return load_monthly(spark, folder, schemas.LISTINGS_RAW)
+
+
+def csv_static(spark: SparkSession, sf_dir: str, name: str, schema) -> DataFrame:
+    """A static bronze table written out as CSV and loaded again."""
+    path = shared_path(spark, f"landing-{name}")
+    write_csv(bindings.bronze(spark, sf_dir)[name], path)
+    return load_csv(spark, list_csv_files(spark, path), schema)
+
+
+for _name, _table_name, _schema, _clean in [
+    ("csv_census_g01", "census_g01_raw", schemas.CENSUS_G01_RAW, silver.silver_census_g01),
+    ("csv_census_g02", "census_g02_raw", schemas.CENSUS_G02_RAW, silver.silver_census_g02),
+    ("csv_lga_code", "lga_code", schemas.LGA_CODE, None),
+    ("csv_lga_suburb", "lga_suburb", schemas.LGA_SUBURB, None),
+]:
+
+    def _static(spark, sf_dir, table=_table_name, schema=_schema, clean=_clean):
+        """A static table loaded from CSV (census: and cleaned)."""
+        df = csv_static(spark, sf_dir, table, schema)
+        return clean(df) if clean else df
+
+    register(_name)(_static)
+
+
 @register("bronze_typed")
 def _bronze_typed(spark, sf_dir):
     """All-string rows (integers float-formatted, as pandas wrote them)

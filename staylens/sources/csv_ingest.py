@@ -69,6 +69,15 @@ def list_csv_files(spark: SparkSession, root: str) -> list[str]:
 
 POSITIONAL = re.compile(r"_c\d+")
 
+# A month in a file's own name: "05_2020.csv".
+MONTH_FILE = r"(?i)(?:^|/)(\d{1,2})_(\d{4})\.csv(?:\.\w+)?$"
+
+
+def month_of_file(path: str) -> str | None:
+    """``2020-05`` for a file named ``05_2020.csv``."""
+    m = re.search(MONTH_FILE, path)
+    return f"{m.group(2)}-{int(m.group(1)):02d}" if m else None
+
 
 def _header_of(spark: SparkSession, path: str, multiline: bool) -> tuple[str, ...]:
     reader = spark.read.options(**CSV_OPTIONS).option("multiLine", str(multiline).lower())
@@ -109,8 +118,10 @@ def read_csv_by_name(
     base_path: str | None = None,
     multiline: bool = True,
     header_per_file: bool = False,
+    file_name: str | None = None,
 ) -> DataFrame:
     """All files as one all-string frame, columns bound by header name.
+    ``file_name`` names a column for each row's source file.
 
     ``base_path`` enables partition discovery (``month=2020-05/`` folders
     become a column).  ``multiline`` allows newlines inside quoted fields;
@@ -137,7 +148,10 @@ def read_csv_by_name(
         )
         if base_path:
             reader = reader.option("basePath", base_path)
-        frames.append(bind_by_name(reader.csv(files)))
+        rows = reader.csv(files)
+        if file_name:
+            rows = rows.withColumn(file_name, F.col("_metadata.file_name"))
+        frames.append(bind_by_name(rows))
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f, allowMissingColumns=True)
@@ -235,13 +249,33 @@ def load_monthly(
     multiline: bool = True,
     header_per_file: bool = False,
 ) -> DataFrame:
-    """Every month file under ``root`` (``<partition_column>=YYYY-MM/``
-    folders) appended into one typed frame that keeps its source month as a
-    column.  Order is a column value, not task order."""
+    """Every month file under ``root`` appended into one typed frame that
+    keeps its source month (``YYYY-MM``) as a column: from a folder
+    ``<partition_column>=YYYY-MM/``, or from a file's own name
+    (``05_2020.csv``).  A file with neither is an error.  Order is a column
+    value, not task order."""
     files = list_csv_files(spark, root)
-    return load_csv(
-        spark, files, schema, base_path=root, extra_columns=[partition_column], multiline=multiline, header_per_file=header_per_file
-    )
+    named = [f for f in files if f"/{partition_column}=" not in f]
+    stray = [f for f in named if month_of_file(f) is None]
+    if stray:
+        raise ValueError(f"no month in the folder or name of {stray[0]}")
+    frames = []
+    foldered = sorted(set(files) - set(named))
+    if foldered:
+        frames.append(
+            load_csv(spark, foldered, schema, base_path=root, extra_columns=[partition_column], multiline=multiline, header_per_file=header_per_file)
+        )
+    if named:
+        # every named file is a delivery of its own, with its own header
+        raw = read_csv_by_name(spark, named, multiline=multiline, header_per_file=True, file_name="__file")
+        parts = [F.regexp_extract("__file", MONTH_FILE, i) for i in (2, 1)]
+        month = F.concat_ws("-", parts[0], F.lpad(parts[1], 2, "0"))
+        clean = normalize_dates(null_tokens_to_null(raw)).withColumn(partition_column, month)
+        frames.append(cast_to_schema(clean, schema, keep=[partition_column]))
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
 
 
 def write_csv(df: DataFrame, path: str, null_value: str = "", partition_by: Sequence[str] = ()) -> None:

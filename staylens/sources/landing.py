@@ -95,3 +95,19 @@ def write_drops(
                 .partitionBy(batch_col)
                 .csv(w_root)
             )
+
+
+def write_named_months(raw: DataFrame, folder: str, date_col: str = "scraped_date", style: CsvStyle = PLAIN) -> None:
+    """One file per month, named ``05_2020.csv``, all in one folder.  The files
+    are written by month folder and then moved (metadata only)."""
+    spark = raw.sparkSession
+    df = raw.withColumn("month", F.date_format(F.col(date_col), "MM_yyyy"))
+    staged = f"{folder.rstrip('/')}-staged"
+    write_csv(_render(df, style, ["month"]).repartition("month"), staged, null_value=style.null_value, partition_by=["month"])
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(staged).getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(path(folder))
+    for month in fs.globStatus(path(f"{staged}/month=*")):
+        name = month.getPath().getName().removeprefix("month=")
+        for part in fs.globStatus(path(f"{staged}/month={name}/*.csv")):
+            fs.rename(part.getPath(), path(f"{folder}/{name}.csv"))

@@ -15,7 +15,7 @@ from staylens.plans import monthly_run
 from staylens.plans.model import RentalModel
 from staylens.session import shared_path
 from staylens.sources import schemas
-from staylens.sources.csv_ingest import cast_to_schema, load_csv, null_tokens_to_null
+from staylens.sources.csv_ingest import cast_to_schema, load_csv, load_monthly, null_tokens_to_null
 from tests.conftest import SF_SMALL
 
 SCHEMA = T.StructType(
@@ -114,11 +114,26 @@ def test_a_file_outside_the_batch_folders_is_an_error(spark, tmp_path):
     (tmp_path / "month=2020-05").mkdir()
     (tmp_path / "month=2020-05" / "a.csv").write_text("listing_id\n1\n")
     assert [k for k, _ in monthly_run.batches(spark, str(tmp_path), "month")] == ["2020-05"]
-    (tmp_path / "05_2020.CSV").write_text("listing_id\n2\n")
-    with pytest.raises(ValueError, match="05_2020"):
+    (tmp_path / "extra.CSV").write_text("listing_id\n2\n")
+    with pytest.raises(ValueError, match="extra"):
         monthly_run.batches(spark, str(tmp_path), "month")
 
 
+def test_files_named_by_month_are_batches_in_date_order(spark, tmp_path):
+    (tmp_path / "01_2021.csv").write_text("id,name\n3,c\n")
+    (tmp_path / "05_2020.csv").write_text("id,name\n1,a\n")
+    (tmp_path / "12_2020.CSV").write_text("name,id\nb,2\n")
+    assert [k for k, _ in monthly_run.batches(spark, str(tmp_path), "month")] == ["2020-05", "2020-12", "2021-01"]
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("name", T.StringType())])
+    rows = load_monthly(spark, str(tmp_path), schema).collect()
+    assert sorted(map(tuple, rows)) == [(1, "a", "2020-05"), (2, "b", "2020-12"), (3, "c", "2021-01")]
+    with pytest.raises(ValueError):
+        monthly_run.batches(spark, str(tmp_path), "year")
+    (tmp_path / "other.csv").write_text("id,name\n9,z\n")
+    with pytest.raises(ValueError, match="other"):
+        load_monthly(spark, str(tmp_path), schema)
+
+
 def test_a_differing_header_in_a_folder_never_shifts_columns(spark, tmp_path):
     from pyspark.sql import types as T
 

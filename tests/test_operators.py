@@ -160,25 +160,23 @@ def test_temporal_join_boundaries(spark, bucket):
 
 def _brute_merge(history, batch):
     """Pure-Python model of the timestamp strategy on dict rows."""
-    latest = {}
+    versions: dict = {}
     for r in batch:
-        cur = latest.get(r["k"])
-        key = (r["u"] is not None, r["u"] or D.min, r["a"] or "")
-        if cur is None or key > cur[0]:
-            latest[r["k"]] = (key, r)
+        at = versions.setdefault(r["k"], {})
+        at[r["u"]] = min(at.get(r["u"], "~"), r["a"])
     out = [dict(h) for h in history if h["valid_to"] is not None]
     open_ = {h["k"]: dict(h) for h in history if h["valid_to"] is None}
-    for k, h in open_.items():
-        b = latest.get(k, (None, None))[1]
-        if b is not None and b["u"] is not None and h["valid_from"] is not None and b["u"] > h["valid_from"]:
-            out.append({**h, "valid_to": b["u"]})
-            out.append({"k": k, "a": b["a"], "u": b["u"], "valid_from": b["u"], "valid_to": None})
-        else:  # not later (or no start to compare with): stays open
-            out.append(h)
-    for k, (_, b) in latest.items():
-        if k not in open_:
-            out.append({"k": k, "a": b["a"], "u": b["u"], "valid_from": b["u"], "valid_to": None})
-    return out
+    for k, at in versions.items():
+        dated = sorted(u for u in at if u is not None)
+        for u in dated or [None]:
+            cur = open_.get(k)
+            if cur is not None:
+                # not later, or no date to compare with: the open version stays
+                if u is None or cur["valid_from"] is None or u <= cur["valid_from"]:
+                    continue
+                out.append({**cur, "valid_to": u})
+            open_[k] = {"k": k, "a": at[u], "u": u, "valid_from": u, "valid_to": None}
+    return out + list(open_.values())
 
 
 def _rows(df):
@@ -208,6 +206,20 @@ def test_scd2_merge_matches_brute_force(spark):
     assert quality.interval_overlaps(history_df.where(F.col("valid_from").isNotNull()), ["k"]).count() == 0
 
 
+def test_scd2_merge_does_not_depend_on_batch_size(spark):
+    """Updates that arrive in order give the rebuilt history, however they are
+    dealt to batches."""
+    rows = [Row(k=k, a=f"{k}{d % 3}", u=D(2020, 1, d)) for d in range(1, 13) for k in range(1, 4) if (d * k) % 5]
+    schema = "k int, a string, u date"
+    want = _rows(scd2_rebuild(spark.createDataFrame(rows, schema), ["k"], "u", ["a"]))
+    for size in (4, 9, len(rows)):
+        history = None
+        for i in range(0, len(rows), size):
+            history = scd2_merge(history, spark.createDataFrame(rows[i : i + size], schema), ["k"], "u", ["a"])
+            history = spark.createDataFrame(history.collect(), history.schema)
+        assert _rows(history) == want
+
+
 def test_scd2_rebuild_versions_chain(spark):
     rows = spark.createDataFrame(
         [(1, "x", D(2020, 1, 1)), (1, "y", D(2020, 3, 1)), (1, "x", D(2020, 1, 1)), (2, "z", None)],

@@ -95,3 +95,15 @@ def test_partitioned_fact_prunes_months(spark):
     fact = warehouse(spark, SF_SMALL).fact
     want = fact.where((F.year("scraped_date") == 2000) & (F.month("scraped_date") == 6)).count()
     assert one.count() == want > 0
+
+
+def test_recent_questions_prune_fact_folders(spark):
+    """The last-12-months filter reaches the fact scan as a partition filter."""
+    from staylens.plans.adhoc import last_months
+
+    fact = warehouse(spark, SF_SMALL).fact
+    for df in (warehouse(spark, SF_SMALL).question_a(), fact.where(last_months(fact))):
+        main = _plan(df).split("Subqueries")[0]
+        assert "PartitionFilters: [" in main and "PartitionFilters: []" not in main
+    flat = fact.drop("year", "month")
+    assert fact.where(last_months(fact)).count() == flat.where(last_months(flat)).count() > 0
