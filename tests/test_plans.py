@@ -104,9 +104,9 @@ def test_recent_questions_prune_fact_folders(spark):
 
     fact = warehouse(spark, SF_SMALL).fact
     for df in (warehouse(spark, SF_SMALL).question_a(), fact.where(last_months(fact))):
-        scans = re.findall(r"/fact\], PartitionFilters: \[(.*?)\], PushedFilters.*?ReadSchema: struct<(.*?)>", _plan(df))
+        scans = re.findall(r"/fact\], PartitionFilters: \[(.).*?, PushedFilters: .*?ReadSchema: struct<(.)", _plan(df))
         # a scan of no column reads the partition values only (the latest month)
-        reading = [filters for filters, columns in scans if columns]
-        assert reading and all(reading)
+        first = [filters for filters, columns in scans if columns != ">"]
+        assert first and "]" not in first
     flat = fact.drop("year", "month")
     assert fact.where(last_months(fact)).count() == flat.where(last_months(flat)).count() > 0
