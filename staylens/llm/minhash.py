@@ -4,8 +4,9 @@ A document's set holds its distinct five-word shingles.  Signature coordinate
 k is the smallest value, over the set, of one permutation pi applied to
 ``sigma(shingle) + k``: two permutations in all, the second one circularly
 shifted from coordinate to coordinate.  Bands of ``ROWS`` coordinates give
-bucket keys; a pair with a similarity of 0.85 shares no band with a
-probability of about 7e-6.  Links are confirmed on full sets.
+bucket keys, as many that a pair just similar enough for a link shares none
+with a probability of at most ``MISSED`` (16 bands at 85 %, 22 at 80 %).  Links
+are confirmed on full sets.
 
 Equal sets are folded into one representative first.  A bucket is never
 expanded into all its pairs: its members meet one leader, then the member with
@@ -24,7 +25,8 @@ result.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -37,8 +39,10 @@ from staylens.llm.common import LOWER, components, cut, mix64, text_chunks, word
 SHINGLE_WORDS = 5
 COORDINATES = 64
 ROWS = 4
-#: Links need 100 * intersection >= PERCENT * union.
+#: Links need 100 * intersection >= percent * union; this unless given.
 PERCENT = 85
+#: Largest share of just similar pairs that may meet in no band.
+MISSED = 1e-5
 #: A shingle that at most so many open sets hold is rare.
 RARE = 64
 #: Bytes of text hashed at once (about 54 bytes of memory for each).
@@ -87,11 +91,16 @@ def shingle_sets(texts: pa.Array) -> Iterator[np.ndarray]:
                 yield np.zeros(0, np.uint64)
 
 
-def signature(shingles: np.ndarray) -> np.ndarray:
+def bands_for(percent: int) -> int:
+    """Bands that miss a pair of that similarity in ``MISSED`` of cases at most."""
+    return math.ceil(math.log(MISSED) / math.log1p(-((percent / 100) ** ROWS))) if percent < 100 else 1
+
+
+def signature(shingles: np.ndarray, coordinates: int = COORDINATES) -> np.ndarray:
     """The circulant MinHash coordinates of one set (32-bit universe)."""
     sigma = (mix64(shingles ^ np.uint64(0xA5A5A5A5A5A5A5A5)) >> np.uint64(32)).astype(np.uint32)
-    shifts = np.arange(COORDINATES, dtype=np.uint32)[:, None]
-    least = np.full(COORDINATES, 0xFFFFFFFF, np.uint32)
+    shifts = np.arange(coordinates, dtype=np.uint32)[:, None]
+    least = np.full(coordinates, 0xFFFFFFFF, np.uint32)
     for a in range(0, len(sigma), 1024):
         x = sigma[None, a : a + 1024] + shifts  # the circular shift: addition modulo 2^32
         x ^= x >> np.uint32(16)  # pi: a bijection of the universe
@@ -104,7 +113,7 @@ def signature(shingles: np.ndarray) -> np.ndarray:
 
 
 def _bands(coords: np.ndarray) -> list[int]:
-    key = np.arange(COORDINATES // ROWS, dtype=np.uint64)
+    key = np.arange(len(coords) // ROWS, dtype=np.uint64)
     for j in range(ROWS):
         key = mix64(key * _ODD + coords[j::ROWS].astype(np.uint64))
     return key.view(np.int64).tolist()
@@ -116,14 +125,17 @@ def _set_key(shingles: np.ndarray) -> str:
     return f"{a:016x}{b:016x}"
 
 
-def _describe(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-    for texts in parts:
-        n, keys, bands = [], [], []
-        for s in shingle_sets(texts):
-            n.append(len(s))
-            keys.append(_set_key(s) if len(s) else None)
-            bands.append(_bands(signature(s)) if len(s) else [])
-        yield pa.StructArray.from_arrays([pa.array(n, pa.int64()), pa.array(keys, pa.string()), pa.array(bands, pa.list_(pa.int64()))], ["n", "key", "bands"])
+def _describe(coordinates: int) -> Callable[[Iterator[pa.Array]], Iterator[pa.Array]]:
+    def describe(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in parts:
+            n, keys, bands = [], [], []
+            for s in shingle_sets(texts):
+                n.append(len(s))
+                keys.append(_set_key(s) if len(s) else None)
+                bands.append(_bands(signature(s, coordinates)) if len(s) else [])
+            yield pa.StructArray.from_arrays([pa.array(n, pa.int64()), pa.array(keys, pa.string()), pa.array(bands, pa.list_(pa.int64()))], ["n", "key", "bands"])
+
+    return describe
 
 
 def _full_set(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -135,19 +147,19 @@ def _full_set(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         yield pa.StructArray.from_arrays([pa.array(keys, pa.string()), pa.array(sets, pa.list_(pa.int64()))], ["key", "shingles"])
 
 
-def _fits(a: str, b: str):
+def _fits(a: str, b: str, percent: int):
     """Set sizes that allow a link."""
-    return F.lit(100) * F.least(a, b) >= F.lit(PERCENT) * F.greatest(a, b)
+    return F.lit(100) * F.least(a, b) >= F.lit(percent) * F.greatest(a, b)
 
 
-def _compare(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _compare(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """``a, b, similar (double), linked`` of the pairs of set keys."""
     right = pairs.join(sets.select(F.col("key").alias("b"), F.col("shingles").alias("sb")), "b")
     both = right.join(sets.select(F.col("key").alias("a"), F.col("shingles").alias("sa")), "a")
     common = F.size(F.array_intersect("sa", "sb")).cast("long")
     union = F.size("sa") + F.size("sb") - common
     return both.select("a", "b", common.alias("i"), union.alias("u")).select(
-        "a", "b", (F.col("i") / F.col("u")).alias("similar"), (F.lit(100) * F.col("i") >= F.lit(PERCENT) * F.col("u")).alias("linked")
+        "a", "b", (F.col("i") / F.col("u")).alias("similar"), (F.lit(100) * F.col("i") >= F.lit(percent) * F.col("u")).alias("linked")
     )
 
 
@@ -159,9 +171,9 @@ def _grouped(members: DataFrame, links: DataFrame) -> DataFrame:
     return cut(placed.join(open_, "bucket"), "open")
 
 
-def _apart(x: str, y: str):
+def _apart(x: str, y: str, percent: int):
     """Distances to the bucket's first leader that exclude a link."""
-    return F.coalesce(F.abs(F.col(x) - F.col(y)) > F.lit(1 - PERCENT / 100 + 1e-9), F.lit(False))
+    return F.coalesce(F.abs(F.col(x) - F.col(y)) > F.lit(1 - percent / 100 + 1e-9), F.lit(False))
 
 
 def _open_shingles(left: DataFrame, full: DataFrame) -> DataFrame:
@@ -173,13 +185,13 @@ def _open_shingles(left: DataFrame, full: DataFrame) -> DataFrame:
     return cut(flat.join(counts, "shingle"), "shingles")
 
 
-def _open_pairs(left: DataFrame, first: DataFrame, flat: DataFrame, frequent: DataFrame) -> DataFrame:
+def _open_pairs(left: DataFrame, first: DataFrame, flat: DataFrame, frequent: DataFrame, percent: int) -> DataFrame:
     """``a, b``: every pair of open sets, in different components of a bucket,
     that may still have a link.
 
     With the shingles of each set in order of the number of open sets that
     hold them, linked sets have a common shingle among the first
-    ``n - PERCENT n / 100 + 1`` of both.  Either that shingle is rare (at most
+    ``n - percent n / 100 + 1`` of both.  Either that shingle is rare (at most
     ``RARE`` sets hold it: few pairs per shingle), or both sets have enough
     frequent ones for the intersection that their sizes ask for; of the
     latter, the triangle inequality excludes more."""
@@ -187,13 +199,13 @@ def _open_pairs(left: DataFrame, first: DataFrame, flat: DataFrame, frequent: Da
     of_set = Window.partitionBy("key")
     alone = F.col("n") - F.count(F.lit(1)).over(of_set)
     place = F.row_number().over(of_set.orderBy("sets", "shingle")) + alone
-    first_ones = F.col("n") - F.ceil(F.col("n") * PERCENT / 100) + 1
+    first_ones = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
     early = flat.withColumn("early", place <= first_ones).where("early").where(F.col("sets") <= RARE)
 
     def side(df: DataFrame, by: str, suffix: str, *cols: str) -> DataFrame:
         return df.select(by, *[F.col(c).alias(f"{c}_{suffix}") for c in cols])
 
-    ordered = (F.col("key_x") < F.col("key_y")) & (F.col("root_x") != F.col("root_y")) & _fits("n_x", "n_y")
+    ordered = (F.col("key_x") < F.col("key_y")) & (F.col("root_x") != F.col("root_y")) & _fits("n_x", "n_y", percent)
     pair = [F.col("key_x").alias("a"), F.col("key_y").alias("b")]
     rare = early.join(left.select("key", "root").distinct(), "key")
     cols = ("key", "root", "n")
@@ -201,15 +213,15 @@ def _open_pairs(left: DataFrame, first: DataFrame, flat: DataFrame, frequent: Da
 
     near = left.join(frequent, "key").join(first.select(F.col("a").alias("leader"), F.col("b").alias("key"), "similar"), ["leader", "key"], "left")
     near = near.withColumn("similar", F.when(F.col("key") == F.col("leader"), 1.0).otherwise(F.col("similar")))
-    # a link needs an intersection of PERCENT / (100 + PERCENT) of both sizes together
-    enough = F.lit(100 + PERCENT) * F.least("frequent_x", "frequent_y") >= F.lit(PERCENT) * (F.col("n_x") + F.col("n_y"))
-    near = near.where(F.lit(100 + PERCENT) * F.col("frequent") >= F.lit(PERCENT) * (F.col("n") + F.ceil(F.col("n") * PERCENT / 100)))
+    # a link needs an intersection of percent / (100 + percent) of both sizes together
+    enough = F.lit(100 + percent) * F.least("frequent_x", "frequent_y") >= F.lit(percent) * (F.col("n_x") + F.col("n_y"))
+    near = near.where(F.lit(100 + percent) * F.col("frequent") >= F.lit(percent) * (F.col("n") + F.ceil(F.col("n") * percent / 100)))
     cols = ("key", "root", "n", "similar", "frequent")
-    alike = side(near, "bucket", "x", *cols).join(side(near, "bucket", "y", *cols).withColumnRenamed("bucket", "s"), (F.col("bucket") == F.col("s")) & ordered & enough & ~_apart("similar_x", "similar_y")).select(*pair)
+    alike = side(near, "bucket", "x", *cols).join(side(near, "bucket", "y", *cols).withColumnRenamed("bucket", "s"), (F.col("bucket") == F.col("s")) & ordered & enough & ~_apart("similar_x", "similar_y", percent)).select(*pair)
     return met.union(alike).distinct()
 
 
-def _links(sets: DataFrame, sigs: DataFrame, docs: DataFrame, id_col: str, text: str) -> DataFrame:
+def _links(sets: DataFrame, sigs: DataFrame, docs: DataFrame, id_col: str, text: str, percent: int) -> DataFrame:
     """``a, b``: links between set keys that connect all linked sets."""
     buckets = sets.select("key", "n", F.explode("bands").alias("bucket"))
     shared = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min("key").alias("leader"), F.min_by("n", "key").alias("leader_n")).where("size > 1")
@@ -221,8 +233,8 @@ def _links(sets: DataFrame, sigs: DataFrame, docs: DataFrame, id_col: str, text:
     found = texts.join(wanted, F.col("i").eqNullSafe(F.col("w"))).select("key", F.arrow_udf(_full_set, "key string, shingles array<long>")("t").alias("s"))
     full = cut(found.where("s.key = key").select("key", F.col("s.shingles").alias("shingles")).dropDuplicates(["key"]), "sets")
 
-    pairs = members.where("key <> leader").where(_fits("n", "leader_n")).select(F.col("leader").alias("a"), F.col("key").alias("b")).distinct()
-    first = cut(_compare(pairs, full), "compared")
+    pairs = members.where("key <> leader").where(_fits("n", "leader_n", percent)).select(F.col("leader").alias("a"), F.col("key").alias("b")).distinct()
+    first = cut(_compare(pairs, full, percent), "compared")
     links = first.where("linked").select("a", "b")
     left = _grouped(members, links)
     if left.isEmpty():
@@ -232,23 +244,24 @@ def _links(sets: DataFrame, sigs: DataFrame, docs: DataFrame, id_col: str, text:
     # in a group of edited copies the original has the largest share of frequent shingles
     share = F.struct(F.coalesce(F.col("frequent"), F.lit(0)) / F.col("n"), "key")
     nearest = left.join(frequent, "key", "left").groupBy("bucket").agg(F.max_by(F.struct(F.col("key").alias("a"), F.col("n").alias("an"), F.col("root").alias("ar")), share).alias("l"))
-    pairs = left.join(nearest.select("bucket", "l.*"), "bucket").where("root <> ar").where(_fits("n", "an"))
+    pairs = left.join(nearest.select("bucket", "l.*"), "bucket").where("root <> ar").where(_fits("n", "an", percent))
     pairs = pairs.select(F.least("a", "key").alias("a"), F.greatest("a", "key").alias("b")).distinct().join(first.select("a", "b"), ["a", "b"], "left_anti")
-    new = cut(_compare(pairs, full), "compared")
+    new = cut(_compare(pairs, full, percent), "compared")
     done = first.select("a", "b").union(new.select("a", "b"))
     links = links.union(new.where("linked").select("a", "b"))
     left = _grouped(members, links)
     if left.isEmpty():
         return links
-    pairs = _open_pairs(left, first, flat, frequent).join(done.select("a", "b"), ["a", "b"], "left_anti")
-    return links.union(_compare(pairs, full).where("linked").select("a", "b"))
+    pairs = _open_pairs(left, first, flat, frequent, percent).join(done.select("a", "b"), ["a", "b"], "left_anti")
+    return links.union(_compare(pairs, full, percent).where("linked").select("a", "b"))
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
     """``id_col, n_shingles, component_id, kept`` for every row of ``docs``."""
-    sigs = cut(docs.select(F.col(id_col).alias("id"), F.arrow_udf(_describe, "n long, key string, bands array<long>")(text).alias("s")).select("id", "s.*"), "signatures")
+    describe = _describe(bands_for(percent) * ROWS)
+    sigs = cut(docs.select(F.col(id_col).alias("id"), F.arrow_udf(describe, "n long, key string, bands array<long>")(text).alias("s")).select("id", "s.*"), "signatures")
     sets = cut(sigs.where("n > 0").groupBy("key", "n", "bands").agg(F.min("id").alias("label")), "classes")
-    roots = components(_links(sets, sigs, docs, id_col, text))
+    roots = components(_links(sets, sigs, docs, id_col, text, percent))
     grouped = sets.select("key", "label").join(roots.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
     labels = grouped.groupBy("root").agg(F.min("label").alias("component_id"))
     of_set = grouped.join(labels, "root").select("key", "component_id")
@@ -260,9 +273,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text")
     )
 
 
-def remove_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+def remove_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
     """The rows of ``docs`` whose id stands for its group of near-duplicates.
     A null id is never dropped (it cannot stand for a group or be found by
     its id); of rows with an equal id all stay or all go."""
-    gone = near_duplicates(docs, id_col, text).where(~F.col("kept") & F.col(id_col).isNotNull()).select(F.col(id_col).alias("_gone")).distinct()
+    gone = near_duplicates(docs, id_col, text, percent).where(~F.col("kept") & F.col(id_col).isNotNull()).select(F.col(id_col).alias("_gone")).distinct()
     return docs.join(gone, docs[id_col] == gone["_gone"], "left_anti")

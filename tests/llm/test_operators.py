@@ -13,8 +13,10 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from staylens.llm import common, decontam, embed_dedup, minhash, pii, queries, raking, revisit, sharding, token_counts, token_orc, toxicity
 from staylens.session import shared_path
+from tests.conftest import SF_SMALL
 
 LONG = "lorem ipsum dolor sit amet " * 4000
 TEXTS = [
@@ -132,6 +134,22 @@ def test_near_duplicates_against_brute_force(spark, docs, empty):
     assert {r.doc_id for r in kept.collect()} == {d for d, _, c in _brute_near([(r.doc_id, r.text) for r in docs.collect()]) if d == c or d is None}
 
 
+def test_pipeline_drops_near_copies_from_80_percent(spark):
+    words = [f"v{i}" for i in range(50)]
+    rows = []
+    for k in range(30):  # 41 of 51 shingles: 0.804; with 49 words 40 of 50: 0.8; with 48 words below
+        for i, n in enumerate((50, 49, 48)):
+            text = [f"{w}_{k}_{n}" for w in words[:n]]
+            changed = text[:20] + ["other"] + text[21:]
+            rows += [(1000 * k + 10 * i, " ".join(text), 80), (1000 * k + 10 * i + 1, " ".join(changed), n)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, words long")
+    kept = sorted(r.doc_id for r in corpus_pipeline.drop_near_duplicates(spark, table, SF_SMALL).collect())
+    assert kept == sorted(d for d, _, n in rows if n not in (49, 50))
+    at_85 = minhash.remove_near_duplicates(table, percent=85)
+    assert at_85.count() == len(rows)
+    assert (minhash.bands_for(85), minhash.bands_for(80)) == (16, 22)
+
+
 def test_circulant_signature_estimates_similarity():
     a = np.arange(4000, dtype=np.uint64)
     errors = []
