@@ -39,12 +39,16 @@ CONTEXT = {
     "ssn": ("ssn", "social", "security"),
     "short_card": ("card", "amex", "diners", "credit", "karte", "carte", "tarjeta"),
 }
-#: IBAN lengths by country.
+#: IBAN lengths by country (registry of ISO 13616).
 IBAN_LENGTH = {
-    "AD": 24, "AE": 23, "AT": 20, "BE": 16, "BG": 22, "CH": 21, "CY": 28, "CZ": 24, "DE": 22, "DK": 18, "EE": 20, "ES": 24,
-    "FI": 18, "FR": 27, "GB": 22, "GR": 27, "HR": 21, "HU": 28, "IE": 22, "IL": 23, "IS": 26, "IT": 27, "LI": 21, "LT": 20,
-    "LU": 20, "LV": 21, "MC": 27, "MT": 31, "NL": 18, "NO": 15, "PL": 28, "PT": 25, "RO": 24, "SA": 24, "SE": 24, "SI": 19,
-    "SK": 24, "SM": 27, "TR": 26,
+    "AD": 24, "AE": 23, "AL": 28, "AT": 20, "AZ": 28, "BA": 20, "BE": 16, "BG": 22, "BH": 22, "BI": 27, "BR": 29, "BY": 28,
+    "CH": 21, "CR": 22, "CY": 28, "CZ": 24, "DE": 22, "DJ": 27, "DK": 18, "DO": 28, "EE": 20, "EG": 29, "ES": 24, "FI": 18,
+    "FK": 18, "FO": 18, "FR": 27, "GB": 22, "GE": 22, "GI": 23, "GL": 18, "GR": 27, "GT": 28, "HN": 28, "HR": 21, "HU": 28,
+    "IE": 22, "IL": 23, "IQ": 23, "IS": 26, "IT": 27, "JO": 30, "KW": 30, "KZ": 20, "LB": 28, "LC": 32, "LI": 21, "LT": 20,
+    "LU": 20, "LV": 21, "LY": 25, "MC": 27, "MD": 24, "ME": 22, "MK": 19, "MN": 20, "MR": 27, "MT": 31, "MU": 30, "NI": 28,
+    "NL": 18, "NO": 15, "OM": 23, "PK": 24, "PL": 28, "PS": 29, "PT": 25, "QA": 29, "RO": 24, "RS": 22, "RU": 33, "SA": 24,
+    "SC": 31, "SD": 18, "SE": 24, "SI": 19, "SK": 24, "SM": 27, "SO": 23, "ST": 25, "SV": 28, "TL": 23, "TN": 24, "TR": 26,
+    "UA": 29, "VA": 22, "VG": 24, "XK": 20, "YE": 30,
 }
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -52,7 +56,9 @@ _DOMAIN = re.compile(r"@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
 _IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 _CARD = re.compile(r"(?<![0-9])[0-9](?:[ -]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-_IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}+(?![A-Za-z0-9])")
+_IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}")
+#: What follows country and check digits: as many characters as the country has.
+_IBAN_REST = {c: re.compile(rf"(?: ?[A-Z0-9]){{{n - 4}}}+(?![A-Za-z0-9])") for c, n in IBAN_LENGTH.items()}
 _SSN = re.compile(r"(?<![0-9-])([0-9]{3})-([0-9]{2})-([0-9]{4})(?![0-9-])")
 _DIGIT = re.compile(r"[0-9]")
 
@@ -104,6 +110,16 @@ def _phones(text: str) -> Iterator[tuple[int, int]]:
             yield m.span()
 
 
+def _ibans(text: str) -> Iterator[tuple[int, int]]:
+    last = 0
+    for m in _IBAN.finditer(text):
+        rest = _IBAN_REST.get(m.group()[:2])
+        whole = rest.match(text, m.end()) if rest and m.start() >= last else None
+        if whole and mod97(text[m.start() : whole.end()].replace(" ", "")) and _scored("iban", text, m.start()) >= THRESHOLD:
+            last = whole.end()
+            yield m.start(), last
+
+
 def _scored(kind: str, text: str, start: int) -> float:
     before = text[max(0, start - CONTEXT_CHARS) : start].lower()
     return SCORES[kind][any(w in before for w in CONTEXT[kind])]
@@ -130,16 +146,7 @@ def find_spans(text: str | None) -> dict[str, list[tuple[int, int]]]:
             out["short_card"].append(m.span())
     if "+" in text:
         out["phone"] = list(_phones(text))
-    for m in _IBAN.finditer(text):
-        iban = m.group().replace(" ", "")
-        n = IBAN_LENGTH.get(iban[:2], 0)
-        # words in capitals may follow: take the country's length
-        if n and len(iban) >= n and mod97(iban[:n]) and _scored("iban", text, m.start()) >= THRESHOLD:
-            end, left = m.start(), n
-            while left:
-                left -= text[end] != " "
-                end += 1
-            out["iban"].append((m.start(), end))
+    out["iban"] = list(_ibans(text))
     for m in _SSN.finditer(text):
         a, b, c = m.groups()
         if a not in ("000", "666") and a < "900" and b != "00" and c != "0000" and _scored("ssn", text, m.start()) >= THRESHOLD:

@@ -284,6 +284,24 @@ def test_added_kinds_need_checksum_and_context():
     assert find("SSN: 123-45-6789")["ssn"] == ["123-45-6789"] and find("item 123-45-6789") == {}
 
 
+def test_ibans_before_words_and_of_every_country():
+    find = lambda t: [t[a:b] for a, b in pii.find_spans(t)["iban"]]
+    de, gb = "DE89370400440532013000", "GB29NWBK60161331926819"
+    for after in ("", " now", " Please", " Account 3", " IS MY ACCOUNT NUMBER HERE", " 12 items", ".", ", Please", "  X", "\nX", " X" * 3000):
+        assert find(f"pay {de}{after}") == [de], after
+        assert find(f"IBAN {gb}{after}") == [gb], after
+    assert find(f"{de} {gb} GB29 NWBK 6016 1331 9268 19 And {de}") == [de, gb, "GB29 NWBK 6016 1331 9268 19", de]
+    assert find(f"REF AB12 {de} OK") == [de] and find(f"DE12 {de}") == [de]
+    for wrong in (f"x{de}", f"{de}7", f"{de}x", de[:-1], "DE88" + de[4:], "ZZ" + de[2:], de[:8] + "  " + de[8:]):
+        assert find(wrong) == [], wrong
+    published = "BR1800360305000010009795493C1 KW81CBKU0000000000001234560101 LC55HEMM000100010012001200023015 MU17BOMM0101101030300200000MUR PK36SCBL0000001123456702 UA213223130000026007233566001 EG380019000500000000263180002 NO9386011117947 MT84MALT011000012345MTLCAST001S"
+    assert find(published.replace(" ", " Then ")) == published.split()
+    for country, n in pii.IBAN_LENGTH.items():
+        bban = "7" * (n - 4)
+        check = 98 - int("".join(str(int(c, 36)) for c in f"{bban}{country}00")) % 97
+        assert find(f"to {country}{check:02d}{bban} Next") == [f"{country}{check:02d}{bban}"]
+
+
 # --- revisits -----------------------------------------------------------------------------
 def test_revisits(spark):
     rows = [
