@@ -3,20 +3,27 @@ functions alone.
 
 Tokens are summed per cell (source, language, topic).  The cells are then
 raked: scaled to the source shares, the language shares and the topic shares
-in turn until all three margins agree with their targets.  A document of a
+in turn until all three margins agree with their targets, or ``MAX_SWEEPS``
+times: targets can contradict each other (tempered shares do where one
+dimension decides another), and then the last dimension scaled, the topic, is
+on target and a warning names the margins that are not.  A document of a
 cell is kept with the cell's calibrated weight over the largest one, so the
 expected tokens of the sample have the target margins.  The draw is a hash of
 the id: the same rows stay on every run.
 
 Defined cases: null sources or languages are the value "(none)"; a null text
 has no tokens; a cell without tokens has weight 1 before scaling; target
-values without documents are left out and the rest is brought to 1; repeated
+values without documents are left out and the rest is brought to 1; where a
+dimension's targets are given, values that are not listed or have target 0 get
+weight 0 and their tokens count for no margin; repeated
 rows share a draw; a null id draws as the text "null"; an empty table gives an
 empty result; other columns are left alone.
 """
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -62,17 +69,26 @@ def _sum(df: DataFrame, column: str) -> float:
     return float(df.agg(F.sum(column)).collect()[0][0] or 0.0)
 
 
+def _wanted(targets: dict[str, dict[str, float]] | None) -> Column:
+    """Cells whose every value has a target above 0, where targets are given."""
+    out = F.lit(True)
+    for d in DIMENSIONS:
+        if targets and d in targets:
+            out = out & F.col(d).isin(sorted(v for v, s in targets[d].items() if s > 0))
+    return out
+
+
 def with_targets(cells: DataFrame, targets: dict[str, dict[str, float]] | None, temper: float) -> DataFrame:
     """``t_<dimension>``: the target tokens of the value's margin (the sums
     that bring shares to 1 are single numbers)."""
-    out = cells.where("tokens > 0")
+    out = cells.where("tokens > 0").where(_wanted(targets))
     margins = {}
     for d in DIMENSIONS:
         if targets and d in targets:
             share = F.lit(None).cast("double")
             for value, s in sorted(targets[d].items()):
                 share = F.when(F.col(d) == value, F.lit(float(s))).otherwise(share)
-            margins[d] = out.select(d).distinct().withColumn("s", share).where("s > 0")
+            margins[d] = out.select(d).distinct().withColumn("s", share)
         else:
             margins[d] = out.groupBy(d).agg(F.pow(F.sum("tokens").cast("double"), F.lit(temper)).alias("s"))
     for d in DIMENSIONS:
@@ -99,8 +115,12 @@ def rake(cells: DataFrame) -> DataFrame:
         cells = cut(cells, "cells")
         off = [F.max(F.abs(F.col(f"m_{d}") / F.col(f"t_{d}") - 1)).alias(d) for d in DIMENSIONS]
         margins = cells.select("*", *[F.sum("w").over(Window.partitionBy(d)).alias(f"m_{d}") for d in DIMENSIONS])
-        if max((x or 0.0) for x in margins.agg(*off).collect()[0]) < TOLERANCE:
+        unmet = {d: x for d, x in margins.agg(*off).collect()[0].asDict().items() if (x or 0.0) >= TOLERANCE}
+        if not unmet:
             break
+    else:
+        said = ", ".join(f"{d} by up to {x:.3g}" for d, x in unmet.items())
+        warnings.warn(f"after {MAX_SWEEPS} sweeps margins are off their targets, relative to them: {said}; targets may contradict each other", RuntimeWarning, stacklevel=2)
     return cells
 
 
@@ -119,7 +139,8 @@ def calibrated(rows: DataFrame, targets, temper: float) -> DataFrame:
     ``weight`` and ``probability``."""
     cells = cut(cells_of(rows), "cells")
     raked = rake(with_targets(cells, targets, temper)).select(*DIMENSIONS, (F.col("w") / F.col("tokens")).alias("weight"))
-    every = cells.select(*DIMENSIONS).join(raked, list(DIMENSIONS), "left").withColumn("weight", F.coalesce("weight", F.lit(1.0)))
+    weight = F.when(_wanted(targets), F.coalesce("weight", F.lit(1.0))).otherwise(F.lit(0.0))
+    every = cells.select(*DIMENSIONS).join(raked, list(DIMENSIONS), "left").withColumn("weight", weight)
     top = every.agg(F.max("weight")).collect()[0][0] or 1.0
     return every.withColumn("probability", F.col("weight") / F.lit(top))
 

@@ -6,6 +6,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import warnings
 import zlib
 
 import numpy as np
@@ -208,6 +209,26 @@ def test_mixture_meets_its_margins(spark, docs, empty):
     assert raking.sample_mixture(docs).columns == docs.columns and raking.sample_mixture(empty).count() == 0
 
 
+def test_mixture_reports_contradicting_targets(spark):
+    rows = [(i, "w w w", *(("en", "s0") if i < 80 else ("de", "s1" if i < 90 else "s2"))) for i in range(100)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    with pytest.warns(RuntimeWarning, match="source by up to"):
+        raking.mixture(table)
+
+
+def test_mixture_gives_unlisted_and_zero_targets_no_weight(spark):
+    rows = [(i, "" if i % 11 == 0 else "w " * (1 + i % 7), ["en", "de", None, "fr"][i % 4], "only fr" if i % 4 == 3 else f"s{i % 3}") for i in range(600)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    targets = {"lang": {"en": 3.0, "de": 1.0, "(none)": 0.0}}
+    with warnings.catch_warnings():
+        warnings.simplefilter("error", RuntimeWarning)
+        out = raking.mixture(table, targets).toPandas()
+    away = out.lang.isin(["(none)", "fr"])
+    assert (out[away].weight == 0).all() and (out[away].probability == 0).all() and not out[away].kept.any() and out[~away].kept.any()
+    weighted = out.assign(w=out.n_tokens * out.weight).groupby("lang").w.sum()
+    assert weighted["en"] / weighted.sum() == pytest.approx(0.75, abs=1e-6)
+
+
 # --- token files and counts ---------------------------------------------------------
 def test_token_files_round_trip(spark, docs, empty):
     from tokenizers import Tokenizer
