@@ -256,17 +256,25 @@ def _links(sets: DataFrame, sigs: DataFrame, docs: DataFrame, id_col: str, text:
     return links.union(_compare(pairs, full, percent).where("linked").select("a", "b"))
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
-    """``id_col, n_shingles, component_id, kept`` for every row of ``docs``."""
+def _placed(docs: DataFrame, id_col: str, text: str, percent: int) -> DataFrame:
+    """``id, digest (of the text), n, key, component_id, stays (the one key of
+    the component that its smallest id stands for)`` for every row of ``docs``."""
     describe = _describe(bands_for(percent) * ROWS)
-    sigs = cut(docs.select(F.col(id_col).alias("id"), F.arrow_udf(describe, "n long, key string, bands array<long>")(text).alias("s")).select("id", "s.*"), "signatures")
+    described = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("digest"), F.arrow_udf(describe, "n long, key string, bands array<long>")(text).alias("s"))
+    sigs = cut(described.select("id", "digest", "s.*"), "signatures")
     sets = cut(sigs.where("n > 0").groupBy("key", "n", "bands").agg(F.min("id").alias("label")), "classes")
     roots = components(_links(sets, sigs, docs, id_col, text, percent))
     grouped = sets.select("key", "label").join(roots.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
-    labels = grouped.groupBy("root").agg(F.min("label").alias("component_id"))
-    of_set = grouped.join(labels, "root").select("key", "component_id")
+    least = F.min(F.when(F.col("label").isNotNull(), F.struct("label", "key")))["key"]
+    labels = grouped.groupBy("root").agg(F.min("label").alias("component_id"), least.alias("stays"))
+    of_set = grouped.join(labels, "root").select("key", "component_id", "stays")
     # rows with an empty set would all share the null key: a key of their own keeps them apart
-    rows = sigs.select("id", "n", "key").join(of_set, "key", "left")
+    return sigs.select("id", "digest", "n", "key").join(of_set, "key", "left")
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
+    """``id_col, n_shingles, component_id, kept`` for every row of ``docs``."""
+    rows = _placed(docs, id_col, text, percent)
     component = F.when(F.col("n") == 0, F.col("id")).otherwise(F.col("component_id"))
     return rows.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id")).withColumn(
         "kept", F.coalesce(F.col(id_col) == F.col("component_id"), F.lit(False))
@@ -274,8 +282,23 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
 
 
 def remove_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
-    """The rows of ``docs`` whose id stands for its group of near-duplicates.
-    A null id is never dropped (it cannot stand for a group or be found by
-    its id); of rows with an equal id all stay or all go."""
-    gone = near_duplicates(docs, id_col, text, percent).where(~F.col("kept") & F.col(id_col).isNotNull()).select(F.col(id_col).alias("_gone")).distinct()
-    return docs.join(gone, docs[id_col] == gone["_gone"], "left_anti")
+    """One row of ``docs`` for each group of near-duplicates: of its smallest
+    id, where several rows have that, one of them.  Rows are judged by id and
+    text, so another text under the same id is judged by itself.  Rows with
+    an empty set or a null id (it cannot stand for a group) are never dropped."""
+    rows = _placed(docs, id_col, text, percent).where((F.col("n") > 0) & F.col("id").isNotNull())
+    texts = rows.groupBy("id", "key", "digest", "component_id", "stays").agg(F.count(F.lit(1)).alias("copies"))
+    least = F.min("digest").over(Window.partitionBy("id", "key"))
+    stays = (F.col("id") == F.col("component_id")) & (F.col("key") == F.col("stays")) & (F.col("digest") == least)
+    judged = texts.select(F.col("id").alias("_id"), F.col("digest").alias("_digest"), "copies", stays.alias("stays"))
+    judged = cut(judged.where("not stays or copies > 1"), "judged")
+    of_row = (docs[id_col] == F.col("_id")) & (F.xxhash64(docs[text]) == F.col("_digest"))
+    out = docs.join(judged.where("not stays").select("_id", "_digest"), of_row, "left_anti")
+    several = judged.where("stays").select("_id", "_digest")
+    if several.isEmpty():
+        return out
+    of_row = (F.col(id_col) == F.col("_id")) & (F.xxhash64(text) == F.col("_digest"))
+    order = F.xxhash64(*[c for c, kind in docs.dtypes if "map<" not in kind])
+    first = F.row_number().over(Window.partitionBy(id_col, F.xxhash64(text)).orderBy(order))
+    one = out.join(several, of_row, "left_semi").withColumn("_n", first).where("_n = 1").drop("_n")
+    return out.join(several, of_row, "left_anti").unionByName(one)

@@ -151,6 +151,16 @@ def test_pipeline_drops_near_copies_from_80_percent(spark):
     assert (minhash.bands_for(85), minhash.bands_for(80)) == (16, 22)
 
 
+def test_repeated_ids_are_judged_by_row(spark):
+    text = lambda k: " ".join(f"{k}{i}" for i in range(60))
+    near = lambda k: text(k) + " more"
+    rows = [(1, text("a")), (1, text("a")), (2, near("a")), (3, text("a")), (3, text("b")), (4, text("c")), (4, text("c").upper()), (5, None), (5, None), (6, text("d")), (6, near("d")), (7, text("e")), (7, text("f")), (None, text("a"))]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = [(r.doc_id, (r.text or "")[:2].lower()) for r in minhash.remove_near_duplicates(table).collect()]
+    want = [(1, "a0"), (3, "b0"), (4, "c0"), (5, ""), (5, ""), (6, "d0"), (7, "e0"), (7, "f0"), (None, "a0")]
+    assert sorted(kept, key=str) == sorted(want, key=str)
+
+
 def test_circulant_signature_estimates_similarity():
     a = np.arange(4000, dtype=np.uint64)
     errors = []
