@@ -3,6 +3,8 @@ tested against brute force in tests/llm."""
 
 from __future__ import annotations
 
+from staylens.llm import blob_ledger
+
 _LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 _OP1 = rf"""
@@ -126,10 +128,61 @@ SELECT e.vec_id, CAST(coalesce(k, 0) AS BIGINT) AS n_links, coalesce(root, e.vec
 FROM embeddings e LEFT JOIN (SELECT a, count(*) AS k FROM links GROUP BY a) ON a = e.vec_id LEFT JOIN comp ON node = e.vec_id
 """
 
+_OP11 = rf"""
+WITH words AS (
+  SELECT doc_id, row_number() OVER () AS d, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents
+), sizes AS (
+  SELECT d, doc_id, CAST(len(w) AS BIGINT) AS n FROM words WHERE len(w) > 0
+), corpus AS (
+  SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS words FROM sizes
+), postings AS (
+  SELECT d, t, count(*) AS tf FROM (SELECT d, unnest(w) AS t FROM words) GROUP BY ALL
+), wanted AS (
+  SELECT i, t, count(*) AS q FROM (
+    SELECT i, unnest(regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t
+    FROM (SELECT *, row_number() OVER () AS i FROM benchmark)) GROUP BY ALL
+), weights AS (
+  SELECT t, CAST(floor(1000 * ln(CAST(2 * docs + 2 AS DOUBLE) / CAST(2 * df + 1 AS DOUBLE))) AS BIGINT) AS v
+  FROM (SELECT t, count(*) AS df FROM postings WHERE t IN (SELECT t FROM wanted) GROUP BY t), corpus
+), scored AS (
+  SELECT i, d, CAST(sum(q * v * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * n * docs) // words)))) AS BIGINT) AS score
+  FROM wanted JOIN weights USING (t) JOIN postings USING (t) JOIN sizes USING (d), corpus GROUP BY ALL
+), ranked AS (
+  SELECT i, doc_id, score, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS FIRST) AS r FROM scored JOIN sizes USING (d) WHERE score > 0
+)
+SELECT item_id, CAST(r AS INTEGER) AS rank, doc_id, score FROM ranked JOIN (SELECT *, row_number() OVER () AS i FROM benchmark) USING (i) WHERE r <= 20
+"""
+
+
+def _secrets(rules) -> str:
+    found = []
+    for rank, r in enumerate(rules):
+        p = r.pattern.replace("'", "''")
+        found.append(f"""
+  SELECT d, {rank} AS rank, '{r.kind}' AS kind, i, len(m) AS size, len(g) AS counted, {r.min_chars} AS least,
+         sum(len(x) + len(m)) OVER (PARTITION BY d ORDER BY i) AS e
+  FROM (SELECT d, unnest(range(1, len(ms) + 1)) AS i, unnest(ms) AS m, unnest(gs) AS g, unnest(xs[1 : len(ms)]) AS x
+        FROM (SELECT d, regexp_extract_all(t, '{p}', 0) AS ms, regexp_extract_all(t, '{p}', {r.group}) AS gs, string_split_regex(t, '{p}') AS xs FROM texts))""")
+    base = f"FILTER (rank < {len(blob_ledger.BASE_RULES)})"
+    counts = ", ".join(f"CAST(coalesce(count(s) FILTER (rank = {k}), 0) AS BIGINT) AS n_{r.kind}" for k, r in enumerate(blob_ledger.BASE_RULES))
+    return f"""
+WITH texts AS (
+  SELECT row_number() OVER () AS d, doc_id, coalesce(text, '') AS t FROM documents
+), found AS ({" UNION ALL".join(found)}
+), spans AS (
+  SELECT d, rank, e - size AS s, kind || ':' || CAST(e - size AS BIGINT) || ':' || CAST(e AS BIGINT) AS span FROM found WHERE counted >= least
+)
+SELECT doc_id, {counts}, sha256(coalesce(string_agg(span, ',' ORDER BY s, rank) {base}, '')) AS base_sha256, coalesce(string_agg(span, ',' ORDER BY s, rank), '') AS spans
+FROM texts LEFT JOIN spans USING (d) GROUP BY d, doc_id
+"""
+
+
 ORACLE: dict[str, str] = {
     "op1_decontamination": _OP1,
     "op4_minhash": _OP4,
     "op5_mixture": _OP5,
     "op8_revisits": _OP8,
     "op10_embedding_dedup": _OP10,
+    "op11_lexical_search": _OP11,
+    "op13_secret_scan": _secrets(blob_ledger.RULES),
 }
