@@ -154,6 +154,46 @@ SELECT item_id, CAST(r AS INTEGER) AS rank, doc_id, score FROM ranked JOIN (SELE
 """
 
 
+#: The reflected CRC-32 step, eight bits a byte.
+_CRC = "list_reduce(range(8), lambda v, k: xor(v // 2, v % 2 * 3988292384), {0})"
+
+_OP12 = f"""
+WITH turns AS (
+  SELECT conv_id AS c, octet_length(encode(coalesce(text, ''))) AS b, sha256(octet_length(encode(coalesce(role, ''))) || ':' || coalesce(role, '') || coalesce(text, '')) AS k,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, sha256(octet_length(encode(coalesce(role, ''))) || ':' || coalesce(role, '') || coalesce(text, ''))) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL
+), convs AS (
+  SELECT c, c - c % 5 AS first,
+         xor(list_reduce(list_transform(string_split(CAST(c AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT)), lambda a, x: {_CRC.format("xor(a, x)")}, 4294967295), 4294967295) % 9 AS h
+  FROM (SELECT DISTINCT c FROM turns)
+), rebuilt AS (
+  SELECT convs.c, 0 AS part, pos, k, b FROM convs JOIN turns ON turns.c = convs.first AND pos <= h
+  UNION ALL
+  SELECT convs.c, 1, pos, k, b FROM convs JOIN turns ON turns.c = convs.c AND pos > h
+), placed AS (
+  SELECT c, k, b, row_number() OVER (PARTITION BY c ORDER BY part, pos) AS d FROM rebuilt
+), paths AS (
+  SELECT c, d, b, string_agg(k, '') OVER (PARTITION BY c ORDER BY d ROWS UNBOUNDED PRECEDING) AS path FROM placed
+  UNION ALL
+  SELECT c, 0, 0, '' FROM convs
+), members AS (
+  SELECT *, d = max(d) OVER (PARTITION BY c) AS ends FROM paths
+), nodes AS (
+  SELECT path, d, any_value(b) AS b, min(c) AS conv_id, count(*) AS n, bool_and(ends) AS leaf,
+         sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (ends), '')) AS ends_sha256
+  FROM members GROUP BY path, d
+), subtree AS (
+  SELECT left(path, 64 * a) AS path, count(*) FILTER (leaf) AS leaves, sum((n - 1) * b) AS saved
+  FROM (SELECT *, unnest(range(d + 1)) AS a FROM nodes) GROUP BY 1
+), children AS (
+  SELECT left(path, 64 * (d - 1)) AS path, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY 1
+)
+SELECT u.conv_id, CAST(u.d AS BIGINT) AS depth, p.conv_id AS parent_conv_id, CAST(u.n AS BIGINT) AS n_convs, CAST(coalesce(n_children, 0) AS BIGINT) AS n_children,
+       CAST(leaves AS BIGINT) AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens, u.ends_sha256
+FROM nodes u JOIN subtree USING (path) LEFT JOIN children USING (path) LEFT JOIN nodes p ON u.d > 0 AND p.path = left(u.path, 64 * (u.d - 1))
+"""
+
+
 def _secrets(rules) -> str:
     found = []
     for rank, r in enumerate(rules):
@@ -184,5 +224,6 @@ ORACLE: dict[str, str] = {
     "op8_revisits": _OP8,
     "op10_embedding_dedup": _OP10,
     "op11_lexical_search": _OP11,
+    "op12_prefix_trie": _OP12,
     "op13_secret_scan": _secrets(blob_ledger.RULES),
 }

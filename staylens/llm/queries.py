@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from staylens.llm import blob_ledger, decontam, embed_dedup, lexical, minhash, pii, raking, revisit, sharding, token_counts, token_orc, toxicity
+from staylens.llm import blob_ledger, decontam, embed_dedup, lexical, minhash, pii, prefix_trie, raking, revisit, sharding, token_counts, token_orc, toxicity
 from staylens.llm.common import table
 from staylens.llm.oracles import ORACLE  # noqa: F401
 from staylens.session import shared_path
@@ -78,6 +78,10 @@ def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=20)
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"))
+
+
 def op13_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     ledger = blob_ledger.BlobLedger(spark, shared_path(spark, "llm-blob-ledger"))
     ledger.push(table(spark, sf_dir, "documents"), 0, keys=["doc_id"])
@@ -88,6 +92,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_decontamination, op2_toxicity, op3_sharding, op4_minhash, op5_mixture, op6_token_orc, op7_pii, op8_revisits, op9_token_counts, op10_embedding_dedup,
-        op11_lexical_search, op13_secret_scan,
+        op11_lexical_search, op12_prefix_trie, op13_secret_scan,
     )
 }

@@ -19,7 +19,7 @@ def test_matches_oracle(spark, duck, name):
 
 
 def test_one_query_per_operator():
-    assert sorted(int(k[2:].split("_")[0]) for k in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(k[2:].split("_")[0]) for k in queries.QUERIES) == list(range(1, 14))
 
 
 def test_pipeline_stages(spark):
