@@ -247,9 +247,8 @@ def _join_full_outer(spark, sf_dir):
 
 
 _sql("join_full_outer", """
-, neigh AS (SELECT DISTINCT lower(trim(listing_neighbourhood)) AS listing_neighbourhood FROM listings_clean)
-SELECT COALESCE(n.listing_neighbourhood, o.suburb_name) AS name, n.listing_neighbourhood, o.suburb_name, o.lga_code
-FROM neigh n FULL OUTER JOIN official_suburb o ON n.listing_neighbourhood = o.suburb_name""")
+SELECT name, CASE WHEN used THEN name END AS listing_neighbourhood, suburb AS suburb_name, home.code AS lga_code
+FROM (SELECT name, used, suburb, unnest(areas) AS home FROM place_names)""")
 
 
 # --- 2.5 aggregations -----------------------------------------------------------
@@ -736,30 +735,41 @@ FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts ASC NULLS FIRST, event
 # --- data-quality checks (S9, Q24, SCD2 invariants) -----------------------------
 @register("dq_unique_lga_code")
 def _dq_unique_lga_code(spark, sf_dir):
-    """LGA codes that occur more than once in the code list (its key)."""
+    """LGA codes that occur more than once (the list's key) after a second
+    delivery of the list, which repeats every third code, is appended."""
     from staylens.operators import quality
 
-    return quality.duplicate_keys(bindings.lga_code_raw(spark, sf_dir), ["lga_code"])
+    codes = bindings.lga_code_raw(spark, sf_dir)
+    again = codes.where(F.col("lga_code").cast("int") % 30 == 0)
+    return quality.duplicate_keys(codes.unionByName(again), ["lga_code"])
 
 
 _sql("dq_unique_lga_code", """
-SELECT lga_code, CAST(COUNT(*) AS BIGINT) AS n_rows FROM lga_code_raw GROUP BY lga_code HAVING COUNT(*) > 1""")
+SELECT lga_code, CAST(COUNT(*) AS BIGINT) AS n_rows
+FROM (SELECT lga_code FROM lga_code_raw UNION ALL SELECT lga_code FROM lga_code_raw WHERE CAST(lga_code AS INTEGER) % 30 = 0)
+GROUP BY lga_code HAVING COUNT(*) > 1""")
 
 
 @register("dq_suburb_many_lgas")
 def _dq_suburb_many_lgas(spark, sf_dir):
     """Q24: official suburbs listed under more than one LGA (each would
-    multiply the as-is fact)."""
+    multiply the as-is fact), after a second delivery of the suburb list puts
+    those whose name ends in 0 under the first LGA."""
     from staylens.operators import quality
 
     m = model(spark, sf_dir)
-    official = silver.official_suburbs(m.bronze["lga_suburb"], m.bronze["lga_code"])
+    listed, codes = m.bronze["lga_suburb"], m.bronze["lga_code"]
+    first = scalar_of(codes.agg(F.min("lga_name")))
+    again = listed.where(F.col("suburb_name").endswith("0")).select(first.alias("lga_name"), "suburb_name")
+    official = silver.official_suburbs(listed.unionByName(again), codes)
     return quality.names_in_many_groups(official, "suburb_name", "lga_code")
 
 
 _sql("dq_suburb_many_lgas", """
-SELECT suburb_name, CAST(COUNT(DISTINCT lga_code) AS BIGINT) AS n_groups FROM official_suburb
-WHERE suburb_name IS NOT NULL GROUP BY suburb_name HAVING COUNT(DISTINCT lga_code) > 1""")
+SELECT name AS suburb_name, CAST(len(list_distinct(codes)) AS BIGINT) AS n_groups
+FROM (SELECT name, list_transform(areas, lambda x: x.code) || CASE WHEN suffix(name, '0') THEN [(SELECT min_by(lga_code, lga_name) FROM lga_code_raw)] ELSE [] END AS codes
+      FROM place_names WHERE suburb IS NOT NULL)
+WHERE len(list_distinct(codes)) > 1""")
 
 
 @register("dq_scd2_invariants")
