@@ -6,14 +6,16 @@ A source row opens a new version when its ``updated_at`` is later than the
 open version's; the open version is then closed at that instant.  Keys missing
 from a batch stay open.  A NULL ``updated_at`` is never "later".
 
-Two entry points:
+Three entry points:
 
 * ``scd2_merge``   — apply one batch to the current history (incremental run);
+* ``scd2_splice``  — apply one batch that may hold late versions;
 * ``scd2_rebuild`` — build the whole history from every observed attribute
   tuple at once (``lead`` over the versions of a key).
 
-Both shuffle once on the key.  Closed versions are never rewritten by a merge;
-only open versions meet the batch.
+All shuffle once on the key.  Closed versions are never rewritten by a merge;
+only open versions meet the batch.  A splice reads the closed versions of the
+keys with a late version.
 """
 
 from __future__ import annotations
@@ -99,3 +101,46 @@ def scd2_merge(
     if current is None:
         return out
     return out.unionByName(current.where(F.col(VALID_TO).isNotNull()).select(*out.columns))
+
+
+def scd2_splice(
+    current_open: DataFrame | None,
+    current_closed: DataFrame | None,
+    batch: DataFrame,
+    key: Sequence[str],
+    updated_at: str,
+    tracked: Sequence[str],
+) -> DataFrame:
+    """What one batch makes of a history, late versions included: every open
+    version after it, and the closed versions that are new or end earlier than
+    before.  A version that is older than the open one is placed into the
+    closed history, where it splits the interval that holds its date.
+
+    A version is a distinct (key, tracked..., updated_at) tuple, as in
+    ``scd2_rebuild``, to which any order of batches leads: overlay the closed
+    rows on the earlier ones of the same version.  Only keys with a late
+    version read their closed history.
+    """
+    cols = list(dict.fromkeys([*key, *tracked, updated_at]))
+    order = [F.col(updated_at).asc_nulls_first(), *_tiebreak([c for c in tracked if c != updated_at])]
+    no_end = F.lit(None).cast(batch.schema[updated_at].dataType).alias("__end")
+    fresh = batch.select(*cols).where(F.col(key[0]).isNotNull()).distinct()
+    rows = fresh.select("*", no_end, F.lit(0).alias("__held"))
+    if current_open is not None:
+        rows = rows.unionByName(current_open.select(*cols, no_end, F.lit(1).alias("__held")))
+    if current_open is not None and current_closed is not None:
+        # late: not after the open version of its key, and not that version
+        # (a key that the history does not know has no open version)
+        opened = current_open.select(*[F.col(k).alias(f"__{k}") for k in key], F.struct(*cols).alias("__open"))
+        on = [F.col(k) == F.col(f"__{k}") for k in key]
+        met = fresh.join(opened, on, "inner").where(~F.struct(*cols).eqNullSafe(F.col("__open")))
+        late = met.where(F.col(updated_at).isNull() | ~F.coalesce(F.col(updated_at) > F.col("__open")[updated_at], F.lit(True)))
+        keys = late.select(*key).distinct()
+        ended = current_closed.select(*cols, F.col(VALID_TO).alias("__end"), F.lit(1).alias("__held"))
+        rows = rows.unionByName(ended.join(keys, list(key), "left_semi"))
+    # one row per version: what the history had of it, if anything
+    versions = rows.groupBy(*cols).agg(F.max("__end").alias("__end"), F.max("__held").alias("__held"))
+    w = Window.partitionBy(*key).orderBy(*order)
+    out = versions.withColumn(VALID_FROM, F.col(updated_at)).withColumn(VALID_TO, F.lead(F.col(updated_at)).over(w))
+    changed = F.col(VALID_TO).isNull() | (F.col("__held") == 0) | ~F.col(VALID_TO).eqNullSafe(F.col("__end"))
+    return out.where(changed).drop("__end", "__held")

@@ -331,20 +331,40 @@ def _fact_partitioned(spark, sf_dir):
 _runs: dict[tuple, monthly_run.RunState] = {}
 
 
+def _year(month: str) -> str:
+    return month[:4]
+
+
 def incremental_run(spark: SparkSession, sf_dir: str) -> monthly_run.RunState:
-    """The drops (yearly, with header drift) applied batch by batch; run once
-    per session, its written state shared by the upsert and SCD2 queries."""
-    key = (session_key(spark), sf_dir)
+    """The monthly drops (with header drift) applied in order, a year's months
+    to a step; run once per session, its written state shared by the queries."""
+    key = (session_key(spark), sf_dir, "batch")
     if key not in _runs:
-        root = landing(spark, sf_dir, "drift", batch="year")
+        root = landing(spark, sf_dir, "drift")
         state = monthly_run.RunState(shared_path(spark, "silver"), shared_path(spark, "history"))
-        _runs[key] = monthly_run.run_drops(spark, root, state, batch_col="year")
+        _runs[key] = monthly_run.run_drops(spark, root, state, together=_year)
+    return _runs[key]
+
+
+def shared_run(spark: SparkSession, sf_dir: str) -> monthly_run.RunState:
+    """One state that a batch run, a stream in several micro-batches and a
+    second batch run extend in turn; late host versions are placed into the
+    history, so that it does not depend on who came when.  Once per session."""
+    key = (session_key(spark), sf_dir, "stream")
+    if key not in _runs:
+        root = landing(spark, sf_dir, "drift")
+        state = monthly_run.RunState(shared_path(spark, "silver"), shared_path(spark, "history"), late_versions=True)
+        drops = monthly_run.batches(spark, root, "month")
+        monthly_run.run_drops(spark, root, state, until=drops[len(drops) // 4][0], together=_year)
+        n_files = sum(len(files) for _, files in drops)
+        stream_drops(spark, root, state, shared_path(spark, "stream-ckpt"), files_per_batch=n_files // 2 + 1, together=_year)
+        _runs[key] = monthly_run.run_drops(spark, root, state)
     return _runs[key]
 
 
 @register("upsert_listings")
 def _upsert_listings(spark, sf_dir):
-    """Drops applied one batch (year) at a time — silver upserted on
+    """Monthly drops applied a year at a time - silver upserted on
     (listing_id, scraped_date), touched partitions only."""
     return incremental_run(spark, sf_dir).silver(spark)
 
@@ -358,12 +378,27 @@ def _scd2_merge(spark, sf_dir):
 
 @register("stream_upsert_listings")
 def _stream_upsert_listings(spark, sf_dir):
-    """Structured Streaming: yearly drops picked up by a file-source stream,
-    each micro-batch upserted into silver via foreachBatch."""
-    root = landing(spark, sf_dir, "plain", batch="year")
-    state = monthly_run.RunState(shared_path(spark, "silver"), shared_path(spark, "history"))
-    stream_drops(spark, root, state, shared_path(spark, "stream-ckpt"))
-    return state.silver(spark)
+    """S13 as a stream: monthly drops picked up in several micro-batches and
+    upserted into a silver table that a batch run began."""
+    return shared_run(spark, sf_dir).silver(spark)
+
+
+@register("stream_scd2")
+def _stream_scd2(spark, sf_dir):
+    """S14 as a stream: the host history that batch run, stream and batch run
+    build over one state and one log of drops."""
+    return shared_run(spark, sf_dir).history(spark)
+
+
+@register("scd2_merge_late")
+def _scd2_merge_late(spark, sf_dir):
+    """S14 with late versions: the drops applied in reverse order, each older
+    version placed into the closed history; equals the rebuild."""
+    root = landing(spark, sf_dir, "drift")
+    state = monthly_run.RunState(shared_path(spark, "silver"), shared_path(spark, "history"), late_versions=True)
+    drops = monthly_run.batches(spark, root, "month")
+    monthly_run.apply_drops(spark, root, state, drops[::-1], "batch", together=_year)
+    return state.history(spark)
 
 
 # Operator-level queries register themselves on import.

@@ -20,6 +20,7 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -79,13 +80,30 @@ def month_of_file(path: str) -> str | None:
     return f"{m.group(2)}-{int(m.group(1)):02d}" if m else None
 
 
+def _same_path(path: str) -> str:
+    """The path without its store, in one spelling for the forms it comes in."""
+    return re.sub(r"^\w+:(//[^/]*)?", "", unquote(path))
+
+
+def files_spanning_lines(spark: SparkSession, paths: Sequence[str]) -> set[str]:
+    """The files in which a quoted field runs over a line's end: some line
+    holds an odd number of quotes.  One split scan; only file names come
+    back."""
+    if not paths:
+        return set()
+    lines = spark.read.text(list(paths)).select("value", F.col("_metadata.file_path").alias("file"))
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"')))
+    odd = {_same_path(r.file) for r in lines.where(quotes % 2 == 1).select("file").distinct().collect()}
+    return {p for p in paths if _same_path(p) in odd}
+
+
 def _header_of(spark: SparkSession, path: str, multiline: bool) -> tuple[str, ...]:
     reader = spark.read.options(**CSV_OPTIONS).option("multiLine", str(multiline).lower())
     return tuple(reader.csv(path).columns)
 
 
 def read_headers(
-    spark: SparkSession, paths: Sequence[str], multiline: bool = True, per_file: bool = False
+    spark: SparkSession, paths: Sequence[str], whole: set[str], per_file: bool = False
 ) -> dict[str, tuple[str, ...]]:
     """Header of each file (first record only).
 
@@ -102,10 +120,23 @@ def read_headers(
         probes = {p: first_in_folder[p.rsplit("/", 1)[0]] for p in paths}
     unique = sorted(set(probes.values()))
     with ThreadPoolExecutor(max_workers=8) as pool:
-        heads = dict(zip(unique, pool.map(lambda p: _header_of(spark, p, multiline), unique)))
+        heads = dict(zip(unique, pool.map(lambda p: _header_of(spark, p, p in whole), unique)))
     return {p: heads[probe] for p, probe in probes.items()}
 
 
+def _blank_headers(spark: SparkSession, headers: dict[str, tuple[str, ...]], whole: set[str]) -> dict[str, tuple[str, ...]]:
+    """Own headers of the files in folders whose header has a blank cell.
+    Spark names such a cell by its position and then compares no header of the
+    folder, so a file with other columns would come back with its values under
+    the wrong names: it stops the load here."""
+    folders = [p for p, header in headers.items() if any(POSITIONAL.fullmatch(h) for h in header)]
+    own = read_headers(spark, folders, whole, per_file=True) if folders else {}
+    for p, header in own.items():
+        if header != headers[p]:
+            raise ValueError(f"the header of {p} is not its folder's: {', '.join(header)}")
+    return own
+
+
 def bind_by_name(df: DataFrame) -> DataFrame:
     """Lower-case every header name and drop blank-header columns."""
     keep = [c for c in df.columns if not BLANK_HEADER.match(c)]
@@ -116,33 +147,43 @@ def read_csv_by_name(
     spark: SparkSession,
     paths: Sequence[str],
     base_path: str | None = None,
-    multiline: bool = True,
+    multiline: bool | None = None,
     header_per_file: bool = False,
     file_name: str | None = None,
+    required: Sequence[str] = (),
 ) -> DataFrame:
     """All files as one all-string frame, columns bound by header name.
-    ``file_name`` names a column for each row's source file.
+    ``file_name`` names a column for each row's source file; a file whose
+    header lacks a ``required`` column is an error.
 
     ``base_path`` enables partition discovery (``month=2020-05/`` folders
-    become a column).  ``multiline`` allows newlines inside quoted fields;
-    such files cannot be split, so pass False for large files known to have
-    none.
+    become a column).  Files with newlines inside quoted fields are read whole,
+    one task each, all others in splits: ``multiline`` None finds out by one
+    scan of the lines, True or False says it for all files.
     """
-    headers = read_headers(spark, paths, multiline, per_file=header_per_file)
-    groups: dict[tuple[str, ...], list[str]] = {}
+    whole = files_spanning_lines(spark, paths) if multiline is None else set(paths) if multiline else set()
+    headers = read_headers(spark, paths, whole, per_file=header_per_file)
+    if not header_per_file:
+        headers |= _blank_headers(spark, headers, whole)
+    for p in paths:
+        absent = {r.lower() for r in required} - {h.lower() for h in headers[p]}
+        if absent:
+            raise ValueError(f"{p} has no column {', '.join(sorted(absent))}")
+    groups: dict[tuple, list[str]] = {}
     for p in paths:
-        groups.setdefault(headers[p], []).append(p)
+        groups.setdefault((headers[p], p in whole), []).append(p)
     frames = []
-    for header, files in groups.items():
+    for (header, is_whole), files in groups.items():
         # blank header cells get positional names, so the schema is built
         # from the header as Spark reads it
         schema = T.StructType([T.StructField(h, T.StringType()) for h in header])
         reader = (
             spark.read.options(**CSV_OPTIONS)
-            .option("multiLine", str(multiline).lower())
+            .option("multiLine", str(is_whole).lower())
             # every file's header is held against the one read for its folder:
             # a differing one stops the load instead of shifting its columns
-            # (positional names stand for blank cells and cannot be compared)
+            # (positional names stand for blank cells, which Spark cannot
+            # compare: those headers were read file by file)
             .option("enforceSchema", str(any(POSITIONAL.fullmatch(h) for h in header)).lower())
             .schema(schema)
         )
@@ -198,14 +239,18 @@ def _cast(c: Column, t: T.DataType, strict: bool) -> Column:
 
 
 def cast_to_schema(
-    df: DataFrame, schema: T.StructType, strict: bool = True, keep: Sequence[str] = ()
+    df: DataFrame, schema: T.StructType, strict: bool = True, keep: Sequence[str] = (), optional: Sequence[str] = ()
 ) -> DataFrame:
     """Typed bronze (S6).  ``strict``: a value that does not parse fails the
-    job (ANSI cast), as the typed INSERT did; otherwise it becomes NULL and
-    the row is flagged in ``_rejected`` for quarantine.  ``keep`` columns
+    job (ANSI cast), as the typed INSERT did, and so does a schema column that
+    ``df`` lacks, unless it is ``optional``; otherwise the value becomes NULL
+    and the row is flagged in ``_rejected`` for quarantine.  ``keep`` columns
     (e.g. a discovered partition column) pass through unchanged."""
 
     actual = {c.lower(): c for c in df.columns}
+    absent = [f.name for f in schema.fields if f.name.lower() not in actual and f.name not in optional]
+    if strict and absent:
+        raise ValueError(f"no column {', '.join(absent)}")
 
     def src(name: str) -> Column:
         # headers are bound in lower case, whatever the schema's spelling
@@ -230,15 +275,18 @@ def load_csv(
     schema: T.StructType,
     base_path: str | None = None,
     extra_columns: Sequence[str] = (),
-    multiline: bool = True,
+    multiline: bool | None = None,
     strict: bool = True,
     header_per_file: bool = False,
+    optional: Sequence[str] = (),
 ) -> DataFrame:
     """S1-S6 end to end: files -> typed bronze rows (+ ``extra_columns``
-    such as a discovered partition column)."""
-    raw = read_csv_by_name(spark, paths, base_path, multiline, header_per_file)
+    such as a discovered partition column).  Every file must have every column
+    of the schema but the ``optional`` ones (``strict``)."""
+    required = [f.name for f in schema.fields if f.name not in optional] if strict else ()
+    raw = read_csv_by_name(spark, paths, base_path, multiline, header_per_file, required=required)
     clean = normalize_dates(null_tokens_to_null(raw))
-    return cast_to_schema(clean, schema, strict, keep=extra_columns)
+    return cast_to_schema(clean, schema, strict, keep=extra_columns, optional=optional)
 
 
 def load_monthly(
@@ -246,7 +294,7 @@ def load_monthly(
     root: str,
     schema: T.StructType,
     partition_column: str = "month",
-    multiline: bool = True,
+    multiline: bool | None = None,
     header_per_file: bool = False,
 ) -> DataFrame:
     """Every month file under ``root`` appended into one typed frame that
@@ -267,7 +315,8 @@ def load_monthly(
         )
     if named:
         # every named file is a delivery of its own, with its own header
-        raw = read_csv_by_name(spark, named, multiline=multiline, header_per_file=True, file_name="__file")
+        required = [f.name for f in schema.fields]
+        raw = read_csv_by_name(spark, named, multiline=multiline, header_per_file=True, file_name="__file", required=required)
         parts = [F.regexp_extract("__file", MONTH_FILE, i) for i in (2, 1)]
         month = F.concat_ws("-", parts[0], F.lpad(parts[1], 2, "0"))
         clean = normalize_dates(null_tokens_to_null(raw)).withColumn(partition_column, month)

@@ -184,3 +184,108 @@ def test_a_second_run_extends_the_history(spark, tmp_path):
     assert state.next_step(spark) == 0
     spark.range(1).write.parquet(state.step_path(4) + "/kind=open")
     assert state.next_step(spark) == 5
+
+
+# --- headers, and one log of drops for batch and stream --------------------------
+HOSTS = T.StructType([T.StructField("listing_id", T.LongType()), T.StructField("host_id", T.LongType())])
+
+
+def test_a_reordered_file_beside_a_blank_header_stops_the_load(spark, tmp_path):
+    folder = tmp_path / "month=2020-05"
+    first = _write(folder / "a.csv", ",listing_id,host_id\n0,1,10\n")
+    second = _write(folder / "b.csv", ",host_id,listing_id\n0,2,200\n")
+    with pytest.raises(ValueError, match="b.csv"):
+        load_csv(spark, [first, second], HOSTS)
+    rows = load_csv(spark, [first, second], HOSTS, header_per_file=True).collect()
+    assert sorted(map(tuple, rows)) == [(1, 10), (200, 2)]
+
+
+def test_a_missing_column_stops_a_strict_load(spark, tmp_path):
+    path = _write(tmp_path / "a.csv", "listing_id\n1\n")
+    with pytest.raises(ValueError, match="host_id"):
+        load_csv(spark, [path], HOSTS)
+    assert load_csv(spark, [path], HOSTS, optional=["host_id"]).collect()[0].host_id is None
+    with pytest.raises(ValueError, match="host_id"):
+        cast_to_schema(spark.createDataFrame([("1",)], "listing_id string"), HOSTS)
+
+
+def test_files_with_newlines_in_fields_are_found(spark, tmp_path):
+    from staylens.sources.csv_ingest import files_spanning_lines
+
+    schema = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.StringType())])
+    plain = _write(tmp_path / "my plain.csv", 'a,b\n1,"say ""x"", y"\n2,z\n')
+    broken = _write(tmp_path / "over lines.csv", 'a,b\n3,"two\nlines"\n')
+    from staylens.sources.csv_ingest import list_csv_files
+
+    files = list_csv_files(spark, str(tmp_path))
+    assert [f.rsplit("/", 1)[1] for f in files_spanning_lines(spark, files)] == ["over lines.csv"]
+    want = [(1, 'say "x", y'), (2, "z"), (3, "two\nlines")]
+    assert sorted(map(tuple, load_csv(spark, files, schema).collect())) == want
+    assert sorted(map(tuple, load_csv(spark, [plain, broken], schema).collect())) == want
+
+
+def _drop(root, month, rows, reverse=False, file="a"):
+    names = [f.name for f in schemas.LISTINGS_RAW.fields]
+    names = names[::-1] if reverse else names
+    lines = [",".join(names)]
+    for listing, host, since in rows:
+        known = {"listing_id": str(listing), "host_id": str(host), "host_name": f"h{host}", "host_since": since, "scraped_date": f"{month}-15", "price": "5"}
+        lines.append(",".join(known.get(n, "") for n in names))
+    _write(root / f"month={month}" / f"{file}.csv", "\n".join(lines) + "\n")
+
+
+def test_batch_and_stream_share_one_log(spark, tmp_path):
+    from staylens.streaming.drops import stream_drops
+
+    root = tmp_path / "landing"
+    state = monthly_run.RunState(str(tmp_path / "silver"), str(tmp_path / "history"))
+    _drop(root, "2020-05", [(1, 10, "2020-01-01")])
+    _drop(root, "2020-06", [(2, 11, "2020-02-01")])
+    monthly_run.run_drops(spark, str(root), state)
+    _drop(root, "2020-07", [(3, 12, "2020-03-01")], reverse=True)  # another header, bound by name
+    stream_drops(spark, str(root), state, str(tmp_path / "ckpt"))
+    listings = lambda: sorted((r.listing_id, r.host_id) for r in state.silver(spark).collect())
+    hosts = lambda: sorted((r.host_id, str(r.valid_from), str(r.valid_to)) for r in state.history(spark).collect())
+    assert listings() == [(1, 10), (2, 11), (3, 12)]
+    assert [h[0] for h in hosts()] == [10, 11, 12]
+    log = state.ledger(spark).entries()
+    assert [(e.step, e.source, e.drop) for e in log] == [(0, "batch", "2020-05"), (1, "batch", "2020-06"), (2, "stream", "2020-07")]
+    # a stream with a new checkpoint and a batch run find nothing to do
+    before = (listings(), hosts())
+    stream_drops(spark, str(root), state, str(tmp_path / "ckpt2"))
+    monthly_run.run_drops(spark, str(root), state)
+    assert (listings(), hosts(), len(state.ledger(spark).entries())) == (*before, 3)
+    # another part of a drop that was applied: the drop is read again whole
+    _drop(root, "2020-06", [(4, 11, "2020-06-01")], file="b")
+    stream_drops(spark, str(root), state, str(tmp_path / "ckpt2"))
+    assert listings() == [(1, 10), (2, 11), (3, 12), (4, 11)]
+    assert hosts()[1:3] == [(11, "2020-02-01", "2020-06-01"), (11, "2020-06-01", "None")]
+    # a step that was cut off before its entry in the log is not part of the state
+    spark.read.parquet(state.step_path(3)).write.parquet(state.step_path(4))
+    assert state.next_step(spark) == 4 and len(hosts()) == 4
+    with pytest.raises(Exception, match="(?i)exist"):
+        state.ledger(spark).commit(log[0])
+
+
+@pytest.mark.parametrize("seed", [0, 1])
+def test_any_order_of_drops_gives_the_rebuilt_history(spark, seed):
+    import random
+
+    from staylens.operators.scd2 import scd2_rebuild, scd2_splice
+
+    schema = "k long, a string, b string, u date"
+    rng = random.Random(seed)
+    day = lambda: rng.choice([None, *(dt.date(2020, 1, d) for d in range(1, 9))])
+    rows = [(rng.choice([None, 1, 2, 3, 4, 5]), rng.choice(["x", "y", None]), "c", day()) for _ in range(60)]
+    rows = [r for r in rows if r[3] is not None or r[0] in (4, 5)]
+    cols = ["k", "a", "b", "u", "valid_from", "valid_to"]
+    want = sorted(map(str, scd2_rebuild(spark.createDataFrame(rows, schema), ["k"], "u", ["a", "b"]).select(*cols).collect()))
+    held: dict = {}
+    for i in range(0, len(rows), 12):
+        old = [r for r in held.values()]
+        frame = lambda open_: spark.createDataFrame([r for r in old if (r[5] is None) == open_], f"{schema}, valid_from date, valid_to date")
+        current = (frame(True), frame(False)) if old else (None, None)
+        out = scd2_splice(*current, spark.createDataFrame(rows[i : i + 12], schema), ["k"], "u", ["a", "b"]).select(*cols).collect()
+        held = {k: r for k, r in held.items() if r[5] is not None}  # open rows are given anew
+        held |= {tuple(r)[:5]: tuple(r) for r in out}
+    assert sorted(str(spark.createDataFrame([r], f"{schema}, valid_from date, valid_to date").collect()[0]) for r in held.values()) == want
