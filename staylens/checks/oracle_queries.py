@@ -217,18 +217,19 @@ FROM (SELECT CAST(median_age_persons AS DOUBLE) AS age, {_EARNED} AS earned
 
 def _question_c(fact: str, offer: str) -> str:
     """``offer`` has the property columns of the fact's own rows; with "NULL"
-    the stays fall on every row of the property dimension."""
+    the stays fall on every row of the property dimension and of the suburb."""
+    entries = "1" if offer != "NULL" else "count(*)"
     return with_layers(f"""
 , last_state AS (
-    SELECT DISTINCT listing_id, property_key, availability_30, price, place, {offer}
+    SELECT DISTINCT listing_id, property_key, availability_30, price, place, coalesce(entries, 1) AS entries, {offer}
     FROM (SELECT f.* FROM {fact} f
           QUALIFY scraped_date IS NOT DISTINCT FROM max(scraped_date) OVER (PARTITION BY listing_id)) f
-    LEFT JOIN (SELECT suburb_key, min(suburb_name) AS place FROM dm_suburb GROUP BY ALL) USING (suburb_key)
+    LEFT JOIN (SELECT suburb_key, min(suburb_name) AS place, {entries} AS entries FROM dm_suburb GROUP BY suburb_key) USING (suburb_key)
 ), best_places AS (
     SELECT place FROM last_state WHERE availability_30 < 30 GROUP BY place
     ORDER BY {_EARNED} DESC NULLS FIRST, place NULLS LAST LIMIT 5
 ), offered AS (
-    SELECT place, p.property_type AS kind, p.room_type AS room, p.accommodates AS beds, sum(30 - availability_30) AS nights
+    SELECT place, p.property_type AS kind, p.room_type AS room, p.accommodates AS beds, sum(entries * (30 - availability_30)) AS nights
     FROM last_state {"p" if offer != "NULL" else "LEFT JOIN dm_property p USING (property_key)"}
     WHERE place IN (FROM best_places) GROUP BY ALL
 )

@@ -12,11 +12,22 @@ from pyspark.sql import functions as F
 from staylens.functions.expressions import ColumnOrName, _c
 
 
-def exact_avg(c: ColumnOrName) -> Column:
+def times(c: ColumnOrName, copies: ColumnOrName | None) -> Column:
+    """``c``, once for each of the row's ``copies`` (None: one)."""
+    return _c(c) if copies is None else _c(c) * _c(copies)
+
+
+def count_copies(c: ColumnOrName, copies: ColumnOrName | None = None) -> Column:
+    """COUNT(c) over rows that stand for ``copies`` equal ones (None: one)."""
+    if copies is None:
+        return F.count(_c(c))
+    return F.coalesce(F.sum(F.when(_c(c).isNotNull(), _c(copies))), F.lit(0).cast("long"))
+
+
+def exact_avg(c: ColumnOrName, copies: ColumnOrName | None = None) -> Column:
     """AVG of a DECIMAL without decimal-division rounding: exact decimal SUM
     over the non-NULL count, divided once in DOUBLE.  NULL for no values."""
-    c = _c(c)
-    return F.sum(c).cast("double") / F.nullif(F.count(c), F.lit(0)).cast("double")
+    return F.sum(times(c, copies)).cast("double") / F.nullif(count_copies(c, copies), F.lit(0)).cast("double")
 
 
 def median(c: ColumnOrName) -> Column:
@@ -66,9 +77,9 @@ def round_avg(c: ColumnOrName, digits: int = 2) -> Column:
     return F.round(q, digits).cast("double")
 
 
-def count_if(cond: Column) -> Column:
+def count_if(cond: Column, copies: ColumnOrName | None = None) -> Column:
     """COUNT(CASE WHEN cond THEN 1 END)."""
-    return F.count(F.when(cond, F.lit(1)))
+    return count_copies(F.when(cond, F.lit(1)), copies)
 
 
 def sum_if(cond: Column, value: ColumnOrName) -> Column:
@@ -83,38 +94,63 @@ def max_if(cond: Column, value: ColumnOrName) -> Column:
     return F.max(F.when(cond, _c(value)))
 
 
-def median_by(df, keys, value: str, out: str = "median"):
+#: Ranges of values per natural logarithm: a range is 1.6 % of its values wide.
+RANGES_PER_E = 64
+
+
+def value_range(value: Column) -> Column:
+    """The number of the range that a value lies in, ascending with it; ranges
+    grow with the values, so they need no bounds of the data."""
+    v = value.cast("double")
+    # magnitudes from 1e-12 up; whatever is smaller shares the range of zero
+    size = F.floor(F.ln(F.greatest(F.abs(v), F.lit(1e-12))) * RANGES_PER_E) + F.lit(2048)
+    return F.when(v < 0, -size).otherwise(size)
+
+
+def median_by(df, keys, value: str, out: str = "median", copies: str | None = None):
     """Exact continuous median of ``value`` per ``keys`` (PERCENTILE_CONT(0.5),
-    NULLs skipped), as a DataFrame (keys..., out).
-
-    Distributed and spill-safe even for a group holding a large share of all
-    rows: rows are first reduced to distinct (keys, value) counts (map-side
-    combine), then one sorted window per group yields running counts — a
-    streaming, spillable operator, never one in-memory buffer per group —
-    and the two middle values are picked by position.  Interpolation is
-    ``(1 - d) * lo + d * hi`` with d = 0.5 — the form Spark's ``percentile``
-    and DuckDB's ``quantile_cont`` use, bit for bit (``lo`` exactly for an
-    odd count).
+    NULLs skipped), as a DataFrame (keys..., out).  With ``copies`` a row
+    stands for that many equal ones.
+
+    By selection, in two passes over the distinct (keys, value) counts (a
+    map-side combine that both passes share): counts per range of values find
+    the range or ranges with the two middle positions; only their values are
+    then put in order.  So no task sees a group's values: the first pass gives
+    it a count per range, the second one range in a hundred or fewer.
+    Interpolation is ``(1 - d) * lo + d * hi`` with d = 0.5, the form Spark's
+    ``percentile`` and DuckDB's ``quantile_cont`` use, bit for bit (``lo``
+    exactly for an odd count).
     """
     from pyspark.sql import Window
 
-    counts = (
-        df.where(F.col(value).isNotNull())
-        .groupBy(*keys, value)
-        .agg(F.count(F.lit(1)).alias("__c"))
-    )
-    run = Window.partitionBy(*keys).orderBy(F.col(value).asc()).rowsBetween(Window.unboundedPreceding, 0)
+    one = F.lit(1).cast("long") if copies is None else F.col(copies)
+    counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.sum(one).alias("__c"))
+    ranged = counts.withColumn("__range", value_range(F.col(value)))
+    per_range = ranged.groupBy(*keys, "__range").agg(F.sum("__c").alias("__c"))
+    run = Window.partitionBy(*keys).orderBy("__range").rowsBetween(Window.unboundedPreceding, 0)
     whole = Window.partitionBy(*keys)
-    ranked = counts.withColumn("__cum", F.sum("__c").over(run)).withColumn("__n", F.sum("__c").over(whole))
-    lo_pos = F.floor((F.col("__n") - 1) / 2)
-    hi_pos = F.ceil((F.col("__n") - 1) / 2)
-    first = F.col("__cum") - F.col("__c")   # 0-based position of this value's first copy
-    last = F.col("__cum") - 1
-
-    def at(pos):
-        return F.max(F.when((first <= pos) & (pos <= last), F.col(value).cast("double")))
-
-    picked = ranked.groupBy(*keys).agg(at(lo_pos).alias("__lo"), at(hi_pos).alias("__hi"))
-    return picked.select(
-        *keys, (F.col("__lo") * F.lit(0.5) + F.col("__hi") * F.lit(0.5)).alias(out)
+    placed = per_range.withColumn("__cum", F.sum("__c").over(run)).withColumn("__n", F.sum("__c").over(whole))
+    placed = placed.withColumn("__lo", F.floor((F.col("__n") - 1) / 2)).withColumn("__hi", F.ceil((F.col("__n") - 1) / 2))
+    first = F.col("__cum") - F.col("__c")  # 0-based position of the range's first value
+    middle = placed.where((first <= F.col("__hi")) & (F.col("__cum") > F.col("__lo")))
+    middle = middle.select(
+        *[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], F.col("__range").alias("__r"), first.alias("__first"), "__lo", "__hi"
     )
+    on = F.col("__range") == F.col("__r")
+    for i, k in enumerate(keys):
+        on = on & F.col(k).eqNullSafe(F.col(f"__k{i}"))
+    values = F.struct(F.col(value).alias("v"), F.col("__c").alias("c"))
+    ranges = ranged.join(middle, on).groupBy(*keys, "__range", "__first", "__lo", "__hi").agg(F.array_sort(F.collect_list(values)).alias("__values"))
+
+    def at(position: str) -> Column:
+        """The value at a position of the group, if it lies in the range."""
+        state = F.struct(F.col("__first").alias("seen"), F.lit(None).cast("double").alias("hit"))
+        step = lambda s, x: F.struct(
+            (s["seen"] + x["c"]).alias("seen"),
+            F.when((s["seen"] <= F.col(position)) & (F.col(position) < s["seen"] + x["c"]), x["v"].cast("double")).otherwise(s["hit"]).alias("hit"),
+        )
+        return F.aggregate("__values", state, step, lambda s: s["hit"])
+
+    picked = ranges.select(*keys, at("__lo").alias("__low"), at("__hi").alias("__high"))
+    picked = picked.groupBy(*keys).agg(F.max("__low").alias("__low"), F.max("__high").alias("__high"))
+    return picked.select(*keys, (F.col("__low") * F.lit(0.5) + F.col("__high") * F.lit(0.5)).alias(out))

@@ -21,6 +21,7 @@ from staylens.functions.expressions import (
 )
 from staylens.operators.aggregates import (
     corr_safe,
+    count_copies,
     count_if,
     exact_avg,
     round_avg,
@@ -51,13 +52,13 @@ def last_months(fact: DataFrame, months: int = 12) -> Column:
     return (period >= latest - months) & (F.col("scraped_date") >= months_before(max_date, months))
 
 
-def question_a(fact: DataFrame, census: DataFrame, n: int = 3) -> DataFrame:
+def question_a(fact: DataFrame, census: DataFrame, n: int = 3, copies: str | None = None) -> DataFrame:
     """Top-n and bottom-n LGAs by the average over hosts of each host's mean
     monthly revenue in the last 12 months, with their age mix and household
     size (two-level average, twin dense ranks, census join)."""
     recent = fact.where(last_months(fact) & active_booked("availability_30"))
     host_revenue = recent.groupBy("lga_code", "host_key").agg(
-        exact_avg(revenue()).alias("revenue_per_host")
+        exact_avg(revenue(), copies).alias("revenue_per_host")
     )
     # one row per LGA from here on: the whole-set ranking window is bounded
     per_lga = host_revenue.groupBy("lga_code").agg(F.avg("revenue_per_host").alias("avg_revenue_per_host"))
@@ -83,13 +84,13 @@ def question_a(fact: DataFrame, census: DataFrame, n: int = 3) -> DataFrame:
     )
 
 
-def question_b(fact: DataFrame, census_g02: DataFrame) -> DataFrame:
+def question_b(fact: DataFrame, census_g02: DataFrame, copies: str | None = None) -> DataFrame:
     """Correlation of an LGA's median age and its mean revenue per active
     listing, rounded to 3 places (NULL when undefined)."""
     per_lga = (
         fact.where(active_booked("availability_30"))
         .groupBy("lga_code")
-        .agg(exact_avg(revenue()).alias("avg_revenue_per_active_listing"))
+        .agg(exact_avg(revenue(), copies).alias("avg_revenue_per_active_listing"))
     )
     joined = join_concat_key(per_lga, census_g02, "LGA", "lga_code", "lga_code", "inner").where(
         F.col("median_age_persons").isNotNull()
@@ -105,10 +106,15 @@ def question_c(fact: DataFrame, suburb: DataFrame, k: int = 5, prop: DataFrame |
     listing (latest snapshot per listing), the property type / room type /
     capacity with the most stays.  With ``prop`` (the property dimension)
     the attributes come from joining it on ``property_key``, as the source
-    does (every property row of the listing counts); otherwise from the
-    point-in-time fact's own snapshot."""
+    does (every property row of the listing and every row of its suburb
+    counts); otherwise from the point-in-time fact's own snapshot."""
     latest = latest_per_key(fact, ["listing_id"], [F.col("scraped_date").desc_nulls_last()])
-    names = suburb.groupBy("suburb_key").agg(F.min("suburb_name").alias("listing_neighbourhood"))
+    name = F.col("suburb_name").alias("listing_neighbourhood")
+    if prop is None:
+        names = suburb.groupBy("suburb_key").agg(F.min(name).alias("listing_neighbourhood"), F.lit(1).cast("long").alias("entries"))
+    else:
+        # every row of a suburb that is listed under several LGAs counts
+        names = suburb.groupBy("suburb_key", name).agg(F.count(F.lit(1)).alias("entries"))
     latest = latest.join(names, "suburb_key", "left")
     per_neigh = (
         latest.where(active_booked("availability_30"))
@@ -128,12 +134,12 @@ def question_c(fact: DataFrame, suburb: DataFrame, k: int = 5, prop: DataFrame |
     if prop is not None:
         # only the stays step reads the property dimension (its fan-out
         # weights stays, never the neighbourhood ranking)
-        in_top = in_top.select("listing_neighbourhood", "property_key", "availability_30").join(
-            prop.select("property_key", "property_type", "room_type", "accommodates"), "property_key", "left"
-        )
+        offers = prop.groupBy("property_key", "property_type", "room_type", "accommodates").agg(F.count(F.lit(1)).alias("offers"))
+        in_top = in_top.select("listing_neighbourhood", "property_key", "availability_30", "entries").join(offers, "property_key", "left")
+        in_top = in_top.withColumn("entries", F.col("entries") * F.coalesce("offers", F.lit(1)))
     by_property = in_top.groupBy(
         "listing_neighbourhood", "property_type", "room_type", "accommodates"
-    ).agg(F.sum(stays()).cast("long").alias("total_stays"))
+    ).agg(F.sum(stays() * F.coalesce("entries", F.lit(1))).cast("long").alias("total_stays"))
     best = latest_per_key(
         by_property,
         ["listing_neighbourhood"],
@@ -147,7 +153,7 @@ def question_c(fact: DataFrame, suburb: DataFrame, k: int = 5, prop: DataFrame |
     return best.select("listing_neighbourhood", "property_type", "room_type", "accommodates", "total_stays")
 
 
-def question_d(fact: DataFrame) -> DataFrame:
+def question_d(fact: DataFrame, copies: str | None = None) -> DataFrame:
     """Among hosts with more than one available listing-snapshot, the share
     whose listings all lie in one LGA."""
     host_listings = fact.where(
@@ -157,7 +163,7 @@ def question_d(fact: DataFrame) -> DataFrame:
         host_listings.groupBy("host_key")
         .agg(
             F.countDistinct("lga_code").alias("num_lgas"),
-            F.count("listing_id").alias("total_listings"),
+            count_copies("listing_id", copies).alias("total_listings"),
         )
         .where(F.col("total_listings") > 1)
     )
@@ -170,7 +176,9 @@ def question_d(fact: DataFrame) -> DataFrame:
     )
 
 
-def question_e(fact: DataFrame, census_g02: DataFrame, lga: DataFrame, min_hosts: int = 10) -> DataFrame:
+def question_e(
+    fact: DataFrame, census_g02: DataFrame, lga: DataFrame, min_hosts: int = 10, copies: str | None = None
+) -> DataFrame:
     """The LGA where the largest share of single-listing hosts' annualised
     revenue covers the annual median mortgage (LGAs with more than
     ``min_hosts`` qualifying rows)."""
@@ -187,16 +195,17 @@ def question_e(fact: DataFrame, census_g02: DataFrame, lga: DataFrame, min_hosts
         ),
         single_hosts,
         "host_key",
-    ).select("host_key", "lga_code", (revenue() * F.lit(12)).alias("annual_estimated_revenue"))
+    ).select("host_key", "lga_code", (revenue() * F.lit(12)).alias("annual_estimated_revenue"), *([copies] if copies else []))
     coverage = join_concat_key(rows, census_g02, "LGA", "lga_code", "lga_code", "inner").select(
         "host_key",
         "lga_code",
         "annual_estimated_revenue",
         (F.col("median_mortgage_repay_monthly") * F.lit(12)).alias("annual_median_mortgage"),
+        *([copies] if copies else []),
     )
     summary = coverage.groupBy("lga_code").agg(
-        F.count("host_key").alias("total_single_hosts"),
-        count_if(F.col("annual_estimated_revenue") >= F.col("annual_median_mortgage")).alias(
+        count_copies("host_key", copies).alias("total_single_hosts"),
+        count_if(F.col("annual_estimated_revenue") >= F.col("annual_median_mortgage"), copies).alias(
             "covered_hosts_count"
         ),
     )

@@ -2,9 +2,10 @@
 
 Two fact builds (SURVEY 2.9 Q1):
 
-* ``fact_asis`` — the source system's joins verbatim.  Its property and host
+* ``fact_copies`` — the source system's joins verbatim.  Its property and host
   dimensions have several rows per natural key (changing review scores, host
-  versions), so a fact row multiplies.  Kept for parity checks.
+  versions), so a fact row multiplies; the row is kept once, with the number
+  of its copies.  ``fact_asis`` writes them out, for parity checks.
 * ``fact_pit``  — one row per (listing, date): property attributes from the
   same snapshot row, host/property surrogate keys taken straight from the
   natural key (the dimensions are built from the same listings, so the lookup
@@ -105,28 +106,47 @@ def dm_census(g01: DataFrame, g02: DataFrame) -> DataFrame:
     return g01.join(g02, "lga_code", "left").select(*CENSUS_G01_COLUMNS, *CENSUS_G02_COLUMNS[1:])
 
 
-def fact_asis(
+COPIES = "copies"
+
+
+def fact_copies(
     listings: DataFrame,
     suburb: DataFrame,
     lga: DataFrame,
     prop: DataFrame,
     host: DataFrame,
 ) -> DataFrame:
-    """M16 verbatim: four LEFT JOINs on natural keys, fan-out included."""
+    """M16 verbatim without its blow-up: four LEFT JOINs on natural keys, of
+    which the property and the host join only multiply a row.  They become a
+    number, ``copies`` (property rows times host versions), that the as-is
+    marts and questions weigh their sums and counts with.  The suburb join stays
+    a join: a suburb under two LGAs gives rows that differ.
+
+    The counts per listing and per host are sums that combine map-side."""
     f = listings.withColumn("__nk", normalize_text("listing_neighbourhood"))
     s = suburb.select(
         normalize_text("suburb_name").alias("__nk"), "suburb_key", F.col("lga_code").alias("__s_lga")
     )
     l = lga.select(F.col("lga_code").alias("__s_lga"), "lga_key", "lga_code")
-    p = prop.select(F.col("listing_id").alias("__p_listing"), "property_key")
-    h = host.select(F.col("host_id").alias("__h_id"), "host_key")
+    p = prop.where("listing_id is not null").groupBy(F.col("listing_id").alias("__p_listing")).agg(F.count(F.lit(1)).alias("__p"))
+    h = host.where("host_id is not null").groupBy(F.col("host_id").alias("__h_id")).agg(F.count(F.lit(1)).alias("__h"))
     mapped = (
         f.join(s, "__nk", "left")
         .join(l, "__s_lga", "left")
         .join(p, F.col("listing_id") == F.col("__p_listing"), "left")
         .join(h, F.col("host_id") == F.col("__h_id"), "left")
     )
-    return mapped.select(*FACT_COLUMNS)
+    mapped = mapped.withColumn("property_key", F.when(F.col("__p").isNotNull(), md5_key("listing_id")))
+    mapped = mapped.withColumn("host_key", F.when(F.col("__h").isNotNull(), md5_key("host_id")))
+    copies = F.coalesce("__p", F.lit(1)) * F.coalesce("__h", F.lit(1))
+    return mapped.select(*FACT_COLUMNS, "host_id", copies.alias(COPIES))
+
+
+def fact_asis(copies: DataFrame) -> DataFrame:
+    """M16 verbatim, fan-out included: every row of ``fact_copies`` as often as
+    it says."""
+    rows = copies.select(*FACT_COLUMNS, F.explode(F.sequence(F.lit(1).cast("long"), F.col(COPIES))).alias("__copy"))
+    return rows.drop("__copy")
 
 
 def suburb_lookup(suburb: DataFrame, lga: DataFrame) -> DataFrame:

@@ -6,8 +6,7 @@ to (group, year, month) -> LAG over the (small) monthly series of each group.
 
 Scale notes: distinct-host counts come from a per-(group, month, host)
 pre-aggregation (map-side combine collapses a hot host) instead of an
-Expand; the exact median is computed from distinct (group, price) counts with
-a sorted running count, spill-safe for a hot group.  The LAG window runs on the aggregated output (one row per
+Expand; the exact median is selected over ranges of prices.  The LAG window runs on the aggregated output (one row per
 group and month), never on fact rows.
 """
 
@@ -30,18 +29,19 @@ from staylens.functions.expressions import (
     stays,
     year_of,
 )
-from staylens.operators.aggregates import count_if, median_by, sum_if
+from staylens.operators.aggregates import count_copies, count_if, median_by, sum_if, times
 from staylens.operators.joins import left_join_null_safe
 from staylens.operators.ranking import lag_over
 from staylens.operators.temporal import temporal_left_join
-from staylens.plans.gold import with_superhost_flag
+from staylens.operators.scd2 import VALID_FROM
+from staylens.plans.gold import COPIES, SUPERHOST, with_superhost_flag
 
 # The open end of a host version is the run's date, as in the source system.
 # Pass an ``as_of`` date for reproducible runs over old snapshots.
 DEFAULT_AS_OF: _dt.date | None = None
 
 
-def monthly_listing_measures(base: DataFrame, group_cols: Sequence[str]) -> DataFrame:
+def monthly_listing_measures(base: DataFrame, group_cols: Sequence[str], copies: str | None = None) -> DataFrame:
     """Shared measure set of the listing-neighbourhood and property-type marts.
 
     Planned as three aggregations instead of one with two COUNT(DISTINCT)s
@@ -52,26 +52,31 @@ def monthly_listing_measures(base: DataFrame, group_cols: Sequence[str]) -> Data
        — partial aggregation collapses a hot host map-side;
     2. per (group, month): roll-up of (1); distinct hosts = non-NULL host
        rows of (1), superhost hosts = flagged ones;
-    3. per (group, month): the exact median, on its own, from distinct
-       (group, month, price) counts and a sorted running count (spillable;
-       no per-group in-memory buffer even for a hot group);
+    3. per (group, month): the exact median, on its own, by selection over
+       ranges of prices (no task sees a hot group's prices);
     then (2) JOIN (3) on the group keys — both one row per group and month.
+
+    With ``copies`` a row stands for that many; its reviews come as
+    ``review_sum`` and ``n_reviews``.
     """
     keys = [*group_cols, "year", "month"]
     active = active_available("availability_30")
     price_a = F.when(active, F.col("price"))
-    review_a = F.when(active, F.col("review_scores_rating"))
+    if copies is None:
+        review, n_reviews = F.col("review_scores_rating"), F.when(F.col("review_scores_rating").isNotNull(), F.lit(1))
+    else:
+        review, n_reviews = F.col("review_sum"), F.col("n_reviews")
     per_host = base.groupBy(*keys, "host_key").agg(
-        F.count(F.lit(1)).alias("n"),
-        count_if(active).alias("n_active"),
+        count_copies(F.lit(1), copies).alias("n"),
+        count_if(active, copies).alias("n_active"),
         F.min(price_a).alias("min_p"),
         F.max(price_a).alias("max_p"),
-        F.sum(price_a).alias("sum_p"),
-        F.count(price_a).alias("cnt_p"),
-        F.sum(review_a).alias("sum_r"),
-        F.count(review_a).alias("cnt_r"),
-        sum_if(active, stays()).alias("stays"),
-        sum_if(active, revenue()).alias("rev"),
+        F.sum(times(price_a, copies)).alias("sum_p"),
+        count_copies(price_a, copies).alias("cnt_p"),
+        sum_if(active, review).alias("sum_r"),
+        F.coalesce(sum_if(active, n_reviews), F.lit(0)).alias("cnt_r"),
+        sum_if(active, times(stays(), copies)).alias("stays"),
+        sum_if(active, times(revenue(), copies)).alias("rev"),
         F.max(active & is_true("host_is_superhost")).alias("super"),
     )
     has_host = F.col("host_key").isNotNull()
@@ -89,7 +94,8 @@ def monthly_listing_measures(base: DataFrame, group_cols: Sequence[str]) -> Data
         F.sum("stays").alias("total_stays"),
         F.sum("rev").alias("total_estimated_revenue"),
     )
-    medians = median_by(base.where(active).select(*keys, "price"), keys, "price", "median_price")
+    prices = base.where(active).select(*keys, "price", *([copies] if copies else []))
+    medians = median_by(prices, keys, "price", "median_price", copies)
     agg = left_join_null_safe(agg, medians, keys)
     inactive = F.col("total_listings") - F.col("active_listings")
     order = ["year", "month"]
@@ -154,7 +160,7 @@ def mart_property_type(fact: DataFrame) -> DataFrame:
     return monthly_listing_measures(_by_property(fact), ["property_type", "room_type", "accommodates"])
 
 
-def mart_host_neighbourhood(fact: DataFrame) -> DataFrame:
+def mart_host_neighbourhood(fact: DataFrame, copies: str | None = None) -> DataFrame:
     """M17 on the point-in-time fact: distinct hosts and revenue per listing
     LGA and month.  The source joins the host history here but reads no column
     from it; with non-overlapping versions that join cannot change a row, so
@@ -164,7 +170,7 @@ def mart_host_neighbourhood(fact: DataFrame) -> DataFrame:
     )
     agg = base.groupBy("host_neighbourhood_lga", "year", "month").agg(
         F.countDistinct("host_key").alias("distinct_hosts"),
-        F.sum(revenue()).alias("total_estimated_revenue"),
+        F.sum(times(revenue(), copies)).alias("total_estimated_revenue"),
     )
     return agg.withColumn(
         "estimated_revenue_per_host", safe_ratio("total_estimated_revenue", "distinct_hosts")
@@ -174,36 +180,46 @@ def mart_host_neighbourhood(fact: DataFrame) -> DataFrame:
 # --- verbatim ("as-is") variants --------------------------------------------
 # The source's own mart joins on the as-is fact: every host version whose
 # closed interval contains the date (joined on the shared host_key) and every
-# property row of the listing (joined on property_key).  Each fan-out is
-# kept, so counts and sums are the source's.  For parity checks; the
-# point-in-time marts above are the defaults.
-
-
-def _asis_base(fact_asis: DataFrame, host: DataFrame, prop: DataFrame | None, as_of) -> DataFrame:
-    base = temporal_left_join(
-        fact_asis, host, "host_key", "host_key", "scraped_date", ["host_is_superhost"], as_of, closed=True
-    )
-    if prop is None:
-        return base
-    p = prop.select(
-        F.col("property_key").alias("__pk"), "property_type", "room_type", "accommodates", "review_scores_rating"
+# property row of the listing (joined on property_key).  Each fan-out counts,
+# so counts and sums are the source's, but as a number: no row is copied.  For
+# parity checks; the point-in-time marts above are the defaults.
+
+
+def _with_host_matches(fact: DataFrame, host: DataFrame, as_of) -> DataFrame:
+    """The fact's copies times the host versions that hold on the date (one
+    row stays where none does), and whether one of them is a superhost."""
+    dates = fact.where("host_id is not null").select("host_id", "scraped_date").distinct()
+    met = temporal_left_join(dates, host, "host_id", "host_id", "scraped_date", [SUPERHOST, VALID_FROM], as_of, closed=True)
+    matches = met.groupBy("host_id", "scraped_date").agg(F.count(VALID_FROM).alias("__m"), F.max(SUPERHOST).alias(SUPERHOST))
+    out = fact.join(matches, ["host_id", "scraped_date"], "left")
+    return out.withColumn(COPIES, F.col(COPIES) * F.greatest(F.coalesce("__m", F.lit(1)), F.lit(1))).drop("__m")
+
+
+def _with_property_rows(base: DataFrame, prop: DataFrame, *by: str) -> DataFrame:
+    """The copies times the listing's property rows, told apart ``by`` some of
+    their columns, with the sum and number of their review scores."""
+    rows = prop.groupBy(F.col("property_key").alias("__pk"), *by).agg(
+        F.count(F.lit(1)).alias("__p"), F.sum("review_scores_rating").alias("__r"), F.count("review_scores_rating").alias("__nr")
     )
-    return base.join(p, F.col("property_key") == F.col("__pk"), "left").drop("__pk")
+    out = base.join(rows, F.col("property_key") == F.col("__pk"), "left")
+    out = out.withColumn("review_sum", F.col("__r") * F.col(COPIES)).withColumn("n_reviews", F.col("__nr") * F.col(COPIES))
+    return out.withColumn(COPIES, F.col(COPIES) * F.coalesce("__p", F.lit(1))).drop("__pk", "__p", "__r", "__nr")
 
 
-def mart_listing_neighbourhood_asis(fact_asis, host, prop, as_of=DEFAULT_AS_OF) -> DataFrame:
-    """M18 verbatim on the as-is fact."""
-    base = _by_listing_lga(_asis_base(fact_asis, host, prop, as_of))
-    return monthly_listing_measures(base, ["listing_neighbourhood_lga"])
+def mart_listing_neighbourhood_asis(fact: DataFrame, host, prop, as_of=DEFAULT_AS_OF) -> DataFrame:
+    """M18 verbatim, on ``gold.fact_copies``."""
+    base = _by_listing_lga(_with_property_rows(_with_host_matches(fact, host, as_of), prop))
+    return monthly_listing_measures(base, ["listing_neighbourhood_lga"], COPIES)
 
 
-def mart_property_type_asis(fact_asis, host, prop, as_of=DEFAULT_AS_OF) -> DataFrame:
-    """M19 verbatim on the as-is fact."""
-    base = _by_property(_asis_base(fact_asis, host, prop, as_of))
-    return monthly_listing_measures(base, ["property_type", "room_type", "accommodates"])
+def mart_property_type_asis(fact: DataFrame, host, prop, as_of=DEFAULT_AS_OF) -> DataFrame:
+    """M19 verbatim, on ``gold.fact_copies``."""
+    by = ["property_type", "room_type", "accommodates"]
+    base = _by_property(_with_property_rows(_with_host_matches(fact, host, as_of), prop, *by))
+    return monthly_listing_measures(base, by, COPIES)
 
 
-def mart_host_neighbourhood_asis(fact_asis, host, as_of=DEFAULT_AS_OF) -> DataFrame:
-    """M17 verbatim: the host-version join is kept, duplicating revenue on
+def mart_host_neighbourhood_asis(fact: DataFrame, host, as_of=DEFAULT_AS_OF) -> DataFrame:
+    """M17 verbatim: the host-version join counts, duplicating revenue on
     boundary dates exactly as the source does."""
-    return mart_host_neighbourhood(_asis_base(fact_asis, host, None, as_of))
+    return mart_host_neighbourhood(_with_host_matches(fact, host, as_of), COPIES)

@@ -82,7 +82,7 @@ class RentalModel:
         "fact",
     )
     # Needed only by the verbatim (fanned-out) variants.
-    MATERIALIZED_ASIS = ("dm_property", "fact_asis")
+    MATERIALIZED_ASIS = ("dm_property", "fact_copies")
 
     def materialize(self, base_path: str) -> "RentalModel":
         """A model over the warehouse folder ``base_path`` (a shared folder)
@@ -181,8 +181,13 @@ class RentalModel:
         return gold.dm_census(self.dm_census_g01, self.dm_census_g02)
 
     @_table
+    def fact_copies(self) -> DataFrame:
+        """The as-is fact with every row once and its number of copies."""
+        return gold.fact_copies(self.listings, self.dm_suburb, self.dm_lga, self.dm_property, self.dm_host)
+
+    @property
     def fact_asis(self) -> DataFrame:
-        return gold.fact_asis(self.listings, self.dm_suburb, self.dm_lga, self.dm_property, self.dm_host)
+        return gold.fact_asis(self.fact_copies)
 
     @_table
     def fact(self) -> DataFrame:
@@ -203,13 +208,13 @@ class RentalModel:
         return marts.mart_host_neighbourhood(self.fact)
 
     def mart_listing_neighbourhood_asis(self) -> DataFrame:
-        return marts.mart_listing_neighbourhood_asis(self.fact_asis, self.dm_host, self.dm_property, self.as_of)
+        return marts.mart_listing_neighbourhood_asis(self.fact_copies, self.dm_host, self.dm_property, self.as_of)
 
     def mart_property_type_asis(self) -> DataFrame:
-        return marts.mart_property_type_asis(self.fact_asis, self.dm_host, self.dm_property, self.as_of)
+        return marts.mart_property_type_asis(self.fact_copies, self.dm_host, self.dm_property, self.as_of)
 
     def mart_host_neighbourhood_asis(self) -> DataFrame:
-        return marts.mart_host_neighbourhood_asis(self.fact_asis, self.dm_host, self.as_of)
+        return marts.mart_host_neighbourhood_asis(self.fact_copies, self.dm_host, self.as_of)
 
     # --- questions ----------------------------------------------------
     def question_a(self) -> DataFrame:
@@ -229,11 +234,11 @@ class RentalModel:
 
     # the questions as the source runs them, on the as-is fact
     def question_asis(self, q: str) -> DataFrame:
-        f = self.fact_asis
+        f, n = self.fact_copies, gold.COPIES
         return {
-            "a": lambda: adhoc.question_a(f, self.dm_census),
-            "b": lambda: adhoc.question_b(f, self.dm_census_g02),
+            "a": lambda: adhoc.question_a(f, self.dm_census, copies=n),
+            "b": lambda: adhoc.question_b(f, self.dm_census_g02, copies=n),
             "c": lambda: adhoc.question_c(f, self.dm_suburb, prop=self.dm_property),
-            "d": lambda: adhoc.question_d(f),
-            "e": lambda: adhoc.question_e(f, self.dm_census_g02, self.dm_lga),
+            "d": lambda: adhoc.question_d(f, copies=n),
+            "e": lambda: adhoc.question_e(f, self.dm_census_g02, self.dm_lga, copies=n),
         }[q]()
