@@ -14,6 +14,7 @@ each exactly once per session.
 from __future__ import annotations
 
 import datetime as _dt
+from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,7 +32,9 @@ def _table(fn):
     def get(self):
         cache = self.__dict__
         if name not in cache:
-            if self._upstream is not None and name != self._fresh:
+            if name in self._given:
+                df = self._given[name]
+            elif self._upstream is not None and name != self._fresh:
                 df = getattr(self._upstream, name)
             else:
                 df = fn(self)
@@ -56,12 +59,16 @@ class RentalModel:
         base_path: str | None = None,
         upstream: "RentalModel | None" = None,
         fresh: str | None = None,
+        given: dict[str, DataFrame] | None = None,
     ):
+        """``given``: layer tables that exist already, by name (the silver
+        table and host history of an incremental run)."""
         self.bronze = bronze
         self.as_of = as_of
         self._base_path = base_path
         self._upstream = upstream
         self._fresh = fresh
+        self._given = given or {}
 
     @classmethod
     def from_tables(cls, spark: SparkSession, sf_dir: str, **kw) -> "RentalModel":
@@ -72,14 +79,10 @@ class RentalModel:
     # The LGA code tables (bounded by the LGA list) and the per-listing
     # suburb bridge (only its distinct rows feed the suburb dimension) stay
     # views.
-    MATERIALIZED = (
-        "listings",
-        "host_snapshot",
-        "dm_suburb",
-        "dm_census_g01",
-        "dm_census_g02",
-        "dm_census",
-        "fact",
+    LEVELS = (
+        ("listings", "dm_census_g01", "dm_census_g02"),
+        ("host_snapshot", "dm_suburb", "dm_census"),
+        ("fact",),
     )
     # Needed only by the verbatim (fanned-out) variants.
     MATERIALIZED_ASIS = ("dm_property", "fact_copies")
@@ -95,9 +98,15 @@ class RentalModel:
         return RentalModel(self.bronze, self.as_of, base_path=base_path).build()
 
     def build(self, names=None) -> "RentalModel":
-        """Write (touch) the given layer tables now; default: all of them."""
-        for name in names or self.MATERIALIZED:
-            getattr(self, name)
+        """Write (touch) the given layer tables now; default: all of them,
+        those that do not need each other at the same time."""
+        if names is not None:
+            for name in names:
+                getattr(self, name)
+            return self
+        for level in self.LEVELS:
+            with ThreadPoolExecutor(max_workers=len(level)) as pool:
+                list(pool.map(lambda name: getattr(self, name), level))
         return self
 
     def materialize_asis(self) -> "RentalModel":

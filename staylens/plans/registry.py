@@ -181,7 +181,7 @@ def _adhoc_e(spark, sf_dir):
 from pyspark.sql import functions as F  # noqa: E402
 
 from staylens.operators import quality  # noqa: E402
-from staylens.plans import monthly_run, silver  # noqa: E402
+from staylens.plans import full_run, monthly_run, silver  # noqa: E402
 from staylens.session import shared_path  # noqa: E402
 from staylens.sources import bindings, schemas, sinks  # noqa: E402
 from staylens.sources.csv_ingest import cast_to_schema, list_csv_files, load_csv, load_monthly, write_csv  # noqa: E402
@@ -401,5 +401,36 @@ def _scd2_merge_late(spark, sf_dir):
     return state.history(spark)
 
 
+@register("pipeline_mart_listing")
+def _pipeline_mart_listing(spark, sf_dir):
+    """M1-M18 as one run from files: static CSV files, monthly drops, merged
+    host history, gold tables, and the listing mart over them."""
+    folders = {name: shared_path(spark, f"landing-{name}") for name in full_run.STATIC}
+    bronze = bindings.bronze(spark, sf_dir)
+    for name, folder in folders.items():
+        write_csv(bronze[name], folder)
+    model = full_run.run_from_files(
+        spark, folders, landing(spark, sf_dir, "drift"), shared_run(spark, sf_dir), shared_path(spark, "warehouse"), as_of=bindings.AS_OF
+    )
+    return model.mart_listing_neighbourhood()
+
+
+@register("load_with_rejects")
+def _load_with_rejects(spark, sf_dir):
+    """A load with unreadable prices, missing dates and repeated keys:
+    accepted and quarantined rows, with the reason."""
+    raw = bindings.listings_raw(spark, sf_dir)
+    price = F.when(F.col("listing_id") % 101 == 0, F.lit("twelve")).otherwise(F.col("price").cast("string"))
+    date = F.when(F.col("listing_id") % 97 != 0, F.col("scraped_date"))
+    folder = shared_path(spark, "landing-faulty")
+    write_csv(raw.withColumn("price", price).withColumn("scraped_date", date), folder)
+    gate = full_run.load_with_rejects(
+        spark, list_csv_files(spark, folder), schemas.LISTINGS_RAW, list(schemas.LISTING_KEY), silver.listing_order(), shared_path(spark, "gate")
+    )
+    cols = ["listing_id", "scraped_date", "scrape_id", "price"]
+    accepted = gate.accepted(spark).select(F.lit("accepted").alias("verdict"), F.lit(None).cast("string").alias("reason"), *cols)
+    return accepted.unionByName(gate.rejected(spark).select(F.lit("rejected").alias("verdict"), F.col("_reason").alias("reason"), *cols))
+
+
 # Operator-level queries register themselves on import.
 from staylens.plans import operator_queries  # noqa: E402,F401

@@ -289,3 +289,31 @@ def test_any_order_of_drops_gives_the_rebuilt_history(spark, seed):
         held = {k: r for k, r in held.items() if r[5] is not None}  # open rows are given anew
         held |= {tuple(r)[:5]: tuple(r) for r in out}
     assert sorted(str(spark.createDataFrame([r], f"{schema}, valid_from date, valid_to date").collect()[0]) for r in held.values()) == want
+
+
+# --- the acting key constraint ------------------------------------------------------
+def test_a_gate_quarantines_or_stops(spark, tmp_path):
+    from staylens.operators.gate import RejectedRows, write_gated
+    from staylens.plans.full_run import load_with_rejects
+
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("day", T.DateType()), T.StructField("n", T.IntegerType())])
+    first = _write(tmp_path / "a.csv", "id,day,n\n1,2020-01-01,5\n1,2020-01-01,7\n2,,1\n3,2020-01-03,many\n4,2020-01-04,1\n")
+    second = _write(tmp_path / "b.csv", "id,day,n\n1,2020-01-01,6\n4,2020-01-05,2\n4,2020-01-04,1\n")
+    order = [F.col("n").desc()]
+    gate = load_with_rejects(spark, [first, second], schema, ["id", "day"], order, str(tmp_path / "out"))
+    assert gate.counts == {"rows": 8, "accepted": 3, "unreadable": 1, "null key": 1, "key exists": 0, "duplicate key": 3}
+    assert sorted((r.id, r.n) for r in gate.accepted(spark).collect()) == [(1, 7), (4, 1), (4, 2)]
+    rejected = {(r.id, r.n, r._reason, r._raw) for r in gate.rejected(spark).collect()}
+    raw = '{"id":"3","day":"2020-01-03","n":"many"}'
+    assert rejected == {(1, 5, "duplicate key", None), (1, 6, "duplicate key", None), (4, 1, "duplicate key", None), (2, 1, "null key", None), (3, None, "unreadable", raw)}
+    with pytest.raises(RejectedRows, match="1 unreadable, 1 null key, 3 duplicate key"):
+        load_with_rejects(spark, [first, second], schema, ["id", "day"], order, str(tmp_path / "stopped"), stop=True)
+    assert not (tmp_path / "stopped").exists() and not list(tmp_path.glob("_stopped*"))
+    # against the rows that a table holds already
+    again = load_with_rejects(spark, [second], schema, ["id", "day"], order, str(tmp_path / "again"), existing=gate.accepted(spark))
+    assert again.counts["key exists"] == 3 and again.counts["accepted"] == 0
+    # a hot key: one row wins, whichever tasks hold the others
+    hot = spark.range(20_000, numPartitions=8).selectExpr("if(id % 3 = 0, 1, id) as k", "id as v")
+    counts = write_gated(hot, str(tmp_path / "hot"), ["k"], [F.col("v").desc()]).counts
+    n = hot.select("k").distinct().count()
+    assert counts["accepted"] == n and counts["duplicate key"] == 20_000 - n
