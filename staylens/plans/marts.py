@@ -177,6 +177,16 @@ def mart_host_neighbourhood(fact: DataFrame, copies: str | None = None) -> DataF
     )
 
 
+#: M17 as the SQL of a catalog view over the written fact.
+HOST_NEIGHBOURHOOD_SQL = """
+SELECT coalesce(lga_key, 'Unknown') AS host_neighbourhood_lga, year(scraped_date) AS year, month(scraped_date) AS month,
+    count(DISTINCT host_key) AS distinct_hosts,
+    sum((30 - availability_30) * price) AS total_estimated_revenue,
+    CAST(sum((30 - availability_30) * price) AS DOUBLE) / nullif(count(DISTINCT host_key), 0) AS estimated_revenue_per_host
+FROM gold.fact_listings
+GROUP BY coalesce(lga_key, 'Unknown'), year(scraped_date), month(scraped_date)"""
+
+
 # --- verbatim ("as-is") variants --------------------------------------------
 # The source's own mart joins on the as-is fact: every host version whose
 # closed interval contains the date (joined on the shared host_key) and every

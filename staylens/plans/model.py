@@ -39,7 +39,7 @@ def _table(fn):
             else:
                 df = fn(self)
                 if self._base_path is not None:
-                    path = f"{self._base_path.rstrip('/')}/{name}"
+                    path = self.path_of(name)
                     if name == "fact":
                         df = sinks.write_fact_partitioned(df, path)
                     else:
@@ -87,6 +87,10 @@ class RentalModel:
     # Needed only by the verbatim (fanned-out) variants.
     MATERIALIZED_ASIS = ("dm_property", "fact_copies")
 
+    def path_of(self, name: str) -> str:
+        """Where this model writes a layer table."""
+        return f"{self._base_path.rstrip('/')}/{name}"
+
     def materialize(self, base_path: str) -> "RentalModel":
         """A model over the warehouse folder ``base_path`` (a shared folder)
         with every default layer table written now.

@@ -26,6 +26,7 @@ from staylens.functions.expressions import (
     year_of,
 )
 from staylens.operators import aggregates as A
+from staylens.operators import distinct as D
 from staylens.operators.joins import (
     full_outer_small_right,
     join_concat_key,
@@ -313,17 +314,21 @@ _by_lga(
 )
 
 
+def _host_sets(spark, sf_dir, *keys):
+    """Bitmaps of the hosts, and of the superhosts with free nights, per LGA and period."""
+    fact = model(spark, sf_dir).fact.withColumn("year", year_of("scraped_date")).withColumn("month", month_of("scraped_date"))
+    numbers = D.dense_numbers(fact, "host_id", "host_number")
+    rows = fact.select("lga_code", "year", "month", "host_id", "availability_30", "host_is_superhost").join(numbers, "host_id", "left")
+    sets = {"distinct_hosts": None, "superhost_hosts": active_available() & is_true("host_is_superhost")}
+    return D.distinct_bitmaps(rows, keys, "host_number", sets), list(sets)
+
+
 @register("agg_multi_distinct")
 def _agg_multi_distinct(spark, sf_dir):
-    """A5: two COUNT(DISTINCT)s, one conditional, in one group (Expand)."""
-    m = model(spark, sf_dir)
-    base = marts.with_superhost_flag(m.fact, m.dm_host, m.as_of)
-    return base.groupBy("lga_code", year_of("scraped_date").alias("year")).agg(
-        F.countDistinct("host_key").alias("distinct_hosts"),
-        F.countDistinct(F.when(active_available() & is_true("host_is_superhost"), F.col("host_key"))).alias(
-            "superhost_hosts"
-        ),
-    )
+    """A5: two COUNT(DISTINCT)s, one conditional, in one group (bitmaps over
+    dense host numbers: no Expand)."""
+    bitmaps, names = _host_sets(spark, sf_dir, "lga_code", "year")
+    return D.count_bitmaps(bitmaps, ["lga_code", "year"], names)
 
 
 _sql("agg_multi_distinct", """
@@ -333,6 +338,24 @@ SELECT lga_code, CAST(extract(year FROM scraped_date) AS BIGINT) AS year,
 FROM fact_pit_host GROUP BY 1, 2""")
 
 
+@register("agg_distinct_rollup")
+def _agg_distinct_rollup(spark, sf_dir):
+    """A4/A5 rolled up: the months' host sets merged to years and to the whole
+    period (year NULL), exactly, without another look at the rows."""
+    months, names = _host_sets(spark, sf_dir, "lga_code", "year", "month")
+    years = D.merge_bitmaps(months, ["lga_code", "year"], names)
+    whole = D.merge_bitmaps(years, ["lga_code"], names)
+    total = D.count_bitmaps(whole, ["lga_code"], names).withColumn("year", F.lit(None).cast("int"))
+    return D.count_bitmaps(years, ["lga_code", "year"], names).unionByName(total)
+
+
+_sql("agg_distinct_rollup", """
+SELECT lga_code, CAST(extract(year FROM scraped_date) AS BIGINT) AS year,
+    CAST(COUNT(DISTINCT host_key) AS BIGINT) AS distinct_hosts,
+    CAST(COUNT(DISTINCT host_key) FILTER (availability_30 > 0 AND host_is_superhost) AS BIGINT) AS superhost_hosts
+FROM fact_pit_host GROUP BY GROUPING SETS ((1, 2), (1))""")
+
+
 @register("agg_median")
 def _agg_median(spark, sf_dir):
     """A10: exact median of active prices per LGA and year."""

@@ -181,7 +181,7 @@ def _adhoc_e(spark, sf_dir):
 from pyspark.sql import functions as F  # noqa: E402
 
 from staylens.operators import quality  # noqa: E402
-from staylens.plans import full_run, monthly_run, silver  # noqa: E402
+from staylens.plans import full_run, marts, monthly_run, silver  # noqa: E402
 from staylens.session import shared_path  # noqa: E402
 from staylens.sources import bindings, schemas, sinks  # noqa: E402
 from staylens.sources.csv_ingest import cast_to_schema, list_csv_files, load_csv, load_monthly, write_csv  # noqa: E402
@@ -316,8 +316,12 @@ def _sink_table(spark, sf_dir):
 
 @register("sink_view")
 def _sink_view(spark, sf_dir):
-    """The host-neighbourhood mart published as a view."""
-    return sinks.publish_view(warehouse(spark, sf_dir).mart_host_neighbourhood(), "datamart", "dm_host_neighbourhood")
+    """The host-neighbourhood mart as a lasting catalog view over the
+    written fact."""
+    base = shared_path(spark, "catalog")
+    house = warehouse(spark, sf_dir).build(["fact"])
+    sinks.register_table(spark, "gold", "fact_listings", house.path_of("fact"), base)
+    return sinks.publish_view(spark, "datamart", "dm_host_neighbourhood", marts.HOST_NEIGHBOURHOOD_SQL, base)
 
 
 @register("fact_partitioned")

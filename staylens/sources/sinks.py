@@ -13,19 +13,31 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 
-def qualified_name(layer: str, name: str) -> str:
-    """``layer.name`` — a layer is a database (schema) of its own."""
-    return f"{layer}.{name}"
+#: The layer of tables that name none.
+DEFAULT_LAYER = "public"
 
 
-def ensure_layer(spark: SparkSession, layer: str, base_path: str) -> None:
+def quoted(name: str) -> str:
+    """An identifier as SQL takes it, whatever characters it has."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def qualified_name(layer: str | None, name: str) -> str:
+    """``layer.name``, quoted: a layer is a database (schema) of its own, and
+    tables without one go to ``DEFAULT_LAYER`` (S15)."""
+    return f"{quoted(layer or DEFAULT_LAYER)}.{quoted(name)}"
+
+
+def ensure_layer(spark: SparkSession, layer: str | None, base_path: str) -> None:
     """CREATE DATABASE for a layer, located under ``base_path``."""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{layer}` LOCATION '{base_path.rstrip('/')}/{layer}.db'")
+    layer = layer or DEFAULT_LAYER
+    place = f"{base_path.rstrip('/')}/{layer}.db".replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {quoted(layer)} LOCATION '{place}'")
 
 
 def write_table(
     df: DataFrame,
-    layer: str,
+    layer: str | None,
     name: str,
     base_path: str,
     partition_by: Sequence[str] = (),
@@ -37,7 +49,7 @@ def write_table(
     spark = df.sparkSession
     ensure_layer(spark, layer, base_path)
     # an explicit path: a layer that exists already keeps its first location
-    w = df.write.mode("overwrite").format("parquet").option("path", f"{base_path.rstrip('/')}/{layer}.db/{name}")
+    w = df.write.mode("overwrite").format("parquet").option("path", f"{base_path.rstrip('/')}/{layer or DEFAULT_LAYER}.db/{name}")
     if partition_by:
         w = w.partitionBy(*partition_by)
     if bucket_by:
@@ -46,11 +58,25 @@ def write_table(
     return spark.table(qualified_name(layer, name))
 
 
-def publish_view(df: DataFrame, layer: str, name: str) -> DataFrame:
-    """Materialise as a view (S12): nothing is computed until it is read."""
-    view = f"{layer}_{name}"
-    df.createOrReplaceTempView(view)
-    return df.sparkSession.table(view)
+def register_table(spark: SparkSession, layer: str | None, name: str, path: str, base_path: str) -> DataFrame:
+    """The catalog table ``layer.name`` over Parquet files that are written
+    already (no copy), with their partitions."""
+    ensure_layer(spark, layer, base_path)
+    table = qualified_name(layer, name)
+    spark.sql(f"DROP TABLE IF EXISTS {table}")  # an external table: its files stay
+    created = spark.catalog.createTable(table, path=path, source="parquet")
+    if set(created.columns) and any(c.isPartition for c in spark.catalog.listColumns(table)):
+        spark.catalog.recoverPartitions(table)
+    return spark.table(table)
+
+
+def publish_view(spark: SparkSession, layer: str | None, name: str, select: str, base_path: str) -> DataFrame:
+    """The catalog view ``layer.name`` (S12): nothing is computed until it is
+    read, and any session of the catalog can read it.  ``select`` is its SQL,
+    over catalog tables."""
+    ensure_layer(spark, layer, base_path)
+    spark.sql(f"CREATE OR REPLACE VIEW {qualified_name(layer, name)} AS {select}")
+    return spark.table(qualified_name(layer, name))
 
 
 def full_reload(tables: dict[str, DataFrame], base_path: str) -> dict[str, DataFrame]:

@@ -110,3 +110,52 @@ def test_recent_questions_prune_fact_folders(spark):
         assert first and "]" not in first
     flat = fact.drop("year", "month")
     assert fact.where(last_months(fact)).count() == flat.where(last_months(flat)).count() > 0
+
+
+def test_distinct_counts_and_medians_spread_hot_groups(spark):
+    """No Expand for two distinct counts; no window over a group's prices."""
+    from staylens.plans.registry import QUERIES
+
+    assert "Expand" not in _plan(QUERIES["agg_multi_distinct"](spark, SF_SMALL))
+    windows = [ln for ln in _plan(QUERIES["agg_median"](spark, SF_SMALL)).splitlines() if "Window [" in ln]
+    assert windows and all("price" not in ln for ln in windows)
+
+
+def test_views_last_and_names_are_quoted(spark, tmp_path):
+    from staylens.sources import sinks
+
+    base = str(tmp_path / "ca talog's")
+    spark.range(3).write.partitionBy().parquet(str(tmp_path / "plain"))
+    spark.range(4).selectExpr("id", "id % 2 as part").write.partitionBy("part").parquet(str(tmp_path / "parted"))
+    assert sinks.register_table(spark, "order", "select", str(tmp_path / "parted"), base).where("part = 1").count() == 2
+    view = sinks.publish_view(spark, None, "view", f"SELECT max(id) AS m FROM {sinks.qualified_name('order', 'select')}", base)
+    assert view.collect()[0].m == 3
+    # another session of the catalog answers, and sees what the table sees now
+    assert spark.newSession().table("`public`.`view`").collect()[0].m == 3
+    sinks.register_table(spark, "order", "select", str(tmp_path / "plain"), base)
+    assert spark.table("`public`.`view`").collect()[0].m == 2
+    assert sinks.write_table(spark.range(5), None, "t", base).count() == 5
+    for name in ("`public`.`t`", "`order`.`select`"):
+        spark.sql(f"DROP TABLE {name}")
+    spark.sql("DROP VIEW `public`.`view`")
+
+
+def test_question_c_counts_every_row_of_a_suburb(spark):
+    """A suburb listed under two LGAs: as-is its stays count twice."""
+    from staylens.plans import adhoc
+
+    fact = spark.createDataFrame([(1, "2020-01-01", "k", "p1", 5, 10)], "listing_id long, scraped_date string, suburb_key string, property_key string, availability_30 int, price int")
+    fact = fact.selectExpr("*", "cast(scraped_date as date) d").drop("scraped_date").withColumnRenamed("d", "scraped_date")
+    fact = fact.selectExpr("listing_id", "scraped_date", "suburb_key", "property_key", "availability_30", "cast(price as decimal(12,2)) price", "'House' property_type", "'Room' room_type", "2 accommodates")
+    suburb = spark.createDataFrame([("k", "here", "1"), ("k", "here", "2")], "suburb_key string, suburb_name string, lga_code string")
+    prop = spark.createDataFrame([("p1", "House", "Room", 2)], "property_key string, property_type string, room_type string, accommodates int")
+    asis = fact.drop("property_type", "room_type", "accommodates")
+    assert adhoc.question_c(asis, suburb, prop=prop).collect()[0].total_stays == 50
+    assert adhoc.question_c(fact, suburb).collect()[0].total_stays == 25
+
+
+def test_asis_marts_write_no_copies(spark):
+    """The as-is fact keeps each listing row once per suburb row."""
+    w = warehouse(spark, SF_SMALL).materialize_asis()
+    assert w.fact_copies.count() <= w.listings.count() * w.dm_suburb.groupBy("suburb_key").count().agg({"count": "max"}).collect()[0][0]
+    assert w.fact_copies.agg({"copies": "sum"}).collect()[0][0] == w.fact_asis.count() > w.fact_copies.count()
