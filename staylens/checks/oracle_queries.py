@@ -304,6 +304,11 @@ ORACLE["fact_partitioned"] = with_layers("""
 SELECT CAST(extract(year FROM scraped_date) AS BIGINT) AS year,
     CAST(extract(month FROM scraped_date) AS BIGINT) AS month, CAST(COUNT(*) AS BIGINT) AS n_rows
 FROM fact_pit GROUP BY 1, 2""")
+ORACLE["fact_clustered"] = with_layers("""
+SELECT key, CAST(count(*) AS BIGINT) AS n_rows, CAST(sum(30 - availability_30) AS BIGINT) AS stays
+FROM (SELECT availability_30, key, value, min(value) OVER (PARTITION BY key) AS least
+      FROM (SELECT availability_30, host_key, suburb_key, property_key FROM fact_pit) UNPIVOT (value FOR key IN (host_key, suburb_key, property_key)))
+WHERE value = least GROUP BY key""")
 ORACLE["upsert_listings"] = ORACLE["silver_listings"]
 ORACLE["stream_upsert_listings"] = ORACLE["silver_listings"]
 ORACLE["stream_scd2"] = ORACLE["scd2_rebuild"]

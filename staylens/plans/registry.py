@@ -181,6 +181,7 @@ def _adhoc_e(spark, sf_dir):
 from pyspark.sql import functions as F  # noqa: E402
 
 from staylens.operators import quality  # noqa: E402
+from staylens.operators.joins import scalar_of  # noqa: E402
 from staylens.plans import full_run, marts, monthly_run, silver  # noqa: E402
 from staylens.session import shared_path  # noqa: E402
 from staylens.sources import bindings, schemas, sinks  # noqa: E402
@@ -332,6 +333,19 @@ def _fact_partitioned(spark, sf_dir):
     return laid.groupBy("year", "month").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+@register("fact_clustered")
+def _fact_clustered(spark, sf_dir):
+    """The fact along the Z-order curve of its lookup keys, read back by
+    each of them: snapshots and stays of the least host, suburb and property."""
+    laid = sinks.write_fact_clustered(warehouse(spark, sf_dir).fact, shared_path(spark, "fact-clustered"))
+    found = []
+    for key in sinks.LOOKUP_KEYS:
+        least = scalar_of(laid.agg(F.min(key)))
+        rows = laid.where(F.col(key) == least).agg(F.count(F.lit(1)).alias("n_rows"), F.sum(30 - F.col("availability_30")).alias("stays"))
+        found.append(rows.select(F.lit(key).alias("key"), "n_rows", "stays"))
+    return found[0].unionByName(found[1]).unionByName(found[2])
+
+
 _runs: dict[tuple, monthly_run.RunState] = {}
 
 

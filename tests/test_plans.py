@@ -159,3 +159,27 @@ def test_asis_marts_write_no_copies(spark):
     w = warehouse(spark, SF_SMALL).materialize_asis()
     assert w.fact_copies.count() <= w.listings.count() * w.dm_suburb.groupBy("suburb_key").count().agg({"count": "max"}).collect()[0][0]
     assert w.fact_copies.agg({"copies": "sum"}).collect()[0][0] == w.fact_asis.count() > w.fact_copies.count()
+
+
+def test_lookups_by_any_key_skip_most_row_groups(spark, tmp_path):
+    """The clustered fact's footers rule out three quarters of a month's row
+    groups for a lookup by each key."""
+    import pyarrow.parquet as pq
+
+    from staylens.sources.sinks import LOOKUP_KEYS, write_fact_clustered
+
+    rows = spark.range(120_000).selectExpr(
+        "id as listing_id", "date'2020-05-01' as scraped_date", "md5(cast(id % 3001 as string)) as host_key",
+        "md5(concat('s', id * 7 % 211)) as suburb_key", "md5(concat('p', id * 13 % 20011)) as property_key", "1 as availability_30",
+    )
+    laid = write_fact_clustered(rows, str(tmp_path / "f"), row_group_bytes=8_192)
+    assert laid.count() == 120_000
+    files = [pq.ParquetFile(f).metadata for f in (tmp_path / "f").rglob("*.parquet")]
+    groups = [m.row_group(g) for m in files for g in range(m.num_row_groups)]
+    assert len(groups) >= 64
+    one = laid.where("listing_id = 31337").collect()[0]
+    for key in LOOKUP_KEYS:
+        at = files[0].schema.names.index(key)
+        stats = [g.column(at).statistics for g in groups]
+        may_hold = sum(s.min <= one[key] <= s.max for s in stats)
+        assert 0 < may_hold < 0.25 * len(groups), (key, may_hold, len(groups))
