@@ -3,7 +3,10 @@ text views for numpy, and distributed connected components."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import contextlib
+import ctypes
+import gc
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -13,7 +16,7 @@ from pyspark.sql import functions as F
 from staylens.session import shared_path
 
 #: Texts handed to numpy at once, in bytes (a longer text goes alone).
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,6 +37,43 @@ def conf_int(spark: SparkSession, key: str, default: int) -> int:
     return int(spark.conf.get(key, str(default)))
 
 
+# --- worker memory ------------------------------------------------------------
+
+_caches: dict[str, dict] = {}
+
+
+def worker_cache(owner: str) -> dict:
+    """What an operator keeps in a worker between its tasks.  Workers outlive a
+    stage: another operator's first task there empties it."""
+    for other in [k for k in _caches if k != owner]:
+        _caches.pop(other)
+    return _caches.setdefault(owner, {})
+
+
+def tidy(work: Callable[[Iterator[pa.Array]], Iterator[pa.Array]]) -> Callable[[Iterator[pa.Array]], Iterator[pa.Array]]:
+    """The same work on batches; after it the worker hands freed memory back to
+    the system, so that what one stage took is not held through the next."""
+
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        try:
+            yield from work(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            with contextlib.suppress(AttributeError, OSError):  # not every C library trims
+                ctypes.CDLL(None).malloc_trim(0)
+
+    return run
+
+
+def fresh_name(name: str, taken: Iterable[str]) -> str:
+    """``name``, lengthened until no column has it (in any case)."""
+    taken = {t.lower() for t in taken}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 # --- texts as bytes -----------------------------------------------------------
 
 

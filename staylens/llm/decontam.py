@@ -8,9 +8,9 @@ where that is zero the block's bucket lists the patterns to compare, first by
 their first eight bytes, then byte by byte.  A batch of texts is cut into lanes
 that numpy advances together, so the skip loop costs a few array operations.
 
-The benchmark is the stated query set.  It is split by a hash into blocks of at
-most ``BLOCK_BYTES`` of text, each broadcast alone, and every document is held
-against every block.
+The benchmark is the stated query set.  It is split by a hash into blocks of
+about ``BLOCK_BYTES`` of text, each broadcast alone, and every document is held
+against every block, one pass per block.
 
 Defined cases: a null text has no words; an item without words or without an
 id is no pattern; repeated items or ids count once per id; repeated documents
@@ -20,17 +20,18 @@ give repeated rows; other columns are left alone.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from staylens.llm.common import LOWER, text_chunks, word_spans
+from staylens.llm.common import LOWER, cut, fresh_name, text_chunks, tidy, word_spans, worker_cache
 
 WINDOW_WORDS = 10
 #: Benchmark text in one broadcast block, in bytes.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 20
 #: Smallest pattern length of a class; a class's block takes the size beside it.
 CLASSES = ((3, 2), (8, 4), (16, 6), (32, 8), (64, 8))
 LANE_BYTES = 2048
@@ -192,24 +193,24 @@ class Matcher:
         )
 
 
-_matchers: dict[int, Matcher] = {}
-
-
 def _matcher(shared, number: int) -> Matcher:
-    if number not in _matchers:
-        if len(_matchers) > 8:
-            _matchers.clear()
-        _matchers[number] = Matcher(shared.value)
-    return _matchers[number]
+    """The block's matcher, made once per worker; only one block's is kept."""
+    cache = worker_cache("decontam")
+    if number not in cache:
+        cache.clear()
+        cache[number] = Matcher(shared.value)
+    return cache[number]
 
 
-_blocks = iter(range(1 << 62))
+_numbers = iter(range(1 << 62))
 
 
-def _blocks_of(benchmark: DataFrame, item_id: str, text: str) -> Iterator[list[tuple[str, str]]]:
+def _blocks_of(benchmark: DataFrame, item_id: str, text: str) -> Iterator:
+    """The number of blocks, then each block's items."""
     items = benchmark.where(F.col(item_id).isNotNull() & F.col(text).isNotNull()).select(F.col(item_id).cast("string").alias("i"), F.col(text).alias("t")).distinct()
     size = items.agg(F.sum(F.octet_length("t"))).collect()[0][0] or 0
     n = size // BLOCK_BYTES + 1
+    yield n
     for k in range(n):
         own = items if n == 1 else items.where(F.pmod(F.xxhash64("i", "t"), F.lit(n)) == k)
         yield [(r.i, r.t) for r in own.collect()]
@@ -220,28 +221,54 @@ def _search_column(shared, number: int, text: str) -> Column:
         for texts in parts:
             yield _matcher(shared, number).search(texts)
 
-    return F.arrow_udf(search, "n_words long, hits array<int>, items array<string>")(text)
+    return F.arrow_udf(tidy(search), "n_words long, hits array<int>, items array<string>")(text)
+
+
+def _numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` with a number for each row, written so that it stays."""
+    return cut(docs.select("*", F.monotonically_increasing_id().alias(fresh_name("_row", docs.columns))), "decontam-rows")
+
 
+def matches(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
+    """``docs`` with ``n_words, n_hit, items`` (sorted distinct item ids) as
+    the struct ``found`` (lengthened by underscores if a column has the name).
 
-def match_columns(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text") -> dict[str, Column]:
-    """Columns ``n_words, n_hit, items`` (sorted distinct item ids) of each
-    row of ``docs``, to be selected from it."""
-    found = []
+    A benchmark of one block is searched in one pass over the rows.  Of more
+    blocks each has a pass of its own, so that a worker holds one block's
+    tables at a time; only rows with a hit leave a pass, and the hits of a row
+    are put together by its number."""
     sc = docs.sparkSession.sparkContext
-    for block in _blocks_of(benchmark, item_id, item_text):
-        found.append(_search_column(sc.broadcast(block), next(_blocks), text))
-    hits = F.array_distinct(F.flatten(F.array(*[c["hits"] for c in found])))
-    items = F.array_sort(F.array_distinct(F.flatten(F.array(*[c["items"] for c in found]))))
-    return {"n_words": found[0]["n_words"], "n_hit": F.size(hits).cast("long"), "items": items}
+    found = fresh_name("found", docs.columns)
+    blocks = _blocks_of(benchmark, item_id, item_text)
+    n = next(blocks)
+    first = _search_column(sc.broadcast(next(blocks)), next(_numbers), text)
+    if n == 1:
+        return docs.withColumn(found, F.struct(first["n_words"].alias("n_words"), F.size(first["hits"]).cast("long").alias("n_hit"), first["items"].alias("items")))
+    rows = _numbered(docs)
+    row = rows.columns[-1]
+    passes = [rows.select(row, first.alias("f"))]
+    passes += [rows.select(row, _search_column(sc.broadcast(b), next(_numbers), text).alias("f")) for b in blocks]
+    counts = cut(passes[0].select(row, "f.*"), "decontam-pass")
+    hits = [counts.where(F.size("hits") > 0).select(row, "hits", "items")]
+    hits += [cut(p.where(F.size("f.hits") > 0).select(row, "f.hits", "f.items"), "decontam-pass") for p in passes[1:]]
+    # hits of one row: at most one array per block
+    together = reduce(DataFrame.unionByName, hits).groupBy(row).agg(F.flatten(F.collect_list("hits")).alias("hits"), F.flatten(F.collect_list("items")).alias("items"))
+    together = together.select(row, F.size(F.array_distinct("hits")).cast("long").alias("n_hit"), F.array_sort(F.array_distinct("items")).alias("items"))
+    none = F.array().cast("array<string>")
+    of_row = counts.select(row, "n_words").join(together, row, "left").select(
+        row, F.struct("n_words", F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"), F.coalesce("items", none).alias("items")).alias(found)
+    )
+    return rows.join(of_row, row).select(*docs.columns, found)
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """``id_col, n_words, n_hit, items, contaminated`` for every row of ``docs``."""
-    cols = match_columns(docs, benchmark, text)
-    rows = docs.select(F.col(id_col), *[c.alias(k) for k, c in cols.items()])
+    rows = matches(docs.select(F.col(id_col), F.col(text)), benchmark, text)
+    rows = rows.select(F.col(id_col), f"{rows.columns[-1]}.*")
     return rows.withColumn("contaminated", F.col("n_hit") > 0)
 
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
     """The rows of ``docs`` in which no benchmark window occurs."""
-    return docs.where(match_columns(docs, benchmark, text)["n_hit"] == 0)
+    rows = matches(docs, benchmark, text)
+    return rows.where(F.col(rows.columns[-1])["n_hit"] == 0).select(*docs.columns)

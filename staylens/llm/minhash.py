@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from staylens.llm.common import LOWER, components, cut, mix64, text_chunks, word_spans
+from staylens.llm.common import LOWER, components, cut, fresh_name, mix64, text_chunks, tidy, word_spans
 
 SHINGLE_WORDS = 5
 COORDINATES = 64
@@ -230,7 +230,7 @@ def _links(sets: DataFrame, sigs: DataFrame, docs: DataFrame, id_col: str, text:
     # the full sets of the members: one text each
     wanted = members.select("key").distinct().join(sets.select("key", F.col("label").alias("w")), "key")
     texts = docs.select(F.col(id_col).alias("i"), F.col(text).alias("t"))
-    found = texts.join(wanted, F.col("i").eqNullSafe(F.col("w"))).select("key", F.arrow_udf(_full_set, "key string, shingles array<long>")("t").alias("s"))
+    found = texts.join(wanted, F.col("i").eqNullSafe(F.col("w"))).select("key", F.arrow_udf(tidy(_full_set), "key string, shingles array<long>")("t").alias("s"))
     full = cut(found.where("s.key = key").select("key", F.col("s.shingles").alias("shingles")).dropDuplicates(["key"]), "sets")
 
     pairs = members.where("key <> leader").where(_fits("n", "leader_n", percent)).select(F.col("leader").alias("a"), F.col("key").alias("b")).distinct()
@@ -260,7 +260,7 @@ def _placed(docs: DataFrame, id_col: str, text: str, percent: int) -> DataFrame:
     """``id, digest (of the text), n, key, component_id, stays (the one key of
     the component that its smallest id stands for)`` for every row of ``docs``."""
     describe = _describe(bands_for(percent) * ROWS)
-    described = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("digest"), F.arrow_udf(describe, "n long, key string, bands array<long>")(text).alias("s"))
+    described = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("digest"), F.arrow_udf(tidy(describe), "n long, key string, bands array<long>")(text).alias("s"))
     sigs = cut(described.select("id", "digest", "s.*"), "signatures")
     sets = cut(sigs.where("n > 0").groupBy("key", "n", "bands").agg(F.min("id").alias("label")), "classes")
     roots = components(_links(sets, sigs, docs, id_col, text, percent))
@@ -290,15 +290,16 @@ def remove_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str =
     texts = rows.groupBy("id", "key", "digest", "component_id", "stays").agg(F.count(F.lit(1)).alias("copies"))
     least = F.min("digest").over(Window.partitionBy("id", "key"))
     stays = (F.col("id") == F.col("component_id")) & (F.col("key") == F.col("stays")) & (F.col("digest") == least)
-    judged = texts.select(F.col("id").alias("_id"), F.col("digest").alias("_digest"), "copies", stays.alias("stays"))
+    # names that no column of the rows has
+    row_id, row_digest, row_n = (fresh_name(c, docs.columns) for c in ("_id", "_digest", "_n"))
+    judged = texts.select(F.col("id").alias(row_id), F.col("digest").alias(row_digest), "copies", stays.alias("stays"))
     judged = cut(judged.where("not stays or copies > 1"), "judged")
-    of_row = (docs[id_col] == F.col("_id")) & (F.xxhash64(docs[text]) == F.col("_digest"))
-    out = docs.join(judged.where("not stays").select("_id", "_digest"), of_row, "left_anti")
-    several = judged.where("stays").select("_id", "_digest")
+    of_row = (F.col(id_col) == F.col(row_id)) & (F.xxhash64(text) == F.col(row_digest))
+    out = docs.join(judged.where("not stays").select(row_id, row_digest), of_row, "left_anti")
+    several = judged.where("stays").select(row_id, row_digest)
     if several.isEmpty():
         return out
-    of_row = (F.col(id_col) == F.col("_id")) & (F.xxhash64(text) == F.col("_digest"))
     order = F.xxhash64(*[c for c, kind in docs.dtypes if "map<" not in kind])
     first = F.row_number().over(Window.partitionBy(id_col, F.xxhash64(text)).orderBy(order))
-    one = out.join(several, of_row, "left_semi").withColumn("_n", first).where("_n = 1").drop("_n")
+    one = out.join(several, of_row, "left_semi").withColumn(row_n, first).where(F.col(row_n) == 1).drop(row_n)
     return out.join(several, of_row, "left_anti").unionByName(one)
