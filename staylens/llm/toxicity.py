@@ -11,7 +11,8 @@ and how many reach the upper threshold.  A logistic calibration makes a score
 from 0 to 1 of it.
 
 Learning uses a bounded sample of labelled rows, ``SAMPLE_ROWS`` by a hash of
-the id (a documented parameter); scoring covers every row and whole texts.
+the id and of each text the first ``SAMPLE_CHARS`` characters (documented
+parameters); scoring covers every row and whole texts.
 
 Defined cases: a null or empty text scores as one without evidence; labels
 that are null are left out, conflicting ones count as toxic; with too few
@@ -33,16 +34,20 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from staylens.llm.common import tidy, worker_cache
+
 THRESHOLD = 0.3
 #: Bound of the labelled sample, and of one text in it, in characters.
-SAMPLE_ROWS, SAMPLE_CHARS = 10_000, 200_000
+SAMPLE_ROWS, SAMPLE_CHARS = 10_000, 20_000
 SHARED_BYTES, OWN_BYTES, TAIL_BYTES = 65_536, 8_192, 48
 #: A word is typical of toxic texts if so many times as frequent there, with
 #: enough texts to tell.
-EXCESS, LEAST_EVIDENCE = 10.0, 18.0
+EXCESS, LEAST_EVIDENCE = 10.0, 12.0
 #: Window distances that count as evidence.
-LOWER_DISTANCE, UPPER_DISTANCE, CLIP = 3, 4, 20
-CACHE_ENTRIES = 400_000
+LOWER_DISTANCE, UPPER_DISTANCE, CLIP = 2, 3, 20
+CACHE_ENTRIES = 200_000
+#: More than the entropy tables at a trained dictionary's start take.
+TABLE_BYTES = 2_000
 
 _WORD = re.compile(r"\w+")
 
@@ -122,29 +127,58 @@ class Scorer:
         return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
 
 
+def _whole_words(content: bytes, size: int) -> bytes:
+    """The last ``size`` bytes, from a word's start."""
+    if len(content) <= size:
+        return content
+    content = content[-size:]
+    return content[max(content.find(b" "), 0) :]
+
+
 def _trained(samples: list[bytes], size: int, k: int, d: int) -> bytes:
-    """The last ``size`` bytes of a zstandard dictionary trained on the
-    samples; of their text itself where they are too few to train on."""
+    """The content of a zstandard dictionary of ``size`` bytes trained on the
+    samples, which are words; the words themselves, the most frequent last,
+    where all fit in (nothing is to be chosen then)."""
     import zstandard
 
-    try:
-        content = zstandard.train_dictionary(size + 2_000, samples, k=k, d=d).as_bytes()
-    except zstandard.ZstdError:
-        content = b"".join(dict.fromkeys(samples))
-    return content[-size:]
+    counts = Counter(samples)
+    every = b"".join(w for w, _ in sorted(counts.items(), key=lambda x: (x[1], x[0])))
+    if len(every) <= size:
+        return every
+    # the trained bytes begin with tables of the format, and the content's end
+    # is what is kept: train a larger one, so that the tables are cut off
+    trained = zstandard.train_dictionary(size + TABLE_BYTES, samples, k=k, d=d).as_bytes()
+    if len(trained) < size + TABLE_BYTES // 2:
+        return _whole_words(every, size)
+    return _whole_words(trained, size)
 
 
 def _padded(key: bytes) -> bytes:
     return key if len(key) >= 8 else key + key[1:] * -(-(8 - len(key)) // max(1, len(key) - 1))
 
 
+def _without_copies(rows: list[tuple[str, int]]) -> list[tuple[str, int]]:
+    """One of each crowd of near copies, whose words would pass for typical:
+    texts go that share the least hash of three words in a row with an earlier
+    one of their label, by any of three hashes."""
+    for seed in range(3):
+        first: dict[tuple, tuple[str, int]] = {}
+        for t, y in rows:
+            w = _WORD.findall(t.lower())
+            least = min((zlib.crc32(" ".join(w[i : i + 3]).encode("utf-8", "replace"), seed) for i in range(len(w) - 2)), default=t)
+            first.setdefault((y, least), (t, y))
+        rows = list(first.values())
+    return rows
+
+
 def _dictionaries(rows: list[tuple[str, int]], rng: random.Random) -> tuple[bytes, bytes]:
+    rows = _without_copies(rows)
     by_label: tuple[Counter, Counter] = (Counter(), Counter())
     for text, y in rows:
         by_label[y].update(set(_WORD.findall(text.lower())))
     n_toxic = sum(y for _, y in rows)
     n_ordinary = len(rows) - n_toxic
-    ordinary = [_padded(_key(w)) for w, n in by_label[0].most_common(60_000) for _ in range(min(n, 50))]
+    ordinary = [_padded(_key(w)) for w, n in sorted(by_label[0].items(), key=lambda x: (-x[1], x[0]))[:60_000] for _ in range(min(n, 50))]
     rng.shuffle(ordinary)
     shared = _trained(ordinary[:300_000], SHARED_BYTES + OWN_BYTES, 64, 8)
     typical = []
@@ -157,8 +191,8 @@ def _dictionaries(rows: list[tuple[str, int]], rng: random.Random) -> tuple[byte
     rng.shuffle(typical)
     own = _trained(typical, OWN_BYTES, 16, 6)
     # both end in the shared part, and the ordinary one fills the same length
-    split = min(OWN_BYTES, len(shared) // 8)
-    return shared, own + shared[split:]
+    split = shared.find(b" ", min(len(own), len(shared) // 8))
+    return shared, own + shared[max(split, 0) :]
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
@@ -208,27 +242,27 @@ def train(docs: DataFrame, labels: DataFrame, learn_from: Column | None = None,
     part = int(min(1.0, sample_rows / max(1, known.count())) * (1 << 20))
     known = known.where(F.pmod(F.xxhash64("k"), F.lit(1 << 20)) < part)
     # the sample's bound is the broadcast's
-    rows = docs.select(F.col(id_col).alias("k"), F.col(text).alias("t")).where(F.length("t") <= SAMPLE_CHARS).join(F.broadcast(known), "k")
-    return fit([(r.t, r.y) for r in rows.select("t", "y").collect()])
+    rows = docs.select(F.col(id_col).alias("k"), F.substring(text, 1, SAMPLE_CHARS).alias("t")).where("t is not null").join(F.broadcast(known), "k")
+    sample = rows.select("t", "y").toArrow()
+    return fit(list(zip(sample["t"].to_pylist(), sample["y"].to_pylist(), strict=True)))
 
 
-_scorers: dict[int, Scorer] = {}
 _models = iter(range(1 << 62))
 
 
 def score_column(spark, model: Model, text: str = "text") -> Column:
     shared, number = spark.sparkContext.broadcast(model), next(_models)
 
-    @F.arrow_udf("double")
     def score(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        if number not in _scorers:
-            _scorers.clear()
-            _scorers[number] = Scorer(shared.value)
-        scorer = _scorers[number]
+        cache = worker_cache("toxicity")
+        if number not in cache:
+            cache.clear()
+            cache[number] = Scorer(shared.value)
+        scorer = cache[number]
         for texts in parts:
             yield pa.array([scorer.score(t.as_py()) for t in texts], pa.float64())
 
-    return score(F.col(text))
+    return F.arrow_udf(tidy(score), "double")(F.col(text))
 
 
 def scores(docs: DataFrame, model: Model, id_col: str = "doc_id", text: str = "text") -> DataFrame:
