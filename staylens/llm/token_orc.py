@@ -16,9 +16,10 @@ table gives an empty folder's schema.
 
 from __future__ import annotations
 
+import re
 import zlib
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from itertools import islice
 
 import numpy as np
@@ -55,18 +56,37 @@ def byte_characters() -> dict[int, str]:
     return {b: chr(b) if b in plain else chr(next(others)) for b in range(256)}
 
 
+class _Words(dict):
+    """Ids of pre-tokens; one that is absent is encoded."""
+
+    def __init__(self, encode):
+        super().__init__()
+        self.encode = encode
+
+    def __missing__(self, word: str) -> bytes:
+        return self.encode(word)
+
+
 class CachedEncoder:
     """Ids of whole texts, as little-endian 32-bit integers.
 
+    For the pattern and normaliser that this class knows, a text of common
+    characters is cut into pre-tokens in one go; the library's model encodes
+    each distinct one once.
+
     Where the tokenizer's pre-tokens never hold white space, a text's ids are
-    those of its white-space separated pieces one after the other; pieces are
-    encoded once and cached.  For the pattern and normaliser that this class
-    knows, pieces of common characters are cut into pre-tokens, which the
-    library's model encodes one by one; other pieces go to the library whole.
-    Both short cuts are tried on a probe first and not used if it differs."""
+    those of its white-space separated pieces one after the other; other texts
+    are split there, their common pieces cut into pre-tokens, the rest given to
+    the library, and pieces are cached.  All short cuts are tried on a probe
+    first and not used if it differs."""
 
     #: Fixed value: the pre-token pattern of the vocabularies with word ends.
     PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+    #: The same for the lower case of characters up to U+024F, all of whose
+    #: letters and numbers it lists (no look-up of properties: twice as fast).
+    LETTERS, NUMBERS = "a-zªµºß-öø-ʯⱥⱦ", "0-9²³¹¼-¾"
+    PLAIN = rf"'(?:s|t|re|ve|m|ll|d)|[{LETTERS}]+|[{NUMBERS}]|[^\s{LETTERS}{NUMBERS}]+"
+    PLAIN_PROBE = "Ab, c'd's  é 12\n\tß xy . Été NAÏVE-Wörter DON'T 1a2¼ $$$ ÀÉ ªº µ×÷ Ǆx\xa0ŉ\x85'rex 'v"
     PROBE = "Ab, c'd  é 12\n\tß x y　z . Été naïve—Wörter don't 1a2 $$$ ÀÉ"
 
     def __init__(self, path: str):
@@ -75,21 +95,38 @@ class CachedEncoder:
         self.tok = Tokenizer.from_file(path)
         self.model = self.tok.model
         self.pieces: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
+        self.words = _Words(self._word)
+        self.plain = re.compile(self.PLAIN)
         self.characters = byte_characters()
         self.pattern = regex.compile(self.PATTERN)
         added = [t.content for t in self.tok.get_added_tokens_decoder().values()]
         # special strings are found in the raw text, so they must reach the library
         self.special = regex.compile("|".join(map(regex.escape, added)) or "(?!)")
+        self.added = added
         whole = self._library([self.PROBE])[0]
         self.by_words = whole == b"".join(map(self._by_words, self.PROBE.split()))
+        self.by_text = self.by_words and self._library([self.PLAIN_PROBE])[0] == self._plain(self.PLAIN_PROBE)
         self.splits = self.by_words or whole == b"".join(self._library(self.PROBE.split()))
 
     def _library(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<i4").tobytes() for e in self.tok.encode_batch(texts, add_special_tokens=False)] if texts else []
 
     def _by_words(self, piece: str) -> bytes:
-        return b"".join([self.words.get(w) or self._word(w) for w in self.pattern.findall(piece.lower())])
+        return b"".join(map(self.words.__getitem__, self.pattern.findall(piece.lower())))
+
+    def _plain(self, text: str) -> bytes:
+        return b"".join(map(self.words.__getitem__, self.plain.findall(text.lower())))
+
+    def _is_plain(self, text: str) -> bool:
+        """Whether the text has common characters only and no special string."""
+        if any(a in text for a in self.added) or _ODD.search(text):
+            return False
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            # one capital becomes two characters in lower case
+            return bool(_COMMON.fullmatch(text)) and "\u0130" not in text
+        return True
 
     def _word(self, word: str) -> bytes:
         written = word if word.isascii() and word.isalnum() else word.encode().decode("latin-1").translate(self.characters)
@@ -108,6 +145,13 @@ class CachedEncoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         if not self.splits:
             return self._library(texts)
+        out = [self._plain(t) if self.by_text and self._is_plain(t) else None for t in texts]
+        rest = [i for i, x in enumerate(out) if x is None]
+        for i, x in zip(rest, self._by_pieces([texts[i] for i in rest]) if rest else (), strict=True):
+            out[i] = x
+        return out
+
+    def _by_pieces(self, texts: list[str]) -> list[bytes]:
         odd = [i for i, t in enumerate(texts) if _ODD.search(t)]
         whole = dict(zip(odd, self._library([texts[i] for i in odd]), strict=True))
         parts = [() if i in whole else t.split() for i, t in enumerate(texts)]
@@ -169,9 +213,20 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int, i
 
 
 def read_token_files(spark: SparkSession, path: str, id_type: str = "bigint") -> DataFrame:
-    """``doc_id, ids, file`` as written."""
+    """``doc_id, ids, file`` (its number) as written, and the ``block`` of the
+    file that a row was read from."""
+    rows = spark.read.schema(f"doc_id {id_type}, ids array<int>").orc(path)
+    name = F.element_at(F.split(F.input_file_name(), "/"), -1)
+    # the writer numbers its files: "part-99999-..." comes before "part-100000-..."
+    # (names of files that are read apart, and where a part of a file begins)
+    return rows.select("*", F.regexp_extract(name, r"^part-(\d+)", 1).cast("long").alias("file"), F.col("_metadata.file_block_start").alias("block"))
+
+
+def find_documents(spark: SparkSession, path: str, ids: Sequence, id_type: str = "bigint") -> DataFrame:
+    """The rows of some documents.  The filter reaches the files: stripes and
+    row groups whose statistics or Bloom filters exclude the ids are not read."""
     rows = spark.read.schema(f"doc_id {id_type}, ids array<int>").orc(path)
-    return rows.withColumn("file", F.element_at(F.split(F.input_file_name(), "/"), -1))
+    return rows.where(F.col("doc_id").isin(list(ids)))
 
 
 def token_index(rows: DataFrame) -> DataFrame:
@@ -185,14 +240,15 @@ def token_index(rows: DataFrame) -> DataFrame:
             ends = np.asarray(lists.offsets).astype(np.int64)
             values = np.asarray(lists.values).astype("<u4", copy=False)
             crc = [zlib.crc32(values[x:y]) for x, y in zip(ends[:-1], ends[1:], strict=True)]
-            order = np.arange(len(crc), dtype=np.int64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.diff(ends)), pa.array(crc, pa.int64()), b.column(2), pa.array(order)], ["doc_id", "n_tokens", "ids_crc32", "file", "row"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.diff(ends)), pa.array(crc, pa.int64()), *b.columns[2:]], ["doc_id", "n_tokens", "ids_crc32", "file", "block", "row"])
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    flat = rows.select("doc_id", "ids", "file").mapInArrow(digest, f"doc_id {kind}, n_tokens long, ids_crc32 long, file string, row long")
+    # a task reads the parts of a file in their order, rows in theirs
+    placed = rows.select("doc_id", "ids", "file", "block", F.monotonically_increasing_id().alias("row"))
+    flat = placed.mapInArrow(digest, f"doc_id {kind}, n_tokens long, ids_crc32 long, file long, block long, row long")
     # digests of the rows, written once: the files are read once
     flat = cut(flat, "token-digests")
-    in_file = Window.partitionBy("file").orderBy(F.col("doc_id").asc_nulls_first(), "row", "ids_crc32")
+    in_file = Window.partitionBy("file").orderBy(F.col("doc_id").asc_nulls_first(), "block", "row")
     ranked = flat.withColumn("own", F.sum("n_tokens").over(in_file) - F.col("n_tokens"))
     # one row per file: its number in the name gives its place
     totals = flat.groupBy("file").agg(F.sum("n_tokens").alias("total"))
