@@ -313,6 +313,7 @@ ORACLE["upsert_listings"] = ORACLE["silver_listings"]
 ORACLE["stream_upsert_listings"] = ORACLE["silver_listings"]
 ORACLE["stream_scd2"] = ORACLE["scd2_rebuild"]
 ORACLE["scd2_merge_late"] = ORACLE["scd2_rebuild"]
+ORACLE["mart_listing_refreshed"] = ORACLE["mart_listing_neighbourhood"]
 ORACLE["pipeline_mart_listing"] = ORACLE["mart_listing_neighbourhood"]
 ORACLE["load_with_rejects"] = with_layers("""
 , delivered AS (

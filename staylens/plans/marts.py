@@ -41,8 +41,9 @@ from staylens.plans.gold import COPIES, SUPERHOST, with_superhost_flag
 DEFAULT_AS_OF: _dt.date | None = None
 
 
-def monthly_listing_measures(base: DataFrame, group_cols: Sequence[str], copies: str | None = None) -> DataFrame:
-    """Shared measure set of the listing-neighbourhood and property-type marts.
+def listing_measures(base: DataFrame, group_cols: Sequence[str], copies: str | None = None) -> DataFrame:
+    """Shared measure set of the listing-neighbourhood and property-type marts,
+    month by month: no measure needs another month's rows.
 
     Planned as three aggregations instead of one with two COUNT(DISTINCT)s
     and a percentile (Expand x3 of every row, a percentile buffer per
@@ -96,7 +97,12 @@ def monthly_listing_measures(base: DataFrame, group_cols: Sequence[str], copies:
     )
     prices = base.where(active).select(*keys, "price", *([copies] if copies else []))
     medians = median_by(prices, keys, "price", "median_price", copies)
-    agg = left_join_null_safe(agg, medians, keys)
+    return left_join_null_safe(agg, medians, keys)
+
+
+def with_changes(agg: DataFrame, group_cols: Sequence[str]) -> DataFrame:
+    """The mart's columns out of ``listing_measures``: rates, and the changes
+    against the group's month before."""
     inactive = F.col("total_listings") - F.col("active_listings")
     order = ["year", "month"]
     with_prev = agg.withColumn(
@@ -124,28 +130,32 @@ def monthly_listing_measures(base: DataFrame, group_cols: Sequence[str], copies:
     )
 
 
+def monthly_listing_measures(base: DataFrame, group_cols: Sequence[str], copies: str | None = None) -> DataFrame:
+    return with_changes(listing_measures(base, group_cols, copies), group_cols)
+
+
 def _with_period(df: DataFrame) -> DataFrame:
     return df.withColumn("year", year_of("scraped_date")).withColumn("month", month_of("scraped_date"))
 
 
-def _by_listing_lga(df: DataFrame) -> DataFrame:
+def by_listing_lga(df: DataFrame) -> DataFrame:
     return _with_period(df).withColumn("listing_neighbourhood_lga", F.coalesce(F.col("lga_key"), F.lit("Unknown")))
 
 
 def mart_listing_neighbourhood(fact: DataFrame) -> DataFrame:
     """M18 on the point-in-time fact: per listing LGA (md5 key, 'Unknown' when
     unmapped) and month."""
-    return monthly_listing_measures(_by_listing_lga(fact), ["listing_neighbourhood_lga"])
+    return monthly_listing_measures(by_listing_lga(fact), ["listing_neighbourhood_lga"])
 
 
 def mart_listing_neighbourhood_closed(fact: DataFrame, host: DataFrame, as_of=DEFAULT_AS_OF) -> DataFrame:
     """M18 with the source's closed BETWEEN: a boundary date matches two
     versions, so the host history is joined here."""
     base = with_superhost_flag(fact, host, as_of, closed=True)
-    return monthly_listing_measures(_by_listing_lga(base), ["listing_neighbourhood_lga"])
+    return monthly_listing_measures(by_listing_lga(base), ["listing_neighbourhood_lga"])
 
 
-def _by_property(df: DataFrame) -> DataFrame:
+def by_property(df: DataFrame) -> DataFrame:
     return (
         _with_period(df)
         .withColumn("property_type", F.coalesce(F.col("property_type"), F.lit("Unknown")))
@@ -157,7 +167,7 @@ def _by_property(df: DataFrame) -> DataFrame:
 def mart_property_type(fact: DataFrame) -> DataFrame:
     """M19 on the point-in-time fact: per property type x room type x
     capacity and month."""
-    return monthly_listing_measures(_by_property(fact), ["property_type", "room_type", "accommodates"])
+    return monthly_listing_measures(by_property(fact), ["property_type", "room_type", "accommodates"])
 
 
 def mart_host_neighbourhood(fact: DataFrame, copies: str | None = None) -> DataFrame:
@@ -218,14 +228,14 @@ def _with_property_rows(base: DataFrame, prop: DataFrame, *by: str) -> DataFrame
 
 def mart_listing_neighbourhood_asis(fact: DataFrame, host, prop, as_of=DEFAULT_AS_OF) -> DataFrame:
     """M18 verbatim, on ``gold.fact_copies``."""
-    base = _by_listing_lga(_with_property_rows(_with_host_matches(fact, host, as_of), prop))
+    base = by_listing_lga(_with_property_rows(_with_host_matches(fact, host, as_of), prop))
     return monthly_listing_measures(base, ["listing_neighbourhood_lga"], COPIES)
 
 
 def mart_property_type_asis(fact: DataFrame, host, prop, as_of=DEFAULT_AS_OF) -> DataFrame:
     """M19 verbatim, on ``gold.fact_copies``."""
     by = ["property_type", "room_type", "accommodates"]
-    base = _by_property(_with_property_rows(_with_host_matches(fact, host, as_of), prop, *by))
+    base = by_property(_with_property_rows(_with_host_matches(fact, host, as_of), prop, *by))
     return monthly_listing_measures(base, by, COPIES)
 
 

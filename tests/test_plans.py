@@ -183,3 +183,27 @@ def test_lookups_by_any_key_skip_most_row_groups(spark, tmp_path):
         stats = [g.column(at).statistics for g in groups]
         may_hold = sum(s.min <= one[key] <= s.max for s in stats)
         assert 0 < may_hold < 0.25 * len(groups), (key, may_hold, len(groups))
+
+
+def test_a_refresh_reads_its_months_alone(spark):
+    from pyspark.sql import functions as F
+
+    from staylens.plans import mart_refresh
+    from staylens.session import shared_path
+
+    w = warehouse(spark, SF_SMALL)
+    months = sorted((r.year, r.month) for r in w.fact.select("year", "month").distinct().collect())
+    plan = _plan(mart_refresh.month_measures(w.fact, "property_type", months[:2]))
+    scans = re.findall(r"/fact\], PartitionFilters: \[(.*?)\], PushedFilters", plan)
+    assert scans and all("year" in s and "month" in s for s in scans)
+    path = shared_path(spark, "t-measures")
+    for part in (months[:30], months[30:], months[10:12]):
+        mart_refresh.refresh(w.fact, "property_type", part, path)
+    kept, full = mart_refresh.read_mart(spark, "property_type", path), w.mart_property_type()
+    rows = lambda df: sorted(map(str, df.select(*full.columns).collect()))
+    assert rows(kept) == rows(full)
+    # a changed host version touches its host's months from its date on
+    row = w.listings.where("host_id is not null").orderBy("scraped_date", "listing_id").select("host_id", "scraped_date").first()
+    changed = spark.createDataFrame([(row.host_id, row.scraped_date)], "host_id long, valid_from date")
+    want = {(r.d.year, r.d.month) for r in w.listings.where(F.col("host_id") == row.host_id).select(F.col("scraped_date").alias("d")).collect()}
+    assert set(mart_refresh.months_of_hosts(w.listings, changed)) == want
