@@ -78,8 +78,11 @@ def _outcome() -> list[Column]:
     def differs(a: Column, b: Column) -> Column:
         return F.when(a.isNotNull() & b.isNotNull(), a != b)
 
+    def strong(tag: Column) -> Column:
+        return F.when(~F.startswith(tag, F.lit("W/")), tag)
+
     changed = F.coalesce(
-        differs(own["etag"], old["etag"]), differs(own["last-modified"], old["last-modified"]), differs(F.col("digest"), F.col("target.digest")), F.lit(False)
+        differs(strong(own["etag"]), strong(old["etag"])), differs(own["last-modified"], old["last-modified"]), differs(F.col("digest"), F.col("target.digest")), F.lit(False)
     )
     status = F.when(F.col("target").isNull(), "orphan").when(changed, "mismatch").otherwise("resolved")
     fresh = F.map_filter(own, lambda k, _: k.isin(*PERMITTED))

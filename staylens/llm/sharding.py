@@ -4,7 +4,7 @@ A document's id decides its shard together with the number of shards; no ring
 or table is kept.  With one more shard, a document either stays or moves to
 the new shard, and only the fraction that the new shard needs moves.
 
-Defined cases: a null id hashes as its own key and so shares one shard; the
+Defined cases: an id that is no integer counts by its 64-bit hash; a null id hashes as its own key and so shares one shard; the
 size of a null text is 1 and its checksum that of the empty text; repeated
 rows share a shard and take slots of their own; other columns are left alone;
 an empty table gives an empty result.
@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from staylens.llm.common import conf_int, cut
@@ -21,6 +22,8 @@ from staylens.llm.common import conf_int, cut
 _LOW32 = 0xFFFFFFFF
 #: Fixed value: the multiplier of the published generator.
 MULTIPLIER = 2862933555777941757
+#: Slots that one array holds.
+RUN = 10_000
 
 
 def _times32(x: Column, y: int) -> Column:
@@ -64,9 +67,15 @@ def jump_shard(key: Column, shards: int) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.lit(shards)), start, jump, lambda s: s["b"].cast("int"))
 
 
+def shard_key(docs: DataFrame, id_col: str) -> Column:
+    """The id as a 64-bit key: an integer itself, any other type by its hash."""
+    whole = isinstance(docs.schema[id_col].dataType, T.IntegralType)
+    return F.col(id_col) if whole else F.when(F.col(id_col).isNotNull(), F.xxhash64(id_col))
+
+
 def with_shard(docs: DataFrame, shards: int, id_col: str = "doc_id", out: str = "shard") -> DataFrame:
     """``docs`` with the column ``out`` (a column of that name is replaced)."""
-    return docs.withColumn(out, jump_shard(F.col(id_col), shards))
+    return docs.withColumn(out, jump_shard(shard_key(docs, id_col), shards))
 
 
 def shard_slots(docs: DataFrame, shards: int, id_col: str = "doc_id", text: str = "text") -> DataFrame:
@@ -86,8 +95,8 @@ def shard_slots(docs: DataFrame, shards: int, id_col: str = "doc_id", text: str
     counted = cut(digest.groupBy("id", "size", "text_crc32").agg(F.count(F.lit(1)).alias("n")), "digests")
     placed = counted.select(
         "*",
-        jump_shard(F.col("id"), shards).alias("shard"),
-        jump_shard(F.col("id"), shards + 1).alias("grown_shard"),
+        jump_shard(shard_key(counted, "id"), shards).alias("shard"),
+        jump_shard(shard_key(counted, "id"), shards + 1).alias("grown_shard"),
         F.pmod(F.xxhash64("id", "text_crc32"), F.lit(slices)).alias("slice"),
     )
     inside = Window.partitionBy("shard", "slice").orderBy("id", "text_crc32", "size").rowsBetween(Window.unboundedPreceding, -1)
@@ -95,8 +104,13 @@ def shard_slots(docs: DataFrame, shards: int, id_col: str = "doc_id", text: str
     before = Window.partitionBy("shard").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     totals = placed.groupBy("shard", "slice").agg(F.sum("n").alias("total"))
     bases = totals.select("shard", "slice", F.coalesce(F.sum("total").over(before), F.lit(0)).alias("base"))
-    first = F.col("base") + F.col("own")
-    return numbered.join(bases, ["shard", "slice"]).select(
+    # a row that is repeated very often is expanded in runs, so that no array is long
+    runs = numbered.join(bases, ["shard", "slice"]).select(
+        "*", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / RUN))).alias("run")
+    )
+    first = F.col("base") + F.col("own") + F.col("run") * RUN
+    last = F.least(first + RUN, F.col("base") + F.col("own") + F.col("n")) - 1
+    return runs.select(
         F.col("id").alias(id_col), "size", "text_crc32", F.lit("key").alias("law"), "shard",
-        F.explode(F.sequence(first, first + F.col("n") - 1)).alias("slot"), "grown_shard",
+        F.explode(F.sequence(first, last)).alias("slot"), "grown_shard",
     )

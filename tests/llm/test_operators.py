@@ -91,7 +91,7 @@ def test_pattern_classes_find_every_occurrence():
 
 
 # --- near duplicates ------------------------------------------------------------
-def _brute_near(rows):
+def _brute_near(rows, percent=85):
     def shingles(t):
         w = _words(t, r"[^\x20\x09-\x0D]+")
         return {tuple(w[i : i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else ({tuple(w)} if w else set())
@@ -106,7 +106,7 @@ def _brute_near(rows):
 
     for i, a in enumerate(sets):
         for j in range(i):
-            if a and sets[j] and 100 * len(a & sets[j]) >= 85 * len(a | sets[j]):
+            if a and sets[j] and 100 * len(a & sets[j]) >= percent * len(a | sets[j]):
                 root[find(i)] = find(j)
     low = {}
     for i, (d, _) in enumerate(rows):
@@ -204,6 +204,20 @@ def test_shard_slots(docs, empty):
     assert sharding.with_shard(docs, 3).drop("shard").columns == docs.columns
 
 
+def test_other_ids_are_hashed(spark):
+    docs = spark.createDataFrame([(f"doc {i}", "t", "k") for i in range(300)] + [(None, "t", "k")], "doc_id string, text string, key string")
+    slots = sharding.shard_slots(docs, 4).collect()
+    assert len(slots) == 301 and {r.shard for r in slots} == {0, 1, 2, 3} and all(r.grown_shard in (r.shard, 4) for r in slots)
+    assert {r.doc_id: r.shard for r in slots} == {r.doc_id: r.shard for r in sharding.with_shard(docs, 4).collect()}
+
+
+def test_very_often_repeated_rows_take_slots_in_runs(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "RUN", 7)
+    docs = spark.createDataFrame([(1, "t")] * 50 + [(2, "u")] * 3, "doc_id long, text string")
+    rows = sharding.shard_slots(docs, 1).collect()
+    assert sorted(r.slot for r in rows) == list(range(53)) and sum(r.doc_id == 1 for r in rows) == 50
+
+
 # --- mixture ----------------------------------------------------------------------
 def test_mixture_meets_its_margins(spark, docs, empty):
     rows = [(i, "w " * (1 + i % 7), ["en", "de", None][i % 3], f"s{i % 4 if i % 2 else 0}") for i in range(600)]
@@ -261,6 +275,38 @@ def test_token_files_round_trip(spark, docs, empty):
     assert token_orc.token_index(token_orc.read_token_files(spark, path + "-empty")).count() == 0
 
 
+def test_a_lookup_skips_row_groups(spark):
+    name = queries.tokenizer_path("word_bpe_49k.json")
+    docs = spark.range(0, 20_000, numPartitions=1).selectExpr("id * 2 as doc_id", "concat('word ', id) as text")
+    path = shared_path(spark, "test-orc")
+    token_orc.write_token_files(docs, path, name, end_id=1)
+    for wanted, found in ((31_000, 1), (31_001, 0)):  # within the statistics' range either way
+        df = token_orc.find_documents(spark, path, [wanted])
+        plan = df._jdf.queryExecution()
+        assert df.count() == found and "PushedFilters: [In(doc_id" in plan.toString().replace("EqualTo(doc_id", "In(doc_id").replace("IsNotNull(doc_id), ", "")
+        with_plan = df.select("doc_id")
+        assert len(with_plan.collect()) == found
+        leaves = with_plan._jdf.queryExecution().executedPlan().collectLeaves()
+        read = sum(leaves.apply(i).metrics().apply("numOutputRows").value() for i in range(leaves.size()))
+        assert read <= 1000, read  # one row group of an index stride, not the file's 20,000 rows
+
+
+def test_repeated_ids_keep_their_places(spark):
+    name = queries.tokenizer_path("word_bpe_49k.json")
+    docs = spark.range(3000).selectExpr("id % 3 as doc_id", "repeat('ab ', cast(id % 7 as int)) as text")
+    path = shared_path(spark, "test-orc")
+    token_orc.write_token_files(docs, path, name, end_id=1)
+    rows = token_orc.read_token_files(spark, path)
+    index = sorted(token_orc.token_index(rows).collect(), key=lambda r: r.start)
+    assert [r.start for r in index] == np.cumsum([0] + [r.n_tokens for r in index])[:-1].tolist()
+    # the files' own order: file by file, then row by row
+    import pyarrow.orc as orc
+    from pathlib import Path
+
+    stream = [ids for f in sorted(Path(path).glob("part-*.orc")) for ids in orc.read_table(f)["ids"].to_pylist()]
+    assert [r.ids_crc32 for r in index] == [zlib.crc32(np.array(x, "<u4").tobytes()) for x in stream]
+
+
 def test_token_counts_equal_the_library(spark, docs, empty):
     import sentencepiece
 
@@ -357,6 +403,17 @@ def test_revisits(spark):
     assert revisit.resolve(table, slice_seconds=7).count() == 8
 
 
+def test_weak_validators_do_not_decide(spark):
+    rows = []
+    cases = [({"etag": 'W/"1"'}, {"etag": '"1"'}, "resolved"), ({"etag": '"2"'}, {"etag": '"1"'}, "mismatch"), ({"etag": "W/x", "last-modified": "b"}, {"etag": "y", "last-modified": "a"}, "mismatch"),
+             ({"last-modified": "a"}, {"last-modified": "a"}, "resolved"), ({"last-modified": "b"}, {"last-modified": "a"}, "mismatch"), ({"last-modified": "b"}, {}, "resolved"), ({}, {"etag": "1"}, "resolved")]
+    for i, (asked, had, _) in enumerate(cases):
+        rows += [(2 * i, "response", f"a.org/{i}", 1, "d", had), (2 * i + 1, "revisit", f"a.org/{i}", 2, "d", asked)]
+    table = spark.createDataFrame(rows, "record_id long, kind string, url string, ts long, digest string, headers map<string,string>")
+    got = {r.record_id: r.status for r in revisit.resolve(table).collect()}
+    assert [got[2 * i + 1] for i in range(len(cases))] == [c[2] for c in cases]
+
+
 # --- vectors ---------------------------------------------------------------------------------
 def test_vector_links_against_brute_force(spark):
     rng = np.random.default_rng(5)
@@ -379,6 +436,16 @@ def test_vector_links_against_brute_force(spark):
     assert empty.count() == 0
 
 
+def test_vectors_of_any_length_and_scale(spark):
+    base = [0.3, -0.2, 0.9]
+    scaled = lambda k: [x * k for x in base]
+    rows = [(1, [1.0, 2.0]), (2, [1.0, 2.0]), (3, [2.0, 4.0]), (4, [-1.0, -2.0]), (10, base), (11, scaled(1e-170)), (12, scaled(1e160)), (13, scaled(-1.0)),
+            (20, [1.0]), (21, [2.5]), (22, [-3.0]), (23, [1e-300]), (24, [0.0])]
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embed_dedup.near_duplicate_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    want = {1: (2, 1), 2: (2, 1), 3: (2, 1), 4: (0, 4), 10: (2, 10), 11: (2, 10), 12: (2, 10), 13: (0, 13), 20: (2, 20), 21: (2, 20), 22: (0, 22), 23: (2, 20), 24: (0, 24)}
+    assert got == want
+
+
 def test_multi_index_visits_cells_in_order_and_reaches_its_recall():
     rng = np.random.default_rng(2)
     x = rng.standard_normal((1500, 24))
