@@ -21,10 +21,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Tier one: at most so many pre-tokens, the most frequent of a sample of
-#: about so many documents.  They decide what is looked up where, never a count.
+#: Tier one: at most so many pre-tokens, the most frequent ones.  They decide
+#: what is looked up where, never a count.
 FREQUENT = 20_000
-SAMPLE_DOCS = 4_000
 #: Tier two: entries held by one worker before it starts anew, and the longest
 #: pre-token that is kept.
 CACHE_ENTRIES = 400_000
@@ -116,33 +115,33 @@ def _counter(model_file: str, shared) -> TwoTier:
     return _counters[key]
 
 
-def frequent_lengths(docs: DataFrame, text: str, model_file: str, id_col: str, top: int = FREQUENT, sample_docs: int = SAMPLE_DOCS) -> dict[str, int]:
-    """Lengths of the most frequent pre-tokens of a sample of about
-    ``sample_docs`` documents, drawn by a hash of the id; every task of the
-    sample sends at most ``top`` counts."""
-    n = docs.count()
-    if not n:
-        return {}
-    part = docs.where(F.pmod(F.xxhash64(id_col), F.lit(1 << 20)) < F.lit(int(min(1.0, sample_docs / n) * (1 << 20)) + 1)).select(F.col(text).alias("t"))
+def frequent_lengths(docs: DataFrame, text: str, model_file: str, top: int = FREQUENT) -> dict[str, int]:
+    """Lengths of the most frequent pre-tokens of all documents.  Every task
+    counts its own, letting the rare ones go when its table is full, and sends
+    at most ``top`` counts."""
 
     def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter[str] = Counter()
         for b in batches:
-            for t in b.column(0).to_pylist():
-                seen.update(w for w in (t or "").split(" ") if w and len(w) <= CACHED_CHARS)
+            for t in b.column(0):
+                seen.update(w for w in (t.as_py() or "").split(" ") if len(w) <= CACHED_CHARS)
+                if len(seen) > 20 * top:
+                    seen = Counter(dict(seen.most_common(5 * top)))
+        seen.pop("", None)
         words = seen.most_common(top)
         yield pa.RecordBatch.from_pydict({"w": pa.array([w for w, _ in words], pa.string()), "n": pa.array([n for _, n in words], pa.int64())})
 
+    part = docs.select(F.col(text).alias("t"))
     total: Counter[str] = Counter()
-    for r in part.coalesce(16).mapInArrow(counts, "w string, n long").groupBy("w").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "w").limit(top).collect():
+    for r in part.mapInArrow(counts, "w string, n long").groupBy("w").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "w").limit(top).collect():
         total[r.w] = r.n
     counter = TwoTier(model_file, {})
     return {w: counter.library(w) for w in total} if counter.splits else {}
 
 
-def count_column(docs: DataFrame, text: str, model_file: str, id_col: str = "doc_id") -> Column:
+def count_column(docs: DataFrame, text: str, model_file: str) -> Column:
     """A long column: the number of tokens of ``text``."""
-    shared = docs.sparkSession.sparkContext.broadcast(frequent_lengths(docs, text, model_file, id_col))
+    shared = docs.sparkSession.sparkContext.broadcast(frequent_lengths(docs, text, model_file))
 
     @F.arrow_udf("long")
     def n_tokens(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -158,6 +157,6 @@ def count_tokens(docs: DataFrame, model_file: str, limit: int = 4096, id_col: st
     tokens = docs.select(
         F.col(id_col),
         F.coalesce(F.octet_length(text), F.lit(0)).cast("long").alias("n_bytes"),
-        count_column(docs, text, model_file, id_col).alias("n_tokens"),
+        count_column(docs, text, model_file).alias("n_tokens"),
     )
     return tokens.withColumn("over_limit", F.col("n_tokens") > limit)
