@@ -16,9 +16,10 @@ small units.  A unit sends counts and a spanning forest, never its pairs.
 The codebooks are fitted on a sample of about ``SAMPLE`` vectors (drawn by a
 hash); every vector is indexed and visits.
 
-Defined cases: a vector that is null, zero, or holds null or non-finite
-components, or whose length is not the most common one, links with nothing;
-equal vectors are folded into one before the search and counted as links of
+Defined cases: a vector that is null, empty, zero, or holds null or non-finite
+components links with nothing; vectors of different length do not link, those
+of each length are searched by themselves; vectors of one component link by
+their sign; equal vectors are folded into one before the search and counted as links of
 each other; repeated ids are vectors of their own; a null id is never
 ``kept``; an empty table gives an empty result.
 """
@@ -43,7 +44,9 @@ BLOCK = 2048
 
 
 def _doubles(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-    """A usable vector as little-endian doubles, else null."""
+    """A usable vector as little-endian doubles, else null.  It is scaled by a
+    power of two (which rounds nothing) so that its square neither vanishes nor
+    overflows; of one component only the sign is kept."""
     for vectors in parts:
         out = []
         for v in vectors:
@@ -51,9 +54,10 @@ def _doubles(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
             x = None
             if v and None not in v:
                 x = np.array(v, "<f8")
-                norm = float(np.sqrt(x @ x)) if np.isfinite(x).all() else 0.0
-                x = x if 0 < norm < np.inf else None
-            out.append(None if x is None else x.tobytes())
+                most = float(np.abs(x).max()) if np.isfinite(x).all() else 0.0
+                x = np.ldexp(x, -int(np.frexp(most)[1])) if most > 0 else None
+                x = np.sign(x) if x is not None and len(x) == 1 else x
+            out.append(None if x is None else x.astype("<f8").tobytes())
         yield pa.array(out, pa.binary())
 
 
@@ -231,20 +235,20 @@ def _search(classes: DataFrame, index: MultiIndex, threshold: float) -> DataFram
 def near_duplicate_vectors(vectors: DataFrame, id_col: str = "vec_id", vector: str = "embedding", threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
     """``id, n_links, component_id, kept`` for every row of ``vectors``."""
     rows = cut(vectors.select(F.col(id_col).alias("id"), F.arrow_udf(_doubles, "binary")(vector).alias("raw")), "vectors")
-    lengths = rows.where("raw is not null").groupBy(F.octet_length("raw").alias("l")).count().orderBy(F.desc("count"), "l").limit(1).collect()
-    width = lengths[0]["l"] if lengths else 0
-    rows = rows.withColumn("raw", F.when(F.octet_length("raw") == width, F.col("raw")))
     classes = rows.where("raw is not null").groupBy("raw").agg(F.count(F.lit(1)).alias("size"), F.min("id").alias("label"))
     classes = cut(classes.withColumn("uid", F.monotonically_increasing_id()), "classes")
-    n = classes.count()
-    if n > 1 and width > 8:
+    found = classes.select("uid", F.lit(0).cast("long").alias("links"), F.col("uid").alias("root")).where("false")
+    # vectors of different length link with none of each other: a search per length
+    # (one row per length; one component is folded already)
+    for width, n in classes.groupBy(F.octet_length("raw")).count().orderBy(F.octet_length("raw")).collect():
+        if n < 2 or width <= 8:
+            continue
+        own = classes.where(F.octet_length("raw") == width)
         part = int(min(1.0, SAMPLE / n) * (1 << 20)) + 1
-        sample = classes.where(F.pmod(F.xxhash64("raw"), F.lit(1 << 20)) < part).select("raw").collect()
-        sample = sample if len(sample) > 1 else classes.select("raw").limit(SAMPLE).collect()
+        sample = own.where(F.pmod(F.xxhash64("raw"), F.lit(1 << 20)) < part).select("raw").collect()
+        sample = sample if len(sample) > 1 else own.select("raw").limit(SAMPLE).collect()
         index = fit_index(unit_matrix(sorted(bytes(r.raw) for r in sample)), n, threshold, recall)
-        found = cut(_search(classes, index, threshold), "found")
-    else:
-        found = classes.select("uid", F.lit(0).cast("long").alias("links"), F.col("uid").alias("root")).where("false")
+        found = found.unionByName(cut(_search(own, index, threshold), "found"))
     links = found.groupBy("uid").agg(F.sum("links").alias("links"))
     roots = components(found.select(F.col("uid").alias("a"), F.col("root").alias("b")))
     placed = classes.join(links, "uid", "left").join(roots.withColumnRenamed("node", "uid"), "uid", "left").withColumn("root", F.coalesce("root", "uid"))
