@@ -76,6 +76,16 @@ def test_median_by_matches_percentile(spark):
     assert got["even"] == 6.0 and got["dups"] == 2.0
 
 
+def test_median_by_of_few_groups_is_the_same(spark):
+    rows = [("a", float(x), 1 + i % 3) for i, x in enumerate([5, -3, 0, 900, 901, 902, 1e6, 5, 5])]
+    rows += [("b", 0.1, 1), ("b", 0.2, 1), (None, 7.0, 2), (None, 8.0, 2), ("nulls", None, 1)]
+    df = spark.createDataFrame(rows, "g string, x double, n long")
+    for copies in (None, "n"):
+        want = sorted(map(str, A.median_by(df, ["g"], "x", copies=copies).collect()))
+        few = A.median_by(df, ["g"], "x", copies=copies, few_groups=True)
+        assert sorted(map(str, few.collect())) == want and len(want) == 3
+
+
 def test_corr_safe(spark):
     rows = [("zero_var", 1.0, 1.0), ("zero_var", 1.0, 2.0), ("one", 1.0, 2.0),
             ("pos", 1.0, 2.0), ("pos", 2.0, 4.0), ("pos", 3.0, 6.0), ("pos", None, 9.0)]
