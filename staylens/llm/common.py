@@ -50,6 +50,14 @@ def worker_cache(owner: str) -> dict:
     return _caches.setdefault(owner, {})
 
 
+def release_freed() -> None:
+    """Hand this process's freed memory back to the system."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(AttributeError, OSError):  # not every C library trims
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def tidy(work: Callable[[Iterator[pa.Array]], Iterator[pa.Array]]) -> Callable[[Iterator[pa.Array]], Iterator[pa.Array]]:
     """The same work on batches; after it the worker hands freed memory back to
     the system, so that what one stage took is not held through the next."""
@@ -58,10 +66,7 @@ def tidy(work: Callable[[Iterator[pa.Array]], Iterator[pa.Array]]) -> Callable[[
         try:
             yield from work(batches)
         finally:
-            gc.collect()
-            pa.default_memory_pool().release_unused()
-            with contextlib.suppress(AttributeError, OSError):  # not every C library trims
-                ctypes.CDLL(None).malloc_trim(0)
+            release_freed()
 
     return run
 

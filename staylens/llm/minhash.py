@@ -163,9 +163,8 @@ def _compare(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def _grouped(members: DataFrame, links: DataFrame) -> DataFrame:
+def _grouped(members: DataFrame, roots: DataFrame) -> DataFrame:
     """Members of the buckets that still hold several components, with ``root``."""
-    roots = components(links)
     placed = members.join(roots.select(F.col("node").alias("key"), "root"), "key", "left").withColumn("root", F.coalesce("root", "key"))
     open_ = placed.groupBy("bucket").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x < y").select("bucket")
     return cut(placed.join(open_, "bucket"), "open")
@@ -221,8 +220,14 @@ def _open_pairs(left: DataFrame, first: DataFrame, flat: DataFrame, frequent: Da
     return met.union(alike).distinct()
 
 
-def _links(sets: DataFrame, sigs: DataFrame, docs: DataFrame, id_col: str, text: str, percent: int) -> DataFrame:
-    """``a, b``: links between set keys that connect all linked sets."""
+def _joined(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """``(node, root)`` with more links: components found before go in as one
+    link from each node to its root, so few rounds are left."""
+    return components(roots.where("node <> root").select(F.col("root").alias("a"), F.col("node").alias("b")).union(links.select("a", "b")))
+
+
+def _roots(sets: DataFrame, docs: DataFrame, id_col: str, text: str, percent: int) -> DataFrame:
+    """``(node, root)``: the components of the set keys that have links."""
     buckets = sets.select("key", "n", F.explode("bands").alias("bucket"))
     shared = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min("key").alias("leader"), F.min_by("n", "key").alias("leader_n")).where("size > 1")
     members = cut(buckets.join(shared.drop("size"), "bucket"), "members")
@@ -235,10 +240,10 @@ def _links(sets: DataFrame, sigs: DataFrame, docs: DataFrame, id_col: str, text:
 
     pairs = members.where("key <> leader").where(_fits("n", "leader_n", percent)).select(F.col("leader").alias("a"), F.col("key").alias("b")).distinct()
     first = cut(_compare(pairs, full, percent), "compared")
-    links = first.where("linked").select("a", "b")
-    left = _grouped(members, links)
+    roots = components(first.where("linked").select("a", "b"))
+    left = _grouped(members, roots)
     if left.isEmpty():
-        return links
+        return roots
     flat = _open_shingles(left, full)
     frequent = flat.where(F.col("sets") > RARE).groupBy("key").agg(F.count(F.lit(1)).alias("frequent"))
     # in a group of edited copies the original has the largest share of frequent shingles
@@ -248,12 +253,12 @@ def _links(sets: DataFrame, sigs: DataFrame, docs: DataFrame, id_col: str, text:
     pairs = pairs.select(F.least("a", "key").alias("a"), F.greatest("a", "key").alias("b")).distinct().join(first.select("a", "b"), ["a", "b"], "left_anti")
     new = cut(_compare(pairs, full, percent), "compared")
     done = first.select("a", "b").union(new.select("a", "b"))
-    links = links.union(new.where("linked").select("a", "b"))
-    left = _grouped(members, links)
+    roots = _joined(roots, new.where("linked"))
+    left = _grouped(members, roots)
     if left.isEmpty():
-        return links
+        return roots
     pairs = _open_pairs(left, first, flat, frequent, percent).join(done.select("a", "b"), ["a", "b"], "left_anti")
-    return links.union(_compare(pairs, full, percent).where("linked").select("a", "b"))
+    return _joined(roots, _compare(pairs, full, percent).where("linked"))
 
 
 def _placed(docs: DataFrame, id_col: str, text: str, percent: int) -> DataFrame:
@@ -263,7 +268,7 @@ def _placed(docs: DataFrame, id_col: str, text: str, percent: int) -> DataFrame:
     described = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("digest"), F.arrow_udf(tidy(describe), "n long, key string, bands array<long>")(text).alias("s"))
     sigs = cut(described.select("id", "digest", "s.*"), "signatures")
     sets = cut(sigs.where("n > 0").groupBy("key", "n", "bands").agg(F.min("id").alias("label")), "classes")
-    roots = components(_links(sets, sigs, docs, id_col, text, percent))
+    roots = _roots(sets, docs, id_col, text, percent)
     grouped = sets.select("key", "label").join(roots.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
     least = F.min(F.when(F.col("label").isNotNull(), F.struct("label", "key")))["key"]
     labels = grouped.groupBy("root").agg(F.min("label").alias("component_id"), least.alias("stays"))

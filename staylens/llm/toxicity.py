@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from staylens.llm.common import tidy, worker_cache
+from staylens.llm.common import release_freed, tidy, worker_cache
 
 THRESHOLD = 0.3
 #: Bound of the labelled sample, and of one text in it, in characters.
@@ -178,7 +178,9 @@ def _dictionaries(rows: list[tuple[str, int]], rng: random.Random) -> tuple[byte
         by_label[y].update(set(_WORD.findall(text.lower())))
     n_toxic = sum(y for _, y in rows)
     n_ordinary = len(rows) - n_toxic
-    ordinary = [_padded(_key(w)) for w, n in sorted(by_label[0].items(), key=lambda x: (-x[1], x[0]))[:60_000] for _ in range(min(n, 50))]
+    ordinary = []
+    for w, n in sorted(by_label[0].items(), key=lambda x: (-x[1], x[0]))[:60_000]:
+        ordinary += [_padded(_key(w))] * min(n, 50)
     rng.shuffle(ordinary)
     shared = _trained(ordinary[:300_000], SHARED_BYTES + OWN_BYTES, 64, 8)
     typical = []
@@ -244,7 +246,13 @@ def train(docs: DataFrame, labels: DataFrame, learn_from: Column | None = None,
     # the sample's bound is the broadcast's
     rows = docs.select(F.col(id_col).alias("k"), F.substring(text, 1, SAMPLE_CHARS).alias("t")).where("t is not null").join(F.broadcast(known), "k")
     sample = rows.select("t", "y").toArrow()
-    return fit(list(zip(sample["t"].to_pylist(), sample["y"].to_pylist(), strict=True)))
+    pairs = list(zip(sample["t"].to_pylist(), sample["y"].to_pylist(), strict=True))
+    del sample
+    try:
+        return fit(pairs)
+    finally:
+        del pairs
+        release_freed()
 
 
 _models = iter(range(1 << 62))

@@ -5,7 +5,9 @@ columns."""
 from __future__ import annotations
 
 import hashlib
+import random
 import re
+import tracemalloc
 import warnings
 import zlib
 
@@ -135,6 +137,28 @@ def test_near_duplicates_against_brute_force(spark, docs, empty):
     assert {r.doc_id for r in kept.collect()} == {d for d, _, c in _brute_near([(r.doc_id, r.text) for r in docs.collect()]) if d == c or d is None}
 
 
+def test_near_duplicates_grow_components_from_those_before(spark, monkeypatch):
+    words = [f"g{i}" for i in range(120)]
+    seen = []
+    grow = minhash.components
+    monkeypatch.setattr(minhash, "components", lambda edges: seen.append(edges.count()) or grow(edges))
+    rows = [(i, " ".join([*words, f"end{i}"])) for i in range(4)]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.component_id for r in minhash.near_duplicates(table).collect()} == {0}
+    assert seen == [3]  # the first links settle every bucket: they are grouped once
+    rng = np.random.default_rng(1)
+    words, rows, seen[:] = [f"u{i}" for i in rng.integers(0, 40, 120)], [], []
+    for i in range(150):
+        copy = list(words)
+        for j in rng.integers(0, len(copy), int(rng.integers(0, 5))):
+            copy[j] = f"w{rng.integers(0, 10)}"
+        rows.append((i, " ".join(copy)))
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [(r.doc_id, r.n_shingles, r.component_id) for r in minhash.near_duplicates(table).collect()]
+    assert sorted(got) == sorted(_brute_near(rows))
+    assert 1 < len(seen) <= 3
+
+
 def test_pipeline_drops_near_copies_from_80_percent(spark):
     words = [f"v{i}" for i in range(50)]
     rows = []
@@ -485,3 +509,24 @@ def test_toxicity_on_held_out_texts(spark, docs, empty):
     nothing = toxicity.train(table, labels.where("toxic = 0"))
     assert {r.score for r in toxicity.scores(table, nothing).collect()} == {0.0}
     assert toxicity.remove_toxic(docs, model).columns == docs.columns
+
+
+def test_toxicity_learns_in_little_memory(spark, monkeypatch):
+    released = []
+    monkeypatch.setattr(toxicity, "release_freed", lambda: released.append(1))
+    table = spark.createDataFrame([(1, "a b"), (2, "c d")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, toxic int")
+    assert toxicity.train(table, labels).prior == 0.5
+    assert released
+    # a word that many texts hold is one object, however often it is a sample
+    rows = [(" ".join([f"first{k}", f"then{k}", *(f"word{i:05d}longer" for i in range(8_000))][:: 1 if k % 2 else -1]), 0) for k in range(50)]
+    rows += [(f"bad{k} bad words here{k}", 1) for k in range(40)]
+    monkeypatch.setattr(toxicity, "_without_copies", lambda rows: rows)
+    monkeypatch.setattr(toxicity, "_trained", lambda samples, size, k, d: b" x ")
+    tracemalloc.start()
+    try:
+        toxicity._dictionaries(rows, random.Random(0))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 16 << 20
