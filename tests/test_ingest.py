@@ -317,3 +317,33 @@ def test_a_gate_quarantines_or_stops(spark, tmp_path):
     counts = write_gated(hot, str(tmp_path / "hot"), ["k"], [F.col("v").desc()]).counts
     n = hot.select("k").distinct().count()
     assert counts["accepted"] == n and counts["duplicate key"] == 20_000 - n
+
+
+# --- drops at size ------------------------------------------------------------------
+def test_drops_are_compressed_and_their_rows_are_not_shuffled(spark, tmp_path):
+    from staylens.sources import landing
+
+    fields = [f"cast(null as {f.dataType.simpleString()}) as {f.name}" for f in schemas.LISTINGS_RAW.fields[3:]]
+    rows = spark.range(40, numPartitions=4).selectExpr("id as listing_id", "id as scrape_id", "date_add(date'2020-01-20', cast(id % 3 as int) * 12) as scraped_date", *fields)
+    rows = rows.select(*[F.col(f.name).cast(f.dataType) for f in schemas.LISTINGS_RAW.fields]).withColumn("host_name", F.lit("A, B"))
+    root, drifted = tmp_path / "drops", landing.CsvStyle(reverse_columns=True, index_column=True, null_value="NA", dmy_dates=True)
+    landing.write_drops(rows, str(root), drift_from="2020-02", drift_style=drifted)
+    parts = [p for p in root.glob("month=*/*") if not p.name.startswith((".", "_"))]
+    # every task wrote its own rows of both months
+    assert len(parts) == 8 and all(p.name.endswith(".csv.gz") for p in parts)
+    want = sorted((r.listing_id, str(r.scraped_date)[:7]) for r in rows.collect())
+    got = load_monthly(spark, str(root), schemas.LISTINGS_RAW)
+    assert sorted((r.listing_id, r.month) for r in got.collect()) == want and {r.host_name for r in got.collect()} == {"A, B"}
+    landing.write_named_months(rows, str(tmp_path / "named"))
+    assert sorted(p.name for p in (tmp_path / "named").glob("[!.]*")) == ["01_2020.csv.gz", "02_2020.csv.gz"]
+    named = load_monthly(spark, str(tmp_path / "named"), schemas.LISTINGS_RAW)
+    assert sorted((r.listing_id, r.month) for r in named.collect()) == want
+
+
+def test_a_csv_file_holds_a_bounded_number_of_rows(spark, tmp_path):
+    from staylens.sources.csv_ingest import list_csv_files, write_csv
+
+    write_csv(spark.range(10, numPartitions=1).selectExpr("cast(id as string) as id"), str(tmp_path / "t"), rows_per_file=4)
+    files = list_csv_files(spark, str(tmp_path / "t"))
+    schema = T.StructType([T.StructField("id", T.LongType())])
+    assert len(files) == 3 and sorted(r.id for r in load_csv(spark, files, schema).collect()) == list(range(10))
