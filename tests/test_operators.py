@@ -268,3 +268,42 @@ def test_upsert_partitions_on_disk(spark):
     # applying the same batch again changes nothing
     upsert_partitions(spark, path, batch, ["k"], [F.col("s").desc()], ["m"])
     assert sorted((r.k, r.v, r.m) for r in spark.read.parquet(path).collect()) == got
+
+
+# --- work that shuffles only what must meet ------------------------------------------
+def _keyed(spark):
+    import random
+
+    rng = random.Random(3)
+    rows = [(rng.choice([None, *range(30)]), rng.choice([None, 1, 2]), rng.choice(["x", "y", None])) for _ in range(60)]
+    return spark.createDataFrame([*rows, *rows[:5]], "k long, d int, v string")
+
+
+def test_a_written_batch_is_deduplicated_by_its_repeated_keys(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from staylens.operators.upsert import dedupe_batch, dedupe_written
+
+    rows, order = _keyed(spark), [F.col("v").desc_nulls_last()]
+    want = sorted(map(str, dedupe_batch(rows, ["k", "d"], order).collect()))
+    assert sorted(map(str, dedupe_written(rows, ["k", "d"], order, str(tmp_path / "keys")).collect())) == want
+    assert len(want) > spark.read.parquet(str(tmp_path / "keys")).count() > 0
+
+
+def test_a_splice_takes_the_rows_that_every_step_closed(spark):
+    import datetime as dt
+
+    from staylens.operators.scd2 import scd2_splice
+
+    d = lambda n: dt.date(2020, 1, n)
+    schema = "k long, a string, u date, valid_from date, valid_to date"
+    open_ = spark.createDataFrame([(1, "c", d(9), d(9), None), (2, "z", d(1), d(1), None)], schema)
+    # step 1 closed version "a" anew
+    closed = spark.createDataFrame([(1, "a", d(1), d(1), d(9), 0), (1, "a", d(1), d(1), d(5), 1), (1, "b", d(5), d(5), d(9), 1)], f"{schema}, step int")
+    batch = spark.createDataFrame([(1, "n", d(3)), (2, "z", d(1))], "k long, a string, u date")
+    out = scd2_splice(open_, closed, batch, ["k"], "u", ["a"])
+    got = sorted((r.k, r.a, r.valid_to.day if r.valid_to else None) for r in out.collect())
+    assert got == [(1, "a", 3), (1, "c", None), (1, "n", 5), (2, "z", None)]
+    # the history meets the batch in one shuffle on the key (the other: distinct)
+    plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+    assert plan.count("Exchange hashpartitioning") == 2
