@@ -307,3 +307,17 @@ def test_a_splice_takes_the_rows_that_every_step_closed(spark):
     # the history meets the batch in one shuffle on the key (the other: distinct)
     plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
     assert plan.count("Exchange hashpartitioning") == 2
+
+
+def test_a_gate_compares_only_rows_of_repeated_keys(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from staylens.operators.gate import judged
+    from staylens.operators.upsert import write_repeated_keys
+
+    rows, key, order = _keyed(spark), ["k", "d"], [F.col("v").desc_nulls_last()]
+    repeated = write_repeated_keys(rows.where("k is not null and d is not null"), key, str(tmp_path / "keys"))
+    there = rows.where("k < 4").limit(3)
+    for existing in (None, there):
+        whole, split = (judged(rows, key, order, F.col("v") == "y", existing, r) for r in (None, repeated))
+        assert sorted(map(str, split.collect())) == sorted(map(str, whole.select(*split.columns).collect()))
