@@ -323,3 +323,16 @@ def test_question_c_asis_shuffles_no_property_rows(spark):
         assert shuffled and not [x for x in shuffled if "offers" in x or "hashpartitioning(property_key" in x]
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_a_clustered_fact_makes_its_keys_of_the_shuffled_rows(spark, tmp_path):
+    from staylens.plans import gold
+    from staylens.plans.registry import warehouse
+    from staylens.sources.sinks import write_fact_clustered
+
+    ids = warehouse(spark, SF_SMALL).fact_ids
+    plain = write_fact_clustered(gold.with_keys(ids), str(tmp_path / "plain"))
+    laid = write_fact_clustered(ids, str(tmp_path / "ids"), gold.lookup_keys(), finish=gold.with_keys)
+    assert laid.columns == plain.columns and laid.count() == plain.count() > 0
+    assert laid.exceptAll(plain).count() == 0
+    assert all(".zstd." in f for f in laid.inputFiles())
